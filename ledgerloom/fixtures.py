@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.schemas import LANDING
+from ledgerloom.schemas import LANDING, TABLES
+from ledgerloom.session import stage
 
 SOURCES = ("orders", "customer", "nation", "region")
 
@@ -237,22 +238,35 @@ FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_re
 }
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Fixtures:
-    """The derived tables as DataFrames over one scale-factor folder."""
+    """The derived tables over one scale-factor folder.
+
+    Each is written once per application, facts partitioned by bank, so that the
+    operators read stored tables as they would in use.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self._sources = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in SOURCES}
+        self.spark, self.sf_dir = spark, sf_dir
 
-    def _run(self, text: str) -> DataFrame:
-        used = {n: df for n, df in self._sources.items() if "{" + n + "}" in text}
+    def _derive(self, text: str) -> DataFrame:
+        used = {n: self.spark.read.parquet(f"{self.sf_dir}/{n}.parquet") for n in SOURCES if "{" + n + "}" in text}
         return self.spark.sql(text.replace("{blob}", "BINARY").replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)"), **used)
 
+    def _stored(self, name: str, text: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STORED:
+            _STORED[key] = stage(self._derive(text), f"input-{name.lower()}", partition_by)
+        return _STORED[key]
+
     def table(self, name: str) -> DataFrame:
-        return self._run(TABLE_SQL[name])
+        partition_by = TABLES[name].partition_by if name in TABLES else ()
+        return self._stored(name, TABLE_SQL[name], partition_by)
 
     def landing(self, bank: str) -> DataFrame:
-        return self._run(landing_sql(bank))
+        return self._stored(f"landing-{bank}", landing_sql(bank))
 
 
 def check_sql(text: str) -> str:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ledgerloom.session import stage
 
+ONE_TASK_ROWS = 100_000  # counted sets up to this size may be numbered by one sort
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, position below
 
 
@@ -60,25 +62,40 @@ def _add_offset(staged, part, position, offsets, name):
 
 def hash_id(text: Column) -> Column:
     """Positive 63-bit id from the first 16 hex digits of an MD5; NULL for a NULL text."""
-    signed = F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("long")
-    return F.when(signed != F.lit(-(2**63)), F.abs(signed))
+    # try_cast, as the one value without a positive counterpart must give NULL, not an error.
+    digits = F.conv(F.substring(F.md5(text), 1, 16), 16, -10)
+    return F.ltrim(digits, F.lit("-")).try_cast("long")
+
+
+def lookups(**questions: DataFrame) -> dict:
+    """Answer several one-value questions (frames of one row and one column) in one job."""
+    parts = [df.select(F.lit(name).alias("name"), F.col(df.columns[0]).cast("long").alias("value"))
+             for name, df in questions.items()]
+    return {r["name"]: r["value"] for r in reduce(DataFrame.unionByName, parts).collect()}
+
+
+def highest(df: DataFrame, column: str, base: int = 0) -> DataFrame:
+    """Highest value so far, or ``base`` for an empty table, as a one-value frame."""
+    return df.agg(F.coalesce(F.max(column), F.lit(base)))
 
 
 def next_value(df: DataFrame, column: str, base: int = 0) -> int:
-    """Highest value so far, or ``base`` for an empty table."""
-    return df.agg(F.coalesce(F.max(column), F.lit(base))).first()[0]
+    return highest(df, column, base).first()[0]
 
 
 def assign_identity(
-    new_rows: DataFrame, existing: DataFrame, order: list[Column], columns: dict[str, int], label: str
+    new_rows: DataFrame, order: list[Column], starts: dict[str, int], label: str, at_most: int | None = None
 ) -> DataFrame:
-    """Give each new row the next values of one or more counters.
+    """Give each new row the next values of one or more counters, in the given order.
 
-    ``columns`` maps a counter column to the base used when the table is empty.
-    Counters advance together, in the given order.
+    ``starts`` maps a counter column to the last value in use.  ``at_most`` is a
+    counted upper bound of the rows; up to ``ONE_TASK_ROWS`` of them are numbered
+    by one sort, more go through the range-partitioned rank.  The result is
+    staged, so ids stay as given however often it is read.
     """
-    ranked = global_rank(new_rows, order, "_rank", label)
-    for column, base in columns.items():
-        start = next_value(existing, column, base)
-        ranked = ranked.withColumn(column, (F.col("_rank") + F.lit(start)).cast("int"))
-    return ranked.drop("_rank")
+    if at_most is not None and at_most <= ONE_TASK_ROWS:
+        ranked = new_rows.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
+    else:
+        ranked = global_rank(new_rows, order, "_rank", f"rank-{label}")
+    ids = {c: (F.col("_rank") + F.lit(start)).cast("int") for c, start in starts.items()}
+    return stage(ranked.withColumns(ids).drop("_rank"), label)

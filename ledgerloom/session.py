@@ -42,7 +42,7 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
     This cuts lineage (a lost executor re-reads files instead of re-running the
@@ -51,5 +51,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
