@@ -9,11 +9,15 @@ statement row at each of the seven banks, so each derived table grows with
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.plans.pipeline import refreshed
 from ledgerloom.schemas import LANDING, TABLES
 from ledgerloom.session import stage
 
+AS_OF = datetime(2025, 1, 1)
 SOURCES = ("orders", "customer", "nation", "region")
 
 BASE = """
@@ -225,8 +229,8 @@ TABLE_SQL = {
     "TRANSACTIONS": " UNION ALL ".join(_facts_of(b) for b in DESCRIPTIONS),
     "APPLICANTS": """
 SELECT c_custkey AS APPLICANT_NO,
-       CASE WHEN c_custkey % 3 = 0 THEN 'New ' || right(c_name, 6) ELSE c_name END AS FIRST_NAME,
-       lower(c_mktsegment) AS LAST_NAME, 'X' AS GENDER, '1990-01-02' AS DATE_OF_BIRTH,
+       CASE WHEN c_custkey % 3 = 0 THEN 'New ' || CAST(c_custkey - c_custkey % 12 AS STRING) ELSE c_name END AS FIRST_NAME,
+       CASE WHEN c_custkey % 3 = 0 THEN 'Comer' ELSE lower(c_mktsegment) END AS LAST_NAME, 'X' AS GENDER, '1990-01-02' AS DATE_OF_BIRTH,
        CASE WHEN c_custkey % 3 = 2 THEN CAST(c_custkey % 1000 AS STRING) || ' Moved Road'
             ELSE CAST(c_nationkey AS STRING) || ' ' || n_name || ' STREET' END AS ADDRESS_1,
        CAST(NULL AS STRING) AS ADDRESS_2, n_name AS CITY, r_name AS STATE,
@@ -268,6 +272,14 @@ class Fixtures:
     def landing(self, bank: str) -> DataFrame:
         return self._stored(f"landing-{bank}", landing_sql(bank))
 
+    def reporting(self) -> DataFrame:
+        """The reporting table of all facts."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "TRANSACTION_REPORTING")
+        if key not in _STORED:
+            named = [self.table(n) for n in ("TRANSACTIONS", "MCC_CATEGORY", "MCC_SUB_CATEGORY", "BANKS")]
+            _STORED[key] = stage(refreshed(*named, AS_OF), "input-reporting", ("BANK_ID",))
+        return _STORED[key]
+
 
 def check_sql(text: str) -> str:
     """The same text for the checking engine, with the tables under their own names."""

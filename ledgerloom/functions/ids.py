@@ -99,3 +99,24 @@ def assign_identity(
         ranked = global_rank(new_rows, order, "_rank", f"rank-{label}")
     ids = {c: (F.col("_rank") + F.lit(start)).cast("int") for c, start in starts.items()}
     return stage(ranked.withColumns(ids).drop("_rank"), label)
+
+
+def running_total(ranked: DataFrame, rank: str, flag: Column, name: str, bucket_rows: int = 1_000_000) -> DataFrame:
+    """Running sum of ``flag`` along a 1..n rank, by buckets of equal size.
+
+    Every bucket holds at most ``bucket_rows`` rows whatever the keys look like;
+    the bucket sums (one row per bucket) carry the total from one to the next.
+    """
+    flagged = ranked.withColumn("_flag", flag.cast("long")).withColumn(
+        "_bucket", F.floor((F.col(rank) - 1) / bucket_rows)
+    )
+    sums = flagged.groupBy("_bucket").agg(F.sum("_flag").alias("_sum"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select("_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carried"))
+    inside = Window.partitionBy("_bucket").orderBy(rank).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        flagged.withColumn("_inside", F.sum("_flag").over(inside))
+        .join(carried, "_bucket")
+        .withColumn(name, F.col("_inside") + F.col("_carried"))
+        .drop("_flag", "_bucket", "_inside", "_carried")
+    )

@@ -118,14 +118,15 @@ class Warehouse:
     def append(self, name: str, rows: DataFrame) -> None:
         self._ready(name, rows).write.insertInto(self.name(name))
 
-    def overwrite(self, name: str, rows: DataFrame) -> None:
-        """Replace the partitions (or the table) that ``rows`` touch.
+    def overwrite(self, name: str, rows: DataFrame, whole: bool = False) -> None:
+        """Replace the partitions that ``rows`` hold, or the whole table.
 
         The result is staged first: a table cannot be overwritten while it is
         being read, and a re-run after a lost write starts from whole files.
         """
+        mode = "static" if whole else "dynamic"
         staged = stage(rows.select(*TABLES[name].columns), name.lower())
-        self._ready(name, staged).write.option("partitionOverwriteMode", "dynamic").insertInto(
+        self._ready(name, staged).write.option("partitionOverwriteMode", mode).insertInto(
             self.name(name), overwrite=True
         )
 
