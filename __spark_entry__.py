@@ -100,6 +100,12 @@ def _reconcile(spark, sf) -> DataFrame:
     return reports.reconciliation(fx.table("TRANSACTIONS"), done)
 
 
+def _insert_ignore(spark, sf) -> DataFrame:
+    """A statement against a store that already holds some of its ids."""
+    stored = Fixtures(spark, sf).table("TRANSACTIONS").where(F.col("BANK_ID") == BANK_NUMBER["AMEX"])
+    return _load(spark, sf, "AMEX", target=stored).transactions
+
+
 def _insert_missing(spark, sf) -> DataFrame:
     fx = Fixtures(spark, sf)
     names = fx.landing("AMEX").where("CATEGORY IS NOT NULL").select(
@@ -215,9 +221,7 @@ def queries() -> dict[str, Query]:
         "counterparty_spend": _over(reports.counterparty_spend, r, name="Amazon"),
         "month_spend_by_bank": _over(reports.month_spend_by_bank, r, "BANKS", first_day=date(1998, 3, 1)),
         "refresh_all": lambda spark, sf: Fixtures(spark, sf).reporting(),
-        "insert_ignore": lambda spark, sf: _load(
-            spark, sf, "AMEX", target=Fixtures(spark, sf).table("TRANSACTIONS")
-        ).transactions,
+        "insert_ignore": _insert_ignore,
         "replace_into": _replace,
         "insert_missing": _insert_missing,
         "insert_row": _insert_row,
@@ -285,7 +289,8 @@ def oracle_sql() -> dict[str, str]:
         "month_spend_by_bank": told.month_by_bank(),
         "refresh_all": mined.reporting_sql(),
         "insert_ignore": loading.load_sql(
-            "AMEX", loading.owner_sql(BANK_NAMES["AMEX"]), existing=f"SELECT TRANSACTION_ID FROM {told.T} x"
+            "AMEX", loading.owner_sql(BANK_NAMES["AMEX"]),
+            existing=f"SELECT TRANSACTION_ID FROM {told.T} x WHERE BANK_ID = {BANK_NUMBER['AMEX']}"
         ),
         "replace_into": told.replaced(),
         "insert_missing": told.INSERT_MISSING,

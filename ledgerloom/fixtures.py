@@ -107,13 +107,13 @@ _PLAIN = "CASE WHEN k % 11 = 0 THEN NULL ELSE ' ' || lower(seg) END"
 LANDING_COLUMNS = {
     "AXIS": {
         "TRANSACTION_DATE": _MIXED, "POSTED_DATE": _US, "STATEMENT_DESC": DESCRIPTIONS["AXIS"],
-        "CATEGORY": _PLAIN, "DEBIT": _DEBIT, "CREDIT": _CREDIT,
+        "CATEGORY": _PLAIN, "DEBIT": f"CASE WHEN k % 89 = 0 THEN 'n/a' ELSE {_DEBIT} END", "CREDIT": _CREDIT,
     },
     "WELLSFARGO": {
         "TRANSACTION_DATE": "'\"' || " + _MIXED + " || '\"'", "POSTED_DATE": _US,
         "DESCRIPTION": DESCRIPTIONS["WELLSFARGO"],
-        "AMOUNT": "'\"' || CASE WHEN st = 'P' THEN '-' ELSE '' END || CASE WHEN k % 2 = 0 THEN amt ELSE "
-                  "substr(amt, 1, length(amt) - 6) || ',' || substr(amt, length(amt) - 5) END || '\"'",
+        "AMOUNT": "CASE WHEN k % 83 = 0 THEN '?' ELSE '\"' || CASE WHEN st = 'P' THEN '-' ELSE '' END || CASE WHEN k % 2 = 0 THEN amt ELSE "
+                  "substr(amt, 1, length(amt) - 6) || ',' || substr(amt, length(amt) - 5) END || '\"' END",
     },
     "AMEX": {
         "TRANSACTION_DATE": _BAD, "DESCRIPTION": DESCRIPTIONS["AMEX"], "AMOUNT": _SIGNED,
@@ -139,7 +139,7 @@ LANDING_COLUMNS = {
         "CATEGORY": _PLAIN,
     },
     "CITI": {
-        "TRANSACTION_DATE": _US, "POSTED_DATE": _US, "DESCRIPTION": DESCRIPTIONS["CITI"], "CATEGORY": _PLAIN,
+        "TRANSACTION_DATE": _BAD, "POSTED_DATE": _US, "DESCRIPTION": DESCRIPTIONS["CITI"], "CATEGORY": _PLAIN,
         "DEBIT": _DEBIT, "CREDIT": "CASE WHEN st = 'P' THEN '-' || amt WHEN k % 2 = 0 THEN NULL ELSE '' END",
     },
 }

@@ -101,8 +101,7 @@ def regex_first(col: Column, pattern: str) -> Column:
 
 def number(col: Column, precision: int, scale: int) -> Column:
     """Leading number of a text as a decimal, rounded half up; NULL where there is none."""
-    text = F.regexp_extract(col, LEADING_NUMBER, 1)
-    return F.nullif(text, F.lit("")).try_cast(f"decimal({precision},{scale})")
+    return F.regexp_extract(col, LEADING_NUMBER, 1).try_cast(f"decimal({precision},{scale})")
 
 
 def plain_number_text(value: Column) -> Column:

@@ -132,7 +132,7 @@ def _signed_card(purchase, purchase_sub):
 
 def _either_date(col: Column) -> Column:
     """Day first where the text holds a dash, else month first."""
-    text = F.nullif(F.trim(col), _text(""))
+    text = F.trim(col)
     return F.when(col.contains("-"), date_text(text, DAY_FIRST_DATE)).otherwise(date_text(text, US_DATE))
 
 

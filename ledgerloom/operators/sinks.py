@@ -4,23 +4,22 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.schemas import TABLES, Table
 from ledgerloom.session import stage
 
 
 def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """First row of every key in the given order.
+    """First row of every key in the given order; the other columns break ties.
 
-    A minimum over a struct combines on the map side, so a key that holds a
+    The rank limit is applied on the map side as well, so a key that holds a
     third of all rows still reaches the reduce side as one row per map task.
     """
-    rest = [c for c in rows.columns if c not in key]
-    lead = [c for c in order if c in rest]
-    payload = F.struct(*lead, *[c for c in rest if c not in lead])
-    picked = rows.groupBy(*key).agg(F.min(payload).alias("_row"))
-    return picked.select(*[F.col(c) if c in key else F.col(f"_row.{c}") for c in rows.columns])
+    lead = [c for c in order if c not in key]
+    rest = [c for c in rows.columns if c not in key and c not in lead]
+    first = Window.partitionBy(*key).orderBy(*lead, *rest)
+    return rows.withColumn("_ROW", F.row_number().over(first)).where("_ROW = 1").drop("_ROW")
 
 
 def insert_ignore(rows: DataFrame, target: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -50,9 +49,7 @@ def insert_missing(candidates: DataFrame, target: DataFrame, key: list[str]) ->
 
 def folded_keys(df: DataFrame, key: list[str]) -> DataFrame:
     is_text = dict(df.dtypes)
-    return df.select(
-        *[(F.upper(c) if is_text[c] == "string" else F.col(c)).alias(f"_K_{c}") for c in key]
-    ).distinct()
+    return df.select(*[(F.upper(c) if is_text[c] == "string" else F.col(c)).alias(f"_K_{c}") for c in key])
 
 
 def _same_key(candidates: DataFrame, key: list[str]) -> Column:
