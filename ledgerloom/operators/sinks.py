@@ -115,18 +115,31 @@ class Warehouse:
     def append(self, name: str, rows: DataFrame) -> None:
         self._ready(name, rows).write.insertInto(self.name(name))
 
-    def overwrite(self, name: str, rows: DataFrame, whole: bool = False) -> None:
-        """Replace the partitions that ``rows`` hold, or the whole table.
+    def overwrite_partition(self, name: str, rows: DataFrame, **partition: int) -> None:
+        """Replace one partition.
 
-        The result is staged first: a table cannot be overwritten while it is
-        being read, and a re-run after a lost write starts from whole files.
+        It is named in the statement, so no session setting can widen the
+        overwrite.  The rows are staged first: a table cannot be overwritten
+        while it is being read, and a lost write is repeated from whole files.
         """
-        mode = "static" if whole else "dynamic"
         staged = stage(rows.select(*TABLES[name].columns), name.lower())
-        self._ready(name, staged).write.option("partitionOverwriteMode", mode).insertInto(
-            self.name(name), overwrite=True
+        columns = [c for c in self.spark.table(self.name(name)).columns if c not in partition]
+        where = ", ".join(f"{c} = {int(v)}" for c, v in partition.items())
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {self.name(name)} PARTITION ({where}) "
+            f"SELECT /*+ REBALANCE */ {', '.join(columns)} FROM {{staged}}",
+            staged=staged,
         )
 
+    def overwrite(self, name: str, rows: DataFrame) -> None:
+        """Replace the whole table, staged first as above."""
+        staged = stage(rows.select(*TABLES[name].columns), name.lower())
+        if TABLES[name].partition_by:
+            self.truncate(name)
+            self.append(name, staged)
+        else:
+            self._ready(name, staged).write.insertInto(self.name(name), overwrite=True)
+
     def truncate(self, name: str) -> None:
         self.spark.sql(f"TRUNCATE TABLE {self.name(name)}")
 

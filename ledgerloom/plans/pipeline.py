@@ -86,7 +86,8 @@ class Ledger:
             raise ValueError(f"{bank}: data too long for {breach}")
         # A fact keeps its bank, so only this bank's partition can hold its keys.
         stored = self.store.read("TRANSACTION_REPORTING").where(F.col("BANK_ID") == bank_id)
-        self.store.overwrite("TRANSACTION_REPORTING", replace_into(rows, stored, list(REPORTING.key)))
+        merged = replace_into(rows, stored, list(REPORTING.key))
+        self.store.overwrite_partition("TRANSACTION_REPORTING", merged, BANK_ID=bank_id)
         return rows.count()
 
     def refresh(self, banks: list[str] | None = None) -> dict[str, str]:
@@ -135,4 +136,4 @@ class Ledger:
         kept = cascade_delete(
             self.store.read("TRANSACTION_REPORTING"), self.store.read("TRANSACTIONS"), "TRANSACTION_ID"
         )
-        self.store.overwrite("TRANSACTION_REPORTING", kept, whole=True)
+        self.store.overwrite("TRANSACTION_REPORTING", kept)
