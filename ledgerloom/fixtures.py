@@ -259,18 +259,22 @@ class Fixtures:
         used = {n: self.spark.read.parquet(f"{self.sf_dir}/{n}.parquet") for n in SOURCES if "{" + n + "}" in text}
         return self.spark.sql(text.replace("{blob}", "BINARY").replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)"), **used)
 
-    def _stored(self, name: str, text: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def _stored(self, name: str, text: str, partition_by: tuple[str, ...] = (), spread: bool = False) -> DataFrame:
+        """``spread`` writes as many files as there are cores, as a large table would have at least."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _STORED:
-            _STORED[key] = stage(self._derive(text), f"input-{name.lower()}", partition_by)
+            rows = self._derive(text)
+            if spread:
+                rows = rows.repartition(self.spark.sparkContext.defaultParallelism)
+            _STORED[key] = stage(rows, f"input-{name.lower()}", partition_by)
         return _STORED[key]
 
     def table(self, name: str) -> DataFrame:
         partition_by = TABLES[name].partition_by if name in TABLES else ()
-        return self._stored(name, TABLE_SQL[name], partition_by)
+        return self._stored(name, TABLE_SQL[name], partition_by, spread=name == "TRANSACTIONS")
 
     def landing(self, bank: str) -> DataFrame:
-        return self._stored(f"landing-{bank}", landing_sql(bank))
+        return self._stored(f"landing-{bank}", landing_sql(bank), spread=True)
 
     def reporting(self) -> DataFrame:
         """The reporting table of all facts."""

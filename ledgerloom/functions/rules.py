@@ -42,8 +42,10 @@ def conditions_of(rule) -> list[Match]:
     return [Match(i) if isinstance(i, str) else i for i in items]
 
 
-def _test(match: Match) -> Column:
-    """``_FOLDED_<column>`` holds the upper-cased text, computed once per row."""
+def _test(match: Match, found: dict[str, Column]) -> Column:
+    """``_FOLDED_<column>`` holds the upper-cased text; ``found`` the first match of patterns already searched."""
+    if match.pattern in found:
+        return found[match.pattern].isNotNull()
     if match.kind == "regex":
         return F.col(match.column).rlike("(?i)" + match.pattern)
     folded = F.col("_FOLDED_" + match.column)
@@ -58,9 +60,9 @@ def _result(result, parts: dict[str, Column]) -> Column:
     return F.lit(result).cast("string")
 
 
-def first_match(ladder: Ladder, parts: dict[str, Column]) -> Column:
+def first_match(ladder: Ladder, parts: dict[str, Column], found: dict[str, Column] | None = None) -> Column:
     chain = F
     for rule in ladder.rules:
-        chain = chain.when(any_of(_test(m) for m in conditions_of(rule)), _result(rule[1], parts))
+        chain = chain.when(any_of(_test(m, found or {}) for m in conditions_of(rule)), _result(rule[1], parts))
     default = _result(ladder.default, parts)
     return default if chain is F else chain.otherwise(default)

@@ -70,7 +70,7 @@ def _amex(d: Column) -> dict[str, Column]:
 def _discover(d: Column) -> dict[str, Column]:
     return {
         "merchant": regex_drop(regex_drop(d, fixed.DISCOVER_AMAZON, "AMAZON"), fixed.DISCOVER_NOISE),
-        "place": regex_first(d, fixed.DISCOVER_PLACE),
+        "place": F.col("_PLACE"),
         "ext_upper": clean_upper(F.col("EXT_DESCRIPTION")),
         "long_number": regex_first(d, fixed.LONG_NUMBER),
     }
@@ -87,7 +87,7 @@ def _capitalone(d: Column) -> dict[str, Column]:
 def _apple(d: Column) -> dict[str, Column]:
     return {
         "merchant": regex_drop(drop_all(d, fixed.APPLE_PREFIXES), fixed.APPLE_NOISE),
-        "place": regex_drop(regex_first(d, fixed.APPLE_PLACE), fixed.APPLE_PLACE_NOISE),
+        "place": regex_drop(F.col("_PLACE"), fixed.APPLE_PLACE_NOISE),
         "sub_upper": clean_upper(F.col("SUB_CATG_NAME")),
         "plan": regex_first(d, fixed.APPLE_PLAN),
     }
@@ -96,10 +96,13 @@ def _apple(d: Column) -> dict[str, Column]:
 def _citi(d: Column) -> dict[str, Column]:
     return {
         "merchant": regex_drop(drop_all(d, fixed.CITI_PREFIXES), fixed.CITI_NOISE),
-        "place": regex_first(d, fixed.CITI_PLACE),
+        "place": F.col("_PLACE"),
     }
 
 
+# The place is both tested for and cut out, so its search runs once, as a column of its own.
+_PLACES = {"DISCOVER": fixed.DISCOVER_PLACE, "APPLE": fixed.APPLE_PLACE, "CITI": fixed.CITI_PLACE}
+
 _PARTS = {
     "AXIS": _axis, "WELLSFARGO": _wellsfargo, "AMEX": _amex, "DISCOVER": _discover,
     "CAPITALONE": _capitalone, "APPLE": _apple, "CITI": _citi,
@@ -115,15 +118,21 @@ def _ladder_inputs(ladders: dict[str, Ladder]) -> list[str]:
     return sorted(wanted)
 
 
-def mine(df: DataFrame, ladders: dict[str, Ladder], parts: dict[str, Column], trimmed: set[str]) -> DataFrame:
-    """Add one column per ladder.  The folded text is a column of its own so it is made once per row."""
-    inputs = _ladder_inputs(ladders)
-    folded = df.select("*", *[F.upper(F.col(c)).alias("_FOLDED_" + c) for c in inputs])
+def mine(
+    df: DataFrame, ladders: dict[str, Ladder], parts: dict[str, Column], trimmed: set[str], place: str | None = None
+) -> DataFrame:
+    """Add one column per ladder.  Folded texts and the place are columns first, so each is made once per row."""
+    made = [F.upper(F.col(c)).alias("_FOLDED_" + c) for c in _ladder_inputs(ladders)]
+    found = {}
+    if place is not None:
+        made.append(regex_first(F.col("DESCRIPTION"), place).alias("_PLACE"))
+        found[place] = F.col("_PLACE")
+    prepared = df.select("*", *made)
     values = []
     for name, ladder in ladders.items():
-        value = first_match(ladder, parts)
+        value = first_match(ladder, parts, found)
         values.append((F.trim(value) if name in trimmed else value).alias(name))
-    return folded.select(*[F.col(c) for c in df.columns], *values)
+    return prepared.select(*[F.col(c) for c in df.columns], *values)
 
 
 def bank_id_of(banks: DataFrame, rules: BankRules, names: tuple[str, ...] | None = None) -> int:
@@ -156,7 +165,7 @@ def enrich(
     rules = BANKS[bank]
     facts = transactions.where(F.col("BANK_ID") == bank_id)
     named = with_names(facts, categories, sub_categories)
-    mined = mine(named, rules.fields, _PARTS[bank](F.col("DESCRIPTION")), _TRIMMED)
+    mined = mine(named, rules.fields, _PARTS[bank](F.col("DESCRIPTION")), _TRIMMED, _PLACES.get(bank))
     return mined.select(
         *[_reporting_column(f.name, f.dataType, mined.columns, as_of) for f in REPORTING.schema]
     )
@@ -178,7 +187,8 @@ def preview(bank: str, transactions: DataFrame, sub_categories: DataFrame, bank_
         names = sub_categories.select("SUB_CATG_ID", "SUB_CATG_NAME")
         rows = rows.join(names, "SUB_CATG_ID", "left")
     rows = rows.select("TRANSACTION_ID", *rules.preview_columns)
-    mined = mine(rows, rules.preview, _PARTS[bank](F.col("DESCRIPTION")), _TRIMMED_IN_PREVIEW)
+    parts = _PARTS[bank](F.col("DESCRIPTION"))
+    mined = mine(rows, rules.preview, parts, _TRIMMED_IN_PREVIEW, _PLACES.get(bank))
     raw = {"DESCRIPTION": "RAW_DESC", "EXT_DESCRIPTION": "RAW_EXT_DESC", "SUB_CATG_NAME": "RAW_SUB_CATG"}
     return mined.withColumnsRenamed({c: raw[c] for c in rules.preview_columns})
 

@@ -31,9 +31,14 @@ def insert_ignore(rows: DataFrame, target: DataFrame, key: list[str], order: lis
     return first_per_key(rows, key, order).join(target.select(*key), key, "left_anti").select(*rows.columns)
 
 
+def untouched(rows: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
+    """Target rows that a replace leaves as they are."""
+    return target.join(rows.select(*key), key, "left_anti").select(*target.columns)
+
+
 def replace_into(rows: DataFrame, target: DataFrame, key: list[str], table: Table | None = None) -> DataFrame:
     """Whole-row upsert by key.  Columns the source does not give fall back to NULL, other rows stay."""
-    kept = target.join(rows.select(*key), key, "left_anti").select(*target.columns)
+    kept = untouched(rows, target, key)
     given = rows
     if table is not None:
         for field in table.schema:
@@ -116,29 +121,23 @@ class Warehouse:
         self._ready(name, rows).write.insertInto(self.name(name))
 
     def overwrite_partition(self, name: str, rows: DataFrame, **partition: int) -> None:
-        """Replace one partition.
+        """Replace one partition by ``rows``, which must not be read from the table itself.
 
-        It is named in the statement, so no session setting can widen the
-        overwrite.  The rows are staged first: a table cannot be overwritten
-        while it is being read, and a lost write is repeated from whole files.
+        The partition is named in the statement, so no session setting can widen
+        the overwrite.
         """
-        staged = stage(rows.select(*TABLES[name].columns), name.lower())
         columns = [c for c in self.spark.table(self.name(name)).columns if c not in partition]
         where = ", ".join(f"{c} = {int(v)}" for c, v in partition.items())
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name(name)} PARTITION ({where}) "
-            f"SELECT /*+ REBALANCE */ {', '.join(columns)} FROM {{staged}}",
-            staged=staged,
+            f"SELECT /*+ REBALANCE */ {', '.join(columns)} FROM {{rows}}",
+            rows=rows,
         )
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
-        """Replace the whole table, staged first as above."""
+        """Replace an unpartitioned table; staged first, as a table cannot be overwritten while it is read."""
         staged = stage(rows.select(*TABLES[name].columns), name.lower())
-        if TABLES[name].partition_by:
-            self.truncate(name)
-            self.append(name, staged)
-        else:
-            self._ready(name, staged).write.insertInto(self.name(name), overwrite=True)
+        staged.select(*self.spark.table(self.name(name)).columns).write.insertInto(self.name(name), overwrite=True)
 
     def truncate(self, name: str) -> None:
         self.spark.sql(f"TRUNCATE TABLE {self.name(name)}")

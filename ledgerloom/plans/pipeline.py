@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 from functools import reduce
 
@@ -12,9 +13,9 @@ from ledgerloom.operators import audit, loaders, onboarding
 from ledgerloom.operators.bank_rules import BANKS
 from ledgerloom.operators.mining import bank_id_of, enrich
 from ledgerloom.operators.quality import longest_breach
-from ledgerloom.operators.sinks import Warehouse, cascade_delete, replace_into
+from ledgerloom.operators.sinks import Warehouse, cascade_delete, untouched
 from ledgerloom.schemas import REPORTING
-from ledgerloom.session import stage
+from ledgerloom.session import stage, staging_scope
 
 
 def refreshed(
@@ -29,7 +30,11 @@ def refreshed(
 
 
 class Ledger:
-    """Jobs that write.  Everything is computed and staged before the first table is touched."""
+    """Jobs that write.  Everything is computed and staged before the first table is touched.
+
+    Each job can be run again after a failure: names and ids that made it into
+    the tables are found there, and the rest is added.
+    """
 
     def __init__(self, warehouse: Warehouse, clock: Callable[[], datetime] = datetime.now):
         self.store, self.clock = warehouse, clock
@@ -37,10 +42,19 @@ class Ledger:
     def _write_log(self, entry: dict) -> None:
         self.store.append("ETL_LOG", audit.log_frame(self.store.spark, [entry]))
 
-    def _started(self, proc: str, bank_id: int | None = None) -> dict:
+    @contextmanager
+    def _logged(self, proc: str, bank_id: int | None = None) -> Iterator[dict]:
+        """A STARTED row before the work; SUCCESS with ``rows`` or FAILED with the message after it."""
         entry = audit.log_row(self.store.read("ETL_LOG"), proc, bank_id, self.clock())
         self._write_log(entry)
-        return entry
+        outcome = {"rows": 0}
+        try:
+            with staging_scope(self.store.spark):
+                yield outcome
+        except Exception as error:
+            self._write_log(audit.finished(entry, self.clock(), error=str(error)))
+            raise
+        self._write_log(audit.finished(entry, self.clock(), rows=outcome["rows"]))
 
     def dimensions(self) -> loaders.Dimensions:
         read = self.store.read
@@ -49,31 +63,33 @@ class Ledger:
         )
 
     def load(
-        self, bank: str, landing: DataFrame, user_name: str, bank_name: str, card_last4: str, **options
-    ) -> DataFrame:
-        """Load one statement and return its rejects.  A failed load is logged and raised."""
+        self, bank: str, landing: DataFrame, user_name: str, bank_name: str, card_last4: str,
+        rejects_path: str | None = None, **options,
+    ) -> int:
+        """Load one statement and return the number of new facts.
+
+        Rejected rows go to ``rejects_path`` if one is given.  A failed load is
+        logged and raised; an unknown owner is raised before anything is logged.
+        """
         dims = self.dimensions()
         owner = loaders.resolve(dims, user_name, bank_name, card_last4)
-        entry = self._started(f"load_{bank.lower()}", owner["bank"])
-        try:
+        with self._logged(f"load_{bank.lower()}", owner["bank"]) as outcome:
             result = loaders.load_statement(
                 bank, landing, dims, self.store.read("TRANSACTIONS"), user_name, bank_name, card_last4,
                 self.clock(), **options,
             )
             facts = stage(result.transactions, "new-facts")
-            rejects = stage(result.rejects, "rejects")
+            outcome["rows"] = facts.count()
+            if rejects_path is not None:
+                result.rejects.write.parquet(rejects_path)
             self.store.append("MCC_CATEGORY", result.new_categories)
             self.store.append("MCC_SUB_CATEGORY", result.new_sub_categories)
             self.store.append("TRANSACTIONS", facts)
-        except Exception as error:
-            self._write_log(audit.finished(entry, self.clock(), error=str(error)))
-            raise
-        self._write_log(audit.finished(entry, self.clock(), rows=facts.count()))
-        return rejects
+        return outcome["rows"]
 
     def refresh_bank(self, bank: str) -> int:
         """Replace one bank's reporting rows.  A text over its length fails the bank as a whole."""
-        bank_id = bank_id_of(self.store.read("BANKS"), BANKS[bank])
+        key, bank_id = list(REPORTING.key), bank_id_of(self.store.read("BANKS"), BANKS[bank])
         rows = stage(
             enrich(
                 bank, self.store.read("TRANSACTIONS"), self.store.read("MCC_CATEGORY"),
@@ -86,54 +102,55 @@ class Ledger:
             raise ValueError(f"{bank}: data too long for {breach}")
         # A fact keeps its bank, so only this bank's partition can hold its keys.
         stored = self.store.read("TRANSACTION_REPORTING").where(F.col("BANK_ID") == bank_id)
-        merged = replace_into(rows, stored, list(REPORTING.key))
-        self.store.overwrite_partition("TRANSACTION_REPORTING", merged, BANK_ID=bank_id)
+        kept = stage(untouched(rows, stored, key), "reporting-kept")
+        self.store.overwrite_partition("TRANSACTION_REPORTING", rows.unionByName(kept), BANK_ID=bank_id)
         return rows.count()
 
     def refresh(self, banks: list[str] | None = None) -> dict[str, str]:
         """Refresh the banks in order; one that fails is logged and the rest still run."""
         states = {}
         for bank in banks or BANKS:
-            entry = self._started(f"refresh_{bank.lower()}")
             try:
-                count = self.refresh_bank(bank)
-                self._write_log(audit.finished(entry, self.clock(), rows=count))
+                with self._logged(f"refresh_{bank.lower()}") as outcome:
+                    outcome["rows"] = self.refresh_bank(bank)
                 states[bank] = "SUCCESS"
-            except Exception as error:
-                self._write_log(audit.finished(entry, self.clock(), error=str(error)))
+            except Exception:
                 states[bank] = "FAILED"
         return states
 
-    def onboard(self, applicants: DataFrame, key: str, **options) -> DataFrame:
-        """Onboard a frame of applicants and return one result row for each."""
-        entry = self._started("onboard_members")
-        try:
+    def onboard(self, applicants: DataFrame, key: str, results_path: str | None = None, **options) -> int:
+        """Onboard a frame of applicants and return the number of new dimension rows.
+
+        One result row per applicant goes to ``results_path`` if one is given.
+        """
+        with self._logged("onboard_members") as outcome:
             now, read = self.clock(), self.store.read
             result = onboarding.onboard(
                 applicants, read("MEMBER_ADDRESS"), read("MEMBERS"), read("BANKS"), read("CARDS"), key, now, **options
             )
-            outcome = stage(result.results, "onboarding-results")
-            parts = {
+            created = {
                 "MEMBER_ADDRESS": result.new_addresses, "BANKS": result.new_banks, "CARDS": result.new_cards,
             }
-            staged = {name: stage(df, name.lower()) for name, df in parts.items()}
-            created = result.new_members.count() + sum(df.count() for df in staged.values())
+            staged = {name: stage(df, name.lower()) for name, df in created.items()}
+            outcome["rows"] = result.new_members.count() + sum(df.count() for df in staged.values())
+            if results_path is not None:
+                result.results.write.parquet(results_path)
             self.store.overwrite("MEMBERS", onboarding.members_after(read("MEMBERS"), result, now))
             for name, df in staged.items():
                 self.store.append(name, df)
-        except Exception as error:
-            self._write_log(audit.finished(entry, self.clock(), error=str(error)))
-            raise
-        self._write_log(audit.finished(entry, self.clock(), rows=created))
-        return outcome
+        return outcome["rows"]
 
     def clear_transactions(self) -> None:
         """Empty the fact table and nothing else."""
         self.store.truncate("TRANSACTIONS")
 
     def cascade(self) -> None:
-        """Remove reporting rows whose fact is gone."""
-        kept = cascade_delete(
-            self.store.read("TRANSACTION_REPORTING"), self.store.read("TRANSACTIONS"), "TRANSACTION_ID"
-        )
-        self.store.overwrite("TRANSACTION_REPORTING", kept)
+        """Remove reporting rows whose fact is gone, rewriting only the banks that hold some."""
+        rows = self.store.read("TRANSACTION_REPORTING")
+        facts = self.store.read("TRANSACTIONS")
+        lost = untouched(facts, rows, ["TRANSACTION_ID"]).select("BANK_ID").distinct()
+        for (bank_id,) in lost.collect():
+            with staging_scope(self.store.spark):
+                here = rows.where(F.col("BANK_ID") == bank_id)
+                kept = stage(cascade_delete(here, facts, "TRANSACTION_ID"), "reporting-kept")
+                self.store.overwrite_partition("TRANSACTION_REPORTING", kept, BANK_ID=bank_id)

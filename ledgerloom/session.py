@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,16 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+SHUFFLE_BYTES = 256 * 1024**2  # wanted size of one shuffle partition
+
 
+def shuffle_partitions(data_bytes: int) -> int:
+    """Shuffle partitions for the largest input; adaptive execution merges those that turn out small."""
+    return max(200, -(-data_bytes // SHUFFLE_BYTES))
 
-def build_session(master: str | None = None, app: str = "ledgerloom", **extra: str) -> SparkSession:
+
+def build_session(
+    master: str | None = None, app: str = "ledgerloom", data_bytes: int | None = None, **extra: str
+) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    sized = {"spark.sql.shuffle.partitions": str(shuffle_partitions(data_bytes))} if data_bytes else {}
+    for key, value in {**SETTINGS, **sized, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -41,6 +53,9 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+_OPEN_SCOPES: list[list[str]] = []
+
+
 def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
@@ -50,5 +65,23 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in _OPEN_SCOPES[-1:]:
+        scope.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block when it ends.
+
+    A job's staged tables can be as large as its input, so a job that has
+    written its results does not leave them behind.
+    """
+    _OPEN_SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN_SCOPES.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from ledgerloom.operators import audit, profile
 from ledgerloom.operators.sinks import Warehouse
 from ledgerloom.plans.pipeline import Ledger
 from ledgerloom.schemas import BANKS, LANDING, TABLES
+from ledgerloom.session import staging_root
 from tests.test_onboarding import APPLICANTS, applicant
 
 END = datetime(9999, 12, 31, 23, 59, 59)
@@ -33,7 +35,7 @@ def ledger(spark):
     people = [applicant(1, "Ann", "Lee", "1 Oak", "Axis Bank", "4000111122221111"),
               applicant(2, "Ann", "Lee", "1 Oak", "Apple Bank", "4000111122222222")]
     frame = spark.createDataFrame([tuple(p[c] for c in APPLICANTS.columns) for p in people], APPLICANTS.schema)
-    assert ledger.onboard(frame, "key").count() == 2
+    assert ledger.onboard(frame, "key") == 6
     return ledger
 
 
@@ -49,17 +51,23 @@ def axis_rows(spark):
     )
 
 
+def staged_tables(spark):
+    return set(Path(staging_root(spark).removeprefix("file:")).glob("*"))
+
+
 def state(ledger, proc):
     rows = audit.latest(ledger.store.read("ETL_LOG")).where(F.col("PROC_NAME") == proc).orderBy("LOG_ID").collect()
     return [(r["STATUS"], r["ROWS_PROCESSED"]) for r in rows]
 
 
-def test_load_refresh_and_repeat(spark, ledger):
-    store = ledger.store
-    rejects = ledger.load("AXIS", axis_rows(spark), "Ann", "Axis Bank", "1111")
-    assert [r["REASON"] for r in rejects.collect()] == ["no usable amount"]
+def test_load_refresh_and_repeat(spark, ledger, tmp_path):
+    store, rejects = ledger.store, str(tmp_path / "rejects")
+    before = staged_tables(spark)
+    assert ledger.load("AXIS", axis_rows(spark), "Ann", "Axis Bank", "1111", rejects_path=rejects) == 2
+    assert [r["REASON"] for r in spark.read.parquet(rejects).collect()] == ["no usable amount"]
     assert store.read("TRANSACTIONS").count() == 2
-    ledger.load("AXIS", axis_rows(spark), "Ann", "Axis Bank", "1111")
+    assert ledger.load("AXIS", axis_rows(spark), "Ann", "Axis Bank", "1111") == 0
+    assert staged_tables(spark) == before
     assert store.read("TRANSACTIONS").count() == 2
     assert state(ledger, "load_axis") == [("SUCCESS", 2), ("SUCCESS", 0)]
 
@@ -97,10 +105,12 @@ def test_failed_load_is_logged_and_raised(spark, ledger):
     assert state(ledger, "load_axis")[-1] == ("FAILED", 0)
 
 
-def test_moving_closes_a_version(spark, ledger):
+def test_moving_closes_a_version(spark, ledger, tmp_path):
     moved = applicant(1, "Ann", "Lee", "9 Elm", "Axis Bank", "4000111122221111")
     frame = spark.createDataFrame([tuple(moved[c] for c in APPLICANTS.columns)], APPLICANTS.schema)
-    result = ledger.onboard(frame, "key").first()
+    results = str(tmp_path / "results")
+    ledger.onboard(frame, "key", results_path=results)
+    result = spark.read.parquet(results).first()
     members = {r["MEMBER_ID"]: (r["IS_CURRENT"], r["EFF_END_DATE"] == END) for r in ledger.store.read("MEMBERS").collect()}
     assert members == {1: (0, False), 2: (1, True)} and result["ACTIVE_MEMBER_ID"] == 2
     assert ledger.store.read("CARDS").where("LAST_4 = '1111' AND IS_CURRENT = 1").count() == 2
