@@ -26,7 +26,8 @@ def global_rank(df: DataFrame, order: list[Column], name: str, label: str) -> Da
     column counts the partitions, and the counts (one row per partition, so a
     proven bound) become the offsets.  A trailing salt in the range key lets a
     run of equal rows spread over several partitions; as equal rows are
-    interchangeable the numbering stays well defined.
+    interchangeable the numbering stays well defined.  The input must give its
+    rows in the same order when a task runs again, as a file scan does.
     """
     salted = df.withColumn("_salt", F.monotonically_increasing_id())
     keys = [*order, F.col("_salt")]
