@@ -83,7 +83,7 @@ def _members_after(spark, sf) -> DataFrame:
 def _replace(spark, sf) -> DataFrame:
     """Apple's rows again, later and without a place: the place falls back to its default."""
     fx = Fixtures(spark, sf)
-    rows = _enriched(fx, "APPLE").drop("GEOGRAPHY").withColumn("LAST_REFRESHED", F.lit(LATER).cast("timestamp_ntz"))
+    rows = _enriched(fx, "APPLE").drop("GEOGRAPHY").withColumn("LAST_REFRESHED", X.moment(LATER))
     return sinks.replace_into(rows, fx.reporting(), list(REPORTING.key), REPORTING)
 
 

@@ -84,6 +84,11 @@ def next_value(df: DataFrame, column: str, base: int = 0) -> int:
     return highest(df, column, base).first()[0]
 
 
+def in_one_task(df: DataFrame, rows: int | None) -> DataFrame:
+    """A frame counted as small, held by one task so that nothing built on it needs a shuffle."""
+    return df.coalesce(1) if rows is not None and rows <= ONE_TASK_ROWS else df
+
+
 def assign_identity(
     new_rows: DataFrame, order: list[Column], starts: dict[str, int], label: str, at_most: int | None = None
 ) -> DataFrame:

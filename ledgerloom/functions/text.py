@@ -8,6 +8,7 @@ expression and stays inside whole-stage code generation.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -20,16 +21,6 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
-def all_of(conditions: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
-def has(col: Column, *words: str) -> Column:
-    """True where the text holds one of the words, case ignored."""
-    folded = F.upper(col)
-    return any_of(folded.contains(word.upper()) for word in words)
-
-
 def filled(col: Column) -> Column:
     """Neither NULL nor empty."""
     return col.isNotNull() & (col != "")
@@ -114,3 +105,8 @@ def plain_number_text(value: Column) -> Column:
 def date_text(col: Column, pattern: str) -> Column:
     """Text to timestamp by a date pattern, NULL on bad input."""
     return F.try_to_date(col, pattern).cast("timestamp_ntz")
+
+
+def moment(at: datetime) -> Column:
+    """A point in time without zone, whatever zones the session and the driver are in."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")

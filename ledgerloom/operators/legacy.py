@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.ids import assign_identity, highest, lookups
-from ledgerloom.functions.text import byte_length, date_text, fold, from_position, not_blank, number
+from ledgerloom.functions.text import byte_length, date_text, fold, from_position, moment, not_blank, number
 from ledgerloom.operators.loaders import CREDIT, DEBIT, US_DATE
 from ledgerloom.schemas import CATEGORY, SUB_CATEGORY
 
@@ -29,7 +29,7 @@ def _seed_rows(landing: DataFrame) -> DataFrame:
 
 
 def _stamped(df: DataFrame, as_of: datetime, user: str) -> DataFrame:
-    return df.withColumns({"ADDED_USER": F.lit(user), "ADDED_DATETIME": F.lit(as_of).cast("timestamp_ntz")})
+    return df.withColumns({"ADDED_USER": F.lit(user), "ADDED_DATETIME": moment(as_of)})
 
 
 def seed_categories(landing: DataFrame, categories: DataFrame, as_of: datetime, user: str = "LOADER") -> DataFrame:

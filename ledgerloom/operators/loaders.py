@@ -25,9 +25,10 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.ids import assign_identity, content_key, global_rank, hash_id, highest, lookups
+from ledgerloom.functions.ids import assign_identity, content_key, global_rank, hash_id, highest, in_one_task, lookups
 from ledgerloom.functions.text import (
-    any_of, byte_length, clean_upper, date_text, filled, fold, from_position, not_blank, number, plain_number_text,
+    any_of, byte_length, clean_upper, date_text, filled, fold, from_position, moment, not_blank, number,
+    plain_number_text,
 )
 from ledgerloom.operators.sinks import insert_ignore, insert_missing
 from ledgerloom.schemas import CATEGORY, LANDING, SUB_CATEGORY, TRANSACTIONS
@@ -323,13 +324,16 @@ def _lowest(df: DataFrame, key: str, column: str, value: str) -> DataFrame:
 
 
 def resolve(dims: Dimensions, user_name: str, bank_name: str, card_last4: str) -> dict[str, int]:
-    """Ids of the current member, bank and card (the lowest where several match) and the last category ids."""
+    """Ids of the current member, bank and card (the lowest where several match), and the last ids and
+    sizes of the category tables."""
     found = lookups(
         member=_lowest(dims.members, "MEMBER_ID", "FIRST_NAME", user_name),
         bank=_lowest(dims.banks, "BANK_ID", "BANK_NAME", bank_name),
         card=_lowest(dims.cards, "CARD_ID", "LAST_4", card_last4),
         last_category=highest(dims.categories, "CATG_ID"),
         last_sub_category=highest(dims.sub_categories, "SUB_CATG_ID"),
+        categories=dims.categories.agg(F.count("*")),
+        sub_categories=dims.sub_categories.agg(F.count("*")),
     )
     if None in found.values():
         raise ValueError("validation failed: no active member, bank or card found")
@@ -375,7 +379,7 @@ def onboard_sub_categories(
 
 def _audited(df: DataFrame, as_of: datetime, user: str = AUTO_USER) -> DataFrame:
     return df.withColumns(
-        {"ADDED_USER": F.lit(user), "ADDED_DATETIME": F.lit(as_of).cast("timestamp_ntz")}
+        {"ADDED_USER": F.lit(user), "ADDED_DATETIME": moment(as_of)}
     )
 
 
@@ -411,12 +415,17 @@ def load_statement(
 
     names = statement_names(rows, spec)
     at_most = names.count()
+    names = in_one_task(names, at_most)
     new_categories = onboard_categories(names.where("_CATG"), dims.categories, ids["last_category"], as_of, at_most)
-    catg_index = category_index(dims.categories.unionByName(new_categories))
+    catg_index = category_index(
+        in_one_task(dims.categories.unionByName(new_categories), ids["categories"] + at_most)
+    )
     new_subs = onboard_sub_categories(
         names.where("_SUB"), catg_index, dims.sub_categories, ids["last_sub_category"], as_of, at_most
     )
-    sub_index = sub_category_index(dims.sub_categories.unionByName(new_subs))
+    sub_index = sub_category_index(
+        in_one_task(dims.sub_categories.unionByName(new_subs), ids["sub_categories"] + at_most)
+    )
 
     typed = _typed(rows, row_id, spec, with_posted_date).join(catg_index, "CATG_KEY", "left").join(
         sub_index, ["SUB_KEY", "CATG_ID"], "left"

@@ -11,9 +11,9 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.rules import Ladder, Part, conditions_of, first_match
+from ledgerloom.functions.rules import Ladder, conditions_of, first_match
 from ledgerloom.functions.text import (
-    after_last, any_of, before, between, clean_upper, drop_all, from_position, nth_field, regex_drop,
+    after_last, any_of, before, between, clean_upper, drop_all, from_position, moment, nth_field, regex_drop,
     regex_first, tail_field,
 )
 from ledgerloom.operators import bank_rules as fixed
@@ -173,7 +173,7 @@ def enrich(
 
 def _reporting_column(name, kind, available, as_of):
     if name == "LAST_REFRESHED":
-        return F.lit(as_of).cast("timestamp_ntz").alias(name)
+        return moment(as_of).alias(name)
     if name in available:
         return F.col(name)
     return F.lit(None).cast(kind).alias(name)

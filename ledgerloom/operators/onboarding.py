@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions.ids import assign_identity, global_rank, highest, lookups, running_total
 from ledgerloom.functions.secrets import GCM, encrypt
-from ledgerloom.functions.text import fold
+from ledgerloom.functions.text import fold, moment
 from ledgerloom.operators.sinks import first_per_key
 from ledgerloom.schemas import BANKS, CARDS, MEMBER_ADDRESS, MEMBERS, OPEN_END
 from ledgerloom.session import stage
@@ -51,7 +51,7 @@ def _current(dim: DataFrame, key: dict, id_column: str) -> DataFrame:
 def _opened(df: DataFrame, as_of: datetime, user: str) -> DataFrame:
     return df.withColumns(
         {
-            "EFF_START_DATE": F.lit(as_of).cast("timestamp_ntz"),
+            "EFF_START_DATE": moment(as_of),
             "EFF_END_DATE": F.lit(OPEN_END).cast("timestamp_ntz"),
             "IS_CURRENT": F.lit(1),
             "ADDED_USER": F.lit(user),
@@ -185,7 +185,7 @@ def close_versions(members: DataFrame, closed: DataFrame, as_of: datetime) -> Da
     return marked.withColumns(
         {
             "IS_CURRENT": F.when(F.col("_ENDS"), 0).otherwise(F.col("IS_CURRENT")),
-            "EFF_END_DATE": F.when(F.col("_ENDS"), F.lit(as_of).cast("timestamp_ntz")).otherwise(F.col("EFF_END_DATE")),
+            "EFF_END_DATE": F.when(F.col("_ENDS"), moment(as_of)).otherwise(F.col("EFF_END_DATE")),
         }
     ).select(*members.columns)
 

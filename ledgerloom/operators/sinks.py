@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.schemas import TABLES, Table
@@ -48,19 +46,17 @@ def replace_into(rows: DataFrame, target: DataFrame, key: list[str], table: Tabl
 
 
 def insert_missing(candidates: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """Distinct candidate rows that the target does not hold yet, names compared without case."""
-    return candidates.distinct().join(folded_keys(target, key), _same_key(candidates, key), "left_anti")
-
-
-def folded_keys(df: DataFrame, key: list[str]) -> DataFrame:
-    is_text = dict(df.dtypes)
-    return df.select(*[(F.upper(c) if is_text[c] == "string" else F.col(c)).alias(f"_K_{c}") for c in key])
+    """Candidate rows that the target does not hold yet, one per key; texts are compared without case."""
+    names = [f"_K_{c}" for c in key]
+    lowest = F.min(F.struct(*candidates.columns)).alias("_row")
+    once = candidates.distinct().groupBy(*folded_keys(candidates, key)).agg(lowest)
+    missing = once.join(target.select(*folded_keys(target, key)), names, "left_anti")
+    return missing.select("_row.*")
 
 
-def _same_key(candidates: DataFrame, key: list[str]) -> Column:
-    kinds = dict(candidates.dtypes)
-    sides = [(F.upper(c) if kinds[c] == "string" else F.col(c)) == F.col(f"_K_{c}") for c in key]
-    return reduce(lambda a, b: a & b, sides)
+def folded_keys(df: DataFrame, key: list[str]) -> list[Column]:
+    kinds = dict(df.dtypes)
+    return [(F.upper(c) if kinds[c] == "string" else F.col(c)).alias(f"_K_{c}") for c in key]
 
 
 def insert_row(target: DataFrame, table: Table, **values) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ledgerloom.fixtures import BANK_NUMBER
 from ledgerloom.operators.profile import SAMPLE_SIZE, SAMPLED_NAMES
 from ledgerloom.schemas import REPORTING, TABLES, TRANSACTIONS
 from oracles.mining import enrich_sql, reporting_sql
@@ -201,8 +200,6 @@ SAMPLES = (
     f"SELECT DISTINCT DESCRIPTION AS VALUE FROM {T} t WHERE DESCRIPTION IS NOT NULL ORDER BY 1 LIMIT {SAMPLE_SIZE}"
 )
 
-# Spark names of the column types that occur, as a describe call prints them.
-_TYPE_NAMES = {"timestamp_ntz": "timestamp_ntz"}
 
 
 def profile():

@@ -215,3 +215,28 @@ def test_over_long_category_is_rejected_not_stored(spark, dims):
         {"TRANSACTION_DATE": "01/05/2025", "AMOUNT": "1", "DESCRIPTION": "d", "CATEGORY": "x" * 151}
     ])
     assert reasons(got) == ["no sub-category"] and got.new_sub_categories.count() == 0
+
+
+def test_a_third_of_equal_rows_loads_whole(spark, dims):
+    """Equal purchases in one statement differ only by rank, so each keeps an id of its own."""
+    row = {"TRANSACTION_DATE": "01/05/2025", "AMOUNT": "5", "STATEMENT_DESC": "Purchase", "CATEGORY": "Food"}
+    rows = [{**row, "DESCRIPTION": "same" if i % 3 == 0 else f"d{i % 50}"} for i in range(1500)]
+    got = load_statement(
+        "APPLE", landing(spark, *rows).repartition(6), dims, spark.createDataFrame([], TRANSACTIONS.schema), "Ann",
+        "My Bank", "1234", NOW,
+    )
+    total, ids, same = got.transactions.agg(
+        F.count("*"), F.count_distinct("TRANSACTION_ID"), F.sum((F.col("DESCRIPTION") == "SAME").cast("int"))
+    ).first()
+    assert (total, ids, same) == (1500, 1500, 500)
+
+
+def test_one_reference_for_a_third_of_the_rows_is_stored_once(spark, dims):
+    row = {"TRANSACTION_DATE": "01/05/2025", "AMOUNT": "5", "CATEGORY": "A-B", "DESCRIPTION": "d"}
+    rows = [{**row, "REFERENCE": "'7" if i % 3 == 0 else f"'{1000 + i}", "DESCRIPTION": f"d{i:04d}"} for i in range(900)]
+    got = load_statement(
+        "AMEX", landing(spark, *rows).repartition(6), dims, spark.createDataFrame([], TRANSACTIONS.schema), "Ann",
+        "My Bank", "1234", NOW,
+    )
+    assert got.transactions.count() == 601
+    assert got.transactions.where("TRANSACTION_ID = 7").first()["DESCRIPTION"] == "D0000"

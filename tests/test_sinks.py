@@ -53,9 +53,9 @@ def test_replace_into_resets_columns_that_are_not_given(spark):
 
 
 def test_insert_missing_ignores_case(spark):
-    new = frame(spark, "n string, p int", ("A", 1), ("A", 1), ("b", 1), ("A", 2))
+    new = frame(spark, "n string, p int", ("A", 1), ("A", 1), ("b", 1), ("B", 1), ("A", 2))
     have = frame(spark, "n string, p int", ("a", 1))
-    assert rows(sinks.insert_missing(new, have, ["n", "p"])) == [("A", 2), ("b", 1)]
+    assert rows(sinks.insert_missing(new, have, ["n", "p"])) == [("A", 2), ("B", 1)]
 
 
 def test_small_sinks(spark):
