@@ -18,9 +18,11 @@ def content_key(columns: list[str]) -> Column:
     return F.md5(F.concat_ws("\x01", *[F.coalesce(F.col(c), F.lit("\x02")) for c in columns]))
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str, label: str) -> DataFrame:
+def global_rank(df: DataFrame, order: list[Column], name: str, label: str, tie: Column | None = None) -> DataFrame:
     """Number all rows 1..n in the given order, without one task seeing them all.
 
+    ``tie`` orders the rows that are equal by ``order``; it is made once per row.
+
     The rows are range-partitioned and sorted, then written once with the
     position each row has inside its partition.  A second pass over that one
     column counts the partitions, and the counts (one row per partition, so a
@@ -29,12 +31,13 @@ def global_rank(df: DataFrame, order: list[Column], name: str, label: str) -> Da
     interchangeable the numbering stays well defined.  The input must give its
     rows in the same order when a task runs again, as a file scan does.
     """
-    salted = df.withColumn("_salt", F.monotonically_increasing_id())
-    keys = [*order, F.col("_salt")]
+    made = {"_salt": F.monotonically_increasing_id(), **({} if tie is None else {"_tie": tie})}
+    keys = [*order, *([] if tie is None else [F.col("_tie")]), F.col("_salt")]
     placed = (
-        salted.repartitionByRange(*keys)
+        df.withColumns(made)
+        .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .drop("_salt")
+        .drop(*made)
         .withColumn("_place", F.monotonically_increasing_id())
     )
     staged = stage(placed, label)

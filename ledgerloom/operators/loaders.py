@@ -406,8 +406,8 @@ def load_statement(
     ids = resolve(dims, user_name, bank_name, card_last4)
     rows = landing.select(*LANDING.columns)
     if spec.reference is None:
-        order = [*spec.rank_order, content_key(LANDING.columns)]
-        rows = global_rank(rows, order, "_RANK", f"landing-{bank.lower()}")
+        tie = content_key(LANDING.columns)
+        rows = global_rank(rows, spec.rank_order, "_RANK", f"landing-{bank.lower()}", tie)
     rows = rows.withColumns({name: parse() for name, parse in PARSED.items()})
     row_id = spec.reference
     if row_id is None:

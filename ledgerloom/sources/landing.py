@@ -1,4 +1,4 @@
-"""Landing scans: statement files and tables as all-text rows."""
+"""Landing scans: statement files as all-text rows."""
 
 from __future__ import annotations
 
@@ -22,8 +22,3 @@ def read_csv(spark: SparkSession, path: str, **options) -> DataFrame:
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDING.schema).parquet(path)
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Any stored table by name."""
-    return spark.table(name)
