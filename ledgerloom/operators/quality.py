@@ -69,13 +69,30 @@ def key_check(df: DataFrame, table: Table) -> DataFrame:
     return extra.select(*_line(table, "key", ",".join(table.key), "n"))
 
 
-def reference_checks(tables: dict[str, DataFrame], table: Table) -> list[DataFrame]:
-    checks = []
-    for column, (parent, parent_column) in table.foreign.items():
-        lost = orphans(tables[table.name], column, tables[parent], parent_column)
-        total = lost.agg(F.coalesce(F.sum("CNT"), F.lit(0)).alias("n"))
-        checks.append(total.select(*_line(table, "reference", f"{column} -> {parent}", "n")))
-    return checks
+def reference_checks(tables: dict[str, DataFrame], table: Table) -> DataFrame:
+    """Rows without a parent for every reference of a table, in one pass and one join.
+
+    The child is counted per column and value before the join, so a hot value is
+    one row there; the parents' keys are tagged with the column they belong to.
+    """
+    columns = list(table.foreign)
+    child = tables[table.name].select(*[F.col(c).cast("long").alias(c) for c in columns])
+    used = child.unpivot([], columns, "FIELD", "VALUE").where("VALUE IS NOT NULL").groupBy("FIELD", "VALUE").agg(
+        F.count("*").alias("CNT")
+    )
+    known = reduce(DataFrame.unionByName, [
+        tables[parent].select(F.lit(c).alias("FIELD"), F.col(key).cast("long").alias("VALUE"))
+        for c, (parent, key) in table.foreign.items()
+    ])
+    lost = used.join(known, ["FIELD", "VALUE"], "left_anti")
+    lines = [
+        F.struct(
+            F.lit("reference").alias("CHECK_NAME"), F.lit(f"{c} -> {parent}").alias("DETAIL"),
+            F.coalesce(F.sum(F.when(F.col("FIELD") == c, F.col("CNT"))), F.lit(0)).alias("BAD_ROWS"),
+        )
+        for c, (parent, _) in table.foreign.items()
+    ]
+    return lost.agg(F.array(*lines).alias("lines")).select(F.lit(table.name).alias("TABLE_NAME"), F.inline("lines"))
 
 
 def quality_report(tables: dict[str, DataFrame], declared: dict[str, Table]) -> DataFrame:
@@ -86,6 +103,6 @@ def quality_report(tables: dict[str, DataFrame], declared: dict[str, Table]) ->
         parts.append(column_checks(df, table))
         if table.key:
             parts.append(key_check(df, table))
-        if all(parent in tables for parent, _ in table.foreign.values()):
-            parts.extend(reference_checks(tables, table))
+        if table.foreign and all(parent in tables for parent, _ in table.foreign.values()):
+            parts.append(reference_checks(tables, table))
     return reduce(DataFrame.unionByName, parts)
