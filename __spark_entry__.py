@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import date, datetime
+from importlib import import_module
+from importlib.util import find_spec
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -193,6 +195,20 @@ def _global_rank(spark, sf) -> DataFrame:
     return global_rank(facts, order, "RANK", "rank").select("TRANSACTION_ID", "RANK")
 
 
+def _optional(of: str) -> dict:
+    """What the operators for training data and their pipeline add, where those modules are there."""
+    found = {}
+    if find_spec("ledgerloom.llm"):
+        found |= getattr(import_module("ledgerloom.llm.queries"), of)()
+        if find_spec("corpus_pipeline"):
+            pipeline = import_module("corpus_pipeline")
+            if of == "queries":
+                found["pipeline"] = pipeline.run
+            elif pipeline.ORACLE_SQL:
+                found["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Money out per payment channel and merchant, read from the bank descriptions."""
     return reports.spend_by_channel(Fixtures(spark, FLAGSHIP_DIR).table("TRANSACTIONS"))
@@ -264,7 +280,7 @@ def queries() -> dict[str, Query]:
         found[f"load_{bank.lower()}_posted"] = (
             lambda spark, sf, b=bank: _load(spark, sf, b, with_posted_date=True).transactions
         )
-    return found
+    return found | _optional("queries")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -328,4 +344,4 @@ def oracle_sql() -> dict[str, str]:
         sql[f"new_sub_categories_{low}"] = loading.sub_categories_sql(bank)
     for bank in POSTED_VARIANTS:
         sql[f"load_{bank.lower()}_posted"] = loading.load_sql(bank, loading.owner_sql(BANK_NAMES[bank]), posted=True)
-    return sql
+    return sql | _optional("oracle_sql")
