@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import simhash
+from ledgerloom.llm import simhash, suffixes
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.cut_repeats(docs).select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def queries() -> dict[str, Query]:
-    return {"op7_simhash": op7}
+    return {"op7_simhash": op7, "op10_suffix_dedup": op10}
 
 
 def oracle_sql() -> dict[str, str]:
