@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import simhash, suffixes
+from ledgerloom.llm import simhash, suffixes, toxicity
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,7 +26,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op7_simhash": op7, "op10_suffix_dedup": op10}
+    return {"op4_toxicity": op4, "op7_simhash": op7, "op10_suffix_dedup": op10}
 
 
 def oracle_sql() -> dict[str, str]:
