@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import simhash, suffixes, toxicity
+from ledgerloom.llm import mixing, simhash, sql, suffixes, toxicity
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -26,8 +30,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_toxicity": op4, "op7_simhash": op7, "op10_suffix_dedup": op10}
+    return {"op1_mixing": op1, "op4_toxicity": op4, "op7_simhash": op7, "op10_suffix_dedup": op10}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mixing": sql.MIX}
