@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import mixing, simhash, sql, suffixes, toxicity
+from ledgerloom.llm import mixing, pieces, simhash, sql, suffixes, toxicity
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,13 +24,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.cut_repeats(docs).select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_mixing": op1, "op4_toxicity": op4, "op7_simhash": op7, "op10_suffix_dedup": op10}
+    return {"op1_mixing": op1, "op4_toxicity": op4, "op7_simhash": op7, "op9_sentencepiece": op9, "op10_suffix_dedup": op10}
 
 
 def oracle_sql() -> dict[str, str]:
