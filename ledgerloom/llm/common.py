@@ -44,12 +44,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def whole(df: DataFrame) -> Column:
+    """All columns as one struct, so that columns of any name can be carried along."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
 def numbered(docs: DataFrame, label: str, **made: Column) -> DataFrame:
-    """The rows with a number of their own in ``_row`` and the columns ``made``, written once so that numbers stay as given.
+    """``doc`` (a struct of the row), a number of its own in ``_row``, and the columns ``made``, written once.
 
     Repeated rows and null ids can then be told apart in every later step, also when an executor is lost.
     """
-    return stage(docs.withColumns({"_row": F.monotonically_increasing_id(), **made}), label)
+    number = F.monotonically_increasing_id().alias("_row")
+    return stage(docs.select(whole(docs).alias("doc"), number, *(c.alias(n) for n, c in made.items())), label)
 
 
 def slices(texts, most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:

@@ -139,7 +139,7 @@ def mix(docs: DataFrame, label: str = "mix") -> DataFrame:
     one.  Rows that repeat an id count one by one, ordered by size.  An empty table gives no rows.  Equal input gives
     equal output: the order depends on ids and sizes only.
     """
-    rows = numbered(docs.select("doc_id", "source", word_count("text").alias("size")), f"{label}-rows")
+    rows = stage(docs.select("doc_id", "source", word_count("text").alias("size"), F.monotonically_increasing_id().alias("_row")), f"{label}-rows")
     of_row = ("_row", "doc_id", "size", "source_size", "target")
     return pieces(rows, label).groupBy(*of_row).agg(F.sum("taken").alias("taken")).drop("_row")
 
@@ -151,6 +151,6 @@ def mixed(docs: DataFrame, label: str = "mix") -> DataFrame:
     are never taken.
     """
     made = numbered(docs, f"{label}-docs", _size=word_count("text"))
-    rows = made.select("_row", "doc_id", "source", F.col("_size").alias("size"))
+    rows = made.select("_row", "doc.doc_id", "doc.source", F.col("_size").alias("size"))
     starts = pieces(rows, label).where("taken > 0 AND `from` = 0").groupBy("_row").agg(F.count(F.lit(1)).cast("int").alias("_times"))
-    return made.join(starts, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    return made.join(starts, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select("doc.*")

@@ -15,7 +15,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerloom.llm.common import sent, slices
 
@@ -200,7 +200,6 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary | None = None, text: str = "
     made = ("n_chars", "n_ids", "ids", "same")
     others = [c for c in docs.columns if c != text and c not in made]
     given = docs.select(*(F.col(f"`{c}`") for c in others), F.col(f"`{text}`").cast("string").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(told())
@@ -219,5 +218,4 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary | None = None, text: str = "
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[*others, *made])
 
-    schema = (kinds + ", " if kinds else "") + "n_chars long, n_ids long, ids array<int>, same boolean"
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(run, T.StructType([*given.schema.fields[:-1], *T.StructType.fromDDL("n_chars long, n_ids long, ids array<int>, same boolean")]))

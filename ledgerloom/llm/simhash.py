@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.llm.common import numbered, partitions, sent
 from ledgerloom.llm.components import connected
@@ -49,7 +49,7 @@ def fingerprints(texts: pd.Series) -> pd.Series:
     return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
 
 
-def hex_digits(fp: str) -> F.Column:
+def hex_digits(fp: str) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
@@ -311,8 +311,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "simhash") -> DataFrame:
     """The document with the smallest id (nulls last, then the first stored row) of each near-duplicate group, all columns."""
     made = numbered(docs, f"{label}-docs", _fp=fingerprints(F.col(text)))
-    rows = made.select(F.col("_row"), F.col(doc_id).alias("doc_id"), F.col("_fp").alias("fp"))
+    rows = made.select("_row", F.col("doc").getField(doc_id).alias("doc_id"), F.col("_fp").alias("fp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
     by_fp = rows.groupBy("fp").agg(first.alias("first")).join(components(rows, label=label), "fp")
     kept = by_fp.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first._row").alias("_row"))
-    return made.join(kept, "_row", "left_semi").select(*docs.columns)
+    return made.join(kept, "_row", "left_semi").select("doc.*")

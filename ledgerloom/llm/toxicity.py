@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm.common import sent, slices
 
@@ -306,7 +306,7 @@ class Scorer:
         return np.where(np.isinf(best), 0.0, 1 / (1 + np.exp(-np.clip(best, -30, 30)))), np.bincount(doc, minlength=len(docs))
 
 
-def held_out(doc_id: str) -> F.Column:
+def held_out(doc_id: str) -> Column:
     """Rows that labels are never learnt from."""
     return F.coalesce(F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
@@ -328,22 +328,27 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     return train(found["_text"].tolist(), found["_toxic"].tolist())
 
 
-def scored(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
-    """All rows and columns with a struct ``_tox`` of ``score`` (0 to 1) and ``n_windows``; null and empty texts score 0."""
-    told = sent(docs.sparkSession, net)
+def scorer(spark: SparkSession, net: Network) -> Callable[[str], Column]:
+    """A function from a text column to a struct of ``score`` (0 to 1) and ``n_windows``; null and empty texts score 0."""
+    told = sent(spark, net)
 
     @F.pandas_udf("score double, n_windows int")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(told())
+        own = Scorer(told())
         for batch in batches:
             texts = batch.tolist()
-            parts = [scorer.scores(texts[s:e]) for s, e in slices(texts)]
+            parts = [own.scores(texts[s:e]) for s, e in slices(texts)]
             yield pd.DataFrame({
                 "score": np.concatenate([np.empty(0), *(p[0] for p in parts)]),
                 "n_windows": np.concatenate([np.empty(0, np.int64), *(p[1] for p in parts)]).astype(np.int32),
             })
 
-    return docs.withColumn("_tox", score(F.col(f"`{text}`")))
+    return lambda text: score(F.col(f"`{text}`"))
+
+
+def clean(docs: DataFrame, labels: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The documents that score below ``least``, with all their columns."""
+    return docs.where(scorer(docs.sparkSession, fit(docs, labels))(text)["score"] < least)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -352,7 +357,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Labels of held-out rows, language, source and id never enter a score.  Equal texts get equal scores.  A null id counts
     as not held out, a document with two labels as toxic.  Empty tables give no rows; without labels the network is untrained.
     """
-    rows = scored(docs.select("doc_id", "text"), fit(docs, labels))
+    rows = docs.select("doc_id", scorer(docs.sparkSession, fit(docs, labels))("text").alias("_tox"))
     score = F.col("_tox.score")
     return rows.select(
         "doc_id", held_out("doc_id").alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"),
