@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import mixing, pieces, simhash, sql, suffixes, toxicity
+from ledgerloom.llm import mixing, pieces, sharding, simhash, sql, suffixes, toxicity, vafile
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,8 +42,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_mixing": op1, "op4_toxicity": op4, "op7_simhash": op7, "op9_sentencepiece": op9, "op10_suffix_dedup": op10}
+    return {
+        "op1_mixing": op1,
+        "op2_va_file": op2,
+        "op3_extendible_hashing": op3,
+        "op4_toxicity": op4,
+        "op7_simhash": op7,
+        "op9_sentencepiece": op9,
+        "op10_suffix_dedup": op10,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": sql.MIX}
+    return {
+        "op1_mixing": sql.MIX,
+        "op2_va_file": sql.TOP_K,
+        "op3_extendible_hashing": sql.shards(sharding.SHARD_BYTES),
+    }

@@ -31,3 +31,37 @@ WITH d AS (
 SELECT doc_id, size, source_size, target,
        CAST(least(greatest(goal - begins, 0), size) + least(greatest(goal - source_size - begins, 0), size) AS BIGINT) AS taken FROM x
 """
+
+#: Integer inner products of all queries with all other rows.
+TOP_K = """
+WITH u AS (
+  SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE vec_id IS NOT NULL
+), bad AS (SELECT DISTINCT vec_id FROM u WHERE x IS NULL OR NOT isfinite(x)
+), v AS (
+  SELECT vec_id, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM u WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY q.vec_id, c.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def shards(limit: int) -> str:
+    """The shortest prefix of each document's hash bits whose documents fit the limit, level by level."""
+    return f"""
+WITH d AS (
+  SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents
+), l AS (SELECT d.*, depth, h >> (60 - depth) AS prefix FROM d, range(0, 41) AS r(depth)
+), n AS (
+  SELECT depth, prefix, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_docs FROM l GROUP BY depth, prefix
+), f AS (
+  SELECT l.doc_id, l.n_bytes, l.prefix, l.depth, n.shard_bytes, n.shard_docs, row_number() OVER (PARTITION BY l.doc_id ORDER BY l.depth) AS place
+  FROM l JOIN n ON l.depth = n.depth AND l.prefix = n.prefix WHERE n.shard_bytes <= {limit} OR n.shard_docs = 1
+)
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), CAST(depth AS INTEGER), '0') END AS shard,
+       CAST(depth AS INTEGER) AS depth, shard_bytes, shard_docs FROM f WHERE place = 1
+"""
