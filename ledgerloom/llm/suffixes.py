@@ -12,7 +12,7 @@ documents.  The work is bounded by blocks (runs of documents) and suffix buckets
 3. The answers, one bit for a suffix, go back to the block, which works out the spans to cut.
 
 Blocks send every distinct key once, however often it occurs in them, so a passage that a third of all documents share
-gives its bucket one key for each block.  A key has 64 bits of one digest and its bucket holds as many bits of a second
+gives its bucket one key for each block; copies of a text are dealt to the same block where they are few enough.  A key has 64 bits of one digest and its bucket holds as many bits of a second
 one as the corpus needs buckets, so keys get longer as the corpus grows.
 """
 
@@ -20,11 +20,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ledgerloom.session import stage
 
 WINDOW = 400
 ORDER = 17  # prime; the cover has ORDER + 1 remainders modulo ORDER ** 2 + ORDER + 1
@@ -32,11 +34,13 @@ PERIOD = ORDER * ORDER + ORDER + 1
 SAMPLE = WINDOW - PERIOD + 1
 BLOCK_BYTES = 4 << 20  # text of one block; a longer document is a block of its own and is read in slices
 BUCKET_BYTES = 16 << 20  # keys of one suffix bucket
+SAMPLE_KEY = 6  # bytes of a sample's key beyond its bucket's bits; equal keys of different samples only cost a sort
+HEAVY_BYTES = BLOCK_BYTES // 4  # copies of one text that hold more than this are spread over all blocks
 SLICE = 1 << 18
+NULL_TEXT = "_suffixes_null_text"
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-@cache
 def difference_cover(order: int = ORDER) -> np.ndarray:
     """Singer's perfect difference set: every non-zero remainder is a difference of two members, in just one way.
 
@@ -83,16 +87,21 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-@cache
+_MADE: dict = {}  # tables that a worker builds once; functools.cache would tie them to this module's place on disk
+
+
 def _digests(which: int) -> Digests:
-    return Digests(which)
+    if which not in _MADE:
+        _MADE[which] = Digests(which)
+    return _MADE[which]
 
 
-@cache
 def _in_cover() -> np.ndarray:
-    marks = np.zeros(PERIOD, bool)
-    marks[difference_cover()] = True
-    return np.tile(marks, SLICE // PERIOD + 4)
+    if "cover" not in _MADE:
+        marks = np.zeros(PERIOD, bool)
+        marks[difference_cover()] = True
+        _MADE["cover"] = np.tile(marks, SLICE // PERIOD + 4)
+    return _MADE["cover"]
 
 
 def _slices(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -101,15 +110,16 @@ def _slices(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield at, data[at : at + SLICE + WINDOW - 1]
 
 
-def _samples(at: int, part: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places in a slice that start a cover sample, and the samples' digests.
+def _samples(at: int, part: np.ndarray, last: bool, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a slice that start a cover sample, and the samples' keys: leading ``bits`` and SAMPLE_KEY bytes of a digest.
 
     All but the last slice leave the samples of the overlap to the next one.
     """
     most = len(part) - SAMPLE + 1 if last else SLICE
     starts = np.flatnonzero(_in_cover()[at % PERIOD : at % PERIOD + most])
     first = _digests(0)
-    return starts, first.at(first.sums(part), starts, SAMPLE)
+    spare = np.uint64(max(0, 64 - 8 * SAMPLE_KEY - bits))
+    return starts, (first.at(first.sums(part), starts, SAMPLE) >> spare) << spare
 
 
 def _documents(block: pa.Table) -> list[np.ndarray]:
@@ -117,13 +127,22 @@ def _documents(block: pa.Table) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer() or b"", np.uint8) if x.is_valid else np.empty(0, np.uint8) for x in column]
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Bytes of sorted keys, highest bytes of all of them first, as those compress well."""
+    return np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, ::-1].T).tobytes()
+
+
+def _unpacked(told: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(told, np.uint8).reshape(8, -1)[::-1].T).view(np.uint64).ravel()
+
+
 def _dealt(keys: np.ndarray, bucket: np.ndarray, again: np.ndarray, block: int, bits: int) -> pa.Table:
     """Sorted keys as one row for each bucket; bucket numbers must rise."""
     cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
     used = np.flatnonzero(np.diff(cuts))
     return pa.table({
         "bucket": pa.array(used, pa.int64()), "block": pa.array(np.full(len(used), block), pa.int64()),
-        "keys": pa.array([keys[cuts[b] : cuts[b + 1]].tobytes() for b in used], pa.binary()),
+        "keys": pa.array([_packed(keys[cuts[b] : cuts[b + 1]]) for b in used], pa.binary()),
         "again": pa.array([np.packbits(again[cuts[b] : cuts[b + 1]]).tobytes() for b in used], pa.binary()),
     })
 
@@ -147,7 +166,7 @@ def _sample_keys(block: pa.Table, bits: int) -> pa.Table:
     for data in _documents(block):
         if len(data) >= WINDOW:
             for at, part in _slices(data):
-                held.append(_samples(at, part, at + len(part) == len(data))[1])
+                held.append(_samples(at, part, at + len(part) == len(data), bits)[1])
     keys, again = _once(np.concatenate(held)) if held else (np.empty(0, np.uint64), np.empty(0, bool))
     return _dealt(keys, _top(keys, bits), again, number, bits)
 
@@ -155,7 +174,7 @@ def _sample_keys(block: pa.Table, bits: int) -> pa.Table:
 def _ties(bucket: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All keys of a bucket in the order they came, where each row starts, and which keys are tied."""
     blobs = bucket.column("keys").to_pylist()
-    keys = np.frombuffer(b"".join(blobs), np.uint64)
+    keys = np.concatenate([_unpacked(x) for x in blobs])
     starts = np.cumsum([0, *(len(x) // 8 for x in blobs)])
     tied = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k) // 8) for x, k in zip(bucket.column("again").to_pylist(), blobs)]).astype(bool)
     order = np.argsort(keys, kind="stable")
@@ -168,7 +187,7 @@ def _ties(bucket: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _tied_samples(bucket: pa.Table) -> pa.Table:
     keys, starts, tied = _ties(bucket)
-    told = [keys[s:e][tied[s:e]].tobytes() for s, e in zip(starts, starts[1:])]
+    told = [_packed(keys[s:e][tied[s:e]]) for s, e in zip(starts, starts[1:])]
     return pa.table({"block": bucket.column("block"), "bucket": pa.array(np.full(len(told), -1), pa.int64()), "told": pa.array(told, pa.binary())})
 
 
@@ -181,13 +200,13 @@ def _tied_windows(bucket: pa.Table) -> pa.Table:
 ANSWER = "block long, bucket long, told binary"
 
 
-def _long_ties(data: np.ndarray, tied: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _long_ties(data: np.ndarray, tied: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Offsets of the suffixes of one document that hold a tied sample, with both digests of their WINDOW bytes."""
     if len(data) < WINDOW or not len(tied):
         return
     for at, part in _slices(data):
         # The next slice's samples count as well for windows that reach into it.
-        starts, keys = _samples(at, part, True)
+        starts, keys = _samples(at, part, True, bits)
         found = tied[np.minimum(np.searchsorted(tied, keys), len(tied) - 1)] == keys
         if not found.any():
             continue
@@ -200,13 +219,13 @@ def _long_ties(data: np.ndarray, tied: np.ndarray) -> Iterator[tuple[np.ndarray,
         yield at + where, one.at(one.sums(part), where, WINDOW), two.at(two.sums(part), where, WINDOW)
 
 
-def _window_keys(block: pa.Table, answers: pa.Table) -> tuple[list, np.ndarray, np.ndarray]:
+def _window_keys(block: pa.Table, answers: pa.Table, sample_bits: int) -> tuple[list, np.ndarray, np.ndarray]:
     """For a block: (document, offsets) of its long ties in turn, and both digests of them all."""
     told = [x for x, b in zip(answers.column("told").to_pylist(), answers.column("bucket").to_pylist()) if b < 0]
-    tied = np.unique(np.frombuffer(b"".join(told), np.uint64))
+    tied = np.unique(np.concatenate([np.empty(0, np.uint64), *map(_unpacked, told)]))
     places, ones, twos = [], [], []
     for i, data in enumerate(_documents(block)):
-        for where, one, two in _long_ties(data, tied):
+        for where, one, two in _long_ties(data, tied, sample_bits):
             places.append((i, where))
             ones.append(one)
             twos.append(two)
@@ -222,10 +241,10 @@ def _sorted(one: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order, np.cumsum(new) - 1
 
 
-def _suffix_keys(block: pa.Table, answers: pa.Table, bits: int) -> pa.Table:
+def _suffix_keys(block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.Table:
     if not block.num_rows:
         return _dealt(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool), 0, bits)
-    _, one, two = _window_keys(block, answers)
+    _, one, two = _window_keys(block, answers, sample_bits)
     bucket = _top(two, bits)
     order, group = _sorted(one, bucket)
     sizes = np.bincount(group)
@@ -239,10 +258,10 @@ def _spans(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[new], starts[np.append(new[1:] - 1, len(starts) - 1)] + WINDOW
 
 
-def _cut(block: pa.Table, answers: pa.Table, bits: int) -> pa.Table:
+def _cut(block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.Table:
     if not block.num_rows:
         return block.select([]).append_column("n_bytes", pa.array([], pa.int64()))
-    places, one, two = _window_keys(block, answers)
+    places, one, two = _window_keys(block, answers, sample_bits)
     bucket = _top(two, bits)
     order, group = _sorted(one, bucket)
     told = {b: t for b, t in zip(answers.column("bucket").to_pylist(), answers.column("told").to_pylist()) if b >= 0}
@@ -272,6 +291,9 @@ def _cut(block: pa.Table, answers: pa.Table, bits: int) -> pa.Table:
     return pa.table({"doc": block.column("doc"), **made})
 
 
+CUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+
+
 def _power(n: float) -> int:
     """Bits that number ``n`` buckets."""
     return max(0, int(np.ceil(np.log2(max(n, 1)))))
@@ -286,10 +308,18 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     doc = F.struct(*others) if others else F.struct(F.lit(0).alias("none"))
-    total = docs.agg(F.sum(F.octet_length(F.col(text).cast("binary")))).first()[0] or 0
+    data = F.col(f"`{text}`").cast("binary")
+    copies = stage(docs.select(F.xxhash64(data).alias("digest"), F.octet_length(data).alias("n")).groupBy("digest").agg(F.sum("n").alias("n")), "suffix-texts")
+    total = copies.agg(F.sum("n")).first()[0] or 0
+    heavy = stage(copies.where(F.col("n") > HEAVY_BYTES).select("digest", F.lit(True).alias("heavy")), "suffix-heavy")
     blocks = -(-total // BLOCK_BYTES) or 1
-    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
-    dealt = docs.select(doc.alias("doc"), F.col(text).cast("binary").alias("data"), number.alias("block"))
+    # Copies of a text share a block, which sends their keys once; a text with a great many copies is spread by row.
+    own = F.when(F.col("heavy"), F.xxhash64("digest", F.monotonically_increasing_id())).otherwise(F.col("digest"))
+    dealt = (
+        docs.select(doc.alias("doc"), data.alias("data"), F.xxhash64(data).alias("digest"))
+        .join(heavy, "digest", "left")
+        .select("doc", "data", F.pmod(F.xxhash64(own), F.lit(blocks)).alias("block"))
+    )
     sample_bits = _power(8 * total * (ORDER + 1) / PERIOD / BUCKET_BYTES)
     # Windows fill a bucket to a tenth if a tenth of all text is repeated, and four times over if all of it is.
     window_bits = _power(8 * total / (4 * BUCKET_BYTES))
@@ -298,14 +328,35 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
         return _sample_keys(block, sample_bits)
 
     def suffixes(block: pa.Table, answers: pa.Table) -> pa.Table:
-        return _suffix_keys(block, answers, window_bits)
+        return _suffix_keys(block, answers, sample_bits, window_bits)
 
     def cut(block: pa.Table, answers: pa.Table) -> pa.Table:
-        return _cut(block, answers, window_bits)
+        return _cut(block, answers, sample_bits, window_bits)
 
     by_block = dealt.groupBy("block")
     ranks = by_block.applyInArrow(samples, KEYS).groupBy("bucket").applyInArrow(_tied_samples, ANSWER)
     ties = by_block.cogroup(ranks.groupBy("block")).applyInArrow(suffixes, KEYS)
     answers = ranks.unionByName(ties.groupBy("bucket").applyInArrow(_tied_windows, ANSWER))
-    schema = f"doc {dealt.schema['doc'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    schema = T.StructType([dealt.schema["doc"], *T.StructType.fromDDL(CUT)])
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(cut, schema)
+
+
+def shortened(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
+    """The documents, columns in order, with the remaining text and, if there is such a column, its length in characters.
+
+    A null text stays null.  A cut that falls inside a character drops what is left of that character.
+    """
+    @F.pandas_udf("string")
+    def decoded(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda b: b.decode("utf-8", "ignore"))
+
+    marked = docs.withColumn(NULL_TEXT, F.col(f"`{text}`").isNull())
+    rows = cut_repeats(marked, text).withColumn("kept", F.when(~F.col("doc").getField(NULL_TEXT), decoded("kept")))
+    kinds = dict(docs.dtypes)
+    columns = []
+    for c in docs.columns:
+        value = F.col("kept") if c == text else F.col("doc").getField(c)
+        if c == length and kinds[c] in ("int", "bigint"):
+            value = F.length("kept").cast(kinds[c])
+        columns.append(value.alias(c))
+    return rows.select(*columns)
