@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import fertility, mixing, pieces, sharding, simhash, sql, suffixes, toxicity, vafile
+from ledgerloom.llm import fertility, html_crf, mixing, pieces, sharding, simhash, sql, suffixes, toxicity, vafile
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extracted(table(spark, sf_dir, "pages"))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -53,6 +57,7 @@ def queries() -> dict[str, Query]:
         "op4_toxicity": op4,
         "op6_fertility": op6,
         "op7_simhash": op7,
+        "op8_html_crf": op8,
         "op9_sentencepiece": op9,
         "op10_suffix_dedup": op10,
     }
