@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import fertility, html_crf, mixing, pieces, sharding, simhash, sql, suffixes, toxicity, vafile
+from ledgerloom.llm import fertility, html_crf, kneser_ney, mixing, pieces, sharding, simhash, sql, suffixes, toxicity, vafile
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judged(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Query]:
         "op2_va_file": op2,
         "op3_extendible_hashing": op3,
         "op4_toxicity": op4,
+        "op5_kneser_ney": op5,
         "op6_fertility": op6,
         "op7_simhash": op7,
         "op8_html_crf": op8,
