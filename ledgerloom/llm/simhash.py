@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerloom.llm.common import numbered, partitions, sent
 from ledgerloom.llm.components import connected
@@ -44,7 +44,7 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def fingerprints(texts: pd.Series) -> pd.Series:
     return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
 
