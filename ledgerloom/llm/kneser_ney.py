@@ -254,15 +254,16 @@ def judged(docs: DataFrame, labels: DataFrame, label: str = "kneser") -> DataFra
     trusted documents.  Null and empty texts, and languages without any trusted text, have no perplexity and are kept, as
     nothing speaks against them.  A null language is one of its own.  Repeated rows stay.  An empty table gives no rows.
     """
-    rows = stage(perplexity(docs, labels, label=label), f"{label}-rows").withColumn("nats", -F.col("logp") / F.col("n_symbols"))
+    rows = stage(perplexity(docs, labels, label=label), f"{label}-rows").withColumn("nats", -F.col("logp") / F.nullif(F.col("n_symbols"), F.lit(0).cast("long")))
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     trusted = rows.select("doc_id", "lang", "nats", "n_symbols").where("nats IS NOT NULL").join(good, "doc_id", "left_semi")
-    over = F.col("nats") - SLACK / F.sqrt("n_symbols")
+    slack = SLACK / F.sqrt(F.greatest("n_symbols", F.lit(1)))
+    over = F.col("nats") - slack
     figure = F.percentile_approx(over, QUANTILE, 10_000).alias("limit")
     by_lang = trusted.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("docs"), figure).where(F.col("docs") >= LEAST_DOCS)
     whole = trusted.agg(figure).first()["limit"]
     limits = stage(by_lang.select("_lang", "limit"), f"{label}-limits")
-    limit = F.coalesce("limit", F.lit(whole).cast("double")) + MARGIN + SLACK / F.sqrt("n_symbols")
+    limit = F.coalesce("limit", F.lit(whole).cast("double")) + MARGIN + slack
     told = rows.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn("limit", limit)
     kept = F.coalesce(F.col("nats") <= F.col("limit"), F.lit(True))
     return told.select("doc_id", "lang", "n_words", F.exp("nats").alias("perplexity"), F.when(F.col("nats").isNotNull(), F.exp("limit")).alias("threshold"), kept.alias("kept"))

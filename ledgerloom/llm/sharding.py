@@ -62,7 +62,8 @@ def shards(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int
 def directory(assigned: DataFrame) -> DataFrame:
     """The directory of ``shards``' result: ``entry`` (a prefix as long as the longest shard's), ``shard``.
 
-    It has two to the power of the longest prefix entries, so it is for tables of moderate depth.
+    Entries to which no document leads are left out; there may be two to the power of the longest prefix of them, so it is
+    for tables of moderate depth.
     """
     leaves = assigned.select("shard", "depth").distinct()
     longest = leaves.agg(F.max("depth")).first()[0] or 0
