@@ -8,6 +8,7 @@ from datetime import date, datetime
 from importlib import import_module
 from importlib.util import find_spec
 from pathlib import Path
+from uuid import uuid4
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -17,9 +18,11 @@ from ledgerloom.fixtures import AS_OF, BANK_NUMBER, DESCRIPTIONS, Fixtures  # no
 from ledgerloom.functions import text as X  # noqa: E402
 from ledgerloom.functions.ids import global_rank, hash_id  # noqa: E402
 from ledgerloom.functions.secrets import ECB, decrypt  # noqa: E402
-from ledgerloom.operators import legacy, loaders, mining, onboarding, profile, quality, sinks  # noqa: E402
+from ledgerloom.operators import audit, legacy, loaders, mining, onboarding, profile, quality, sinks  # noqa: E402
 from ledgerloom.plans import reports  # noqa: E402
 from ledgerloom.schemas import REPORTING, TABLES, TRANSACTIONS  # noqa: E402
+from ledgerloom.session import staging_root  # noqa: E402
+from ledgerloom.sources import landing  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,11 +41,11 @@ def _dims(fx: Fixtures) -> loaders.Dimensions:
     return loaders.Dimensions(*[fx.table(n) for n in names])
 
 
-def _load(spark, sf, bank, target=None, **options) -> loaders.LoadResult:
+def _load(spark, sf, bank, **options) -> loaders.LoadResult:
     fx = Fixtures(spark, sf)
-    stored = target if target is not None else spark.createDataFrame([], TRANSACTIONS.schema)
+    """A load against the whole stored fact table, some of whose ids the statement holds again."""
     return loaders.load_statement(
-        bank, fx.landing(bank), _dims(fx), stored, USER, BANK_NAMES[bank], LAST_4, AS_OF, **options
+        bank, fx.landing(bank), _dims(fx), fx.table("TRANSACTIONS"), USER, BANK_NAMES[bank], LAST_4, AS_OF, **options
     )
 
 
@@ -103,9 +106,10 @@ def _reconcile(spark, sf) -> DataFrame:
 
 
 def _insert_ignore(spark, sf) -> DataFrame:
-    """A statement against a store that already holds some of its ids."""
-    stored = Fixtures(spark, sf).table("TRANSACTIONS").where(F.col("BANK_ID") == BANK_NUMBER["AMEX"])
-    return _load(spark, sf, "AMEX", target=stored).transactions
+    """Reporting rows of one bank, numbered past some of the stored ids, into the whole reporting table."""
+    fx = Fixtures(spark, sf)
+    rows = _enriched(fx, "APPLE").withColumn("TRANSACTION_ID", F.col("TRANSACTION_ID") * 2)
+    return sinks.insert_ignore(rows, fx.reporting(), list(REPORTING.key), ["TRANSACTION_DATE"]).select(*REPORTING.columns)
 
 
 def _insert_missing(spark, sf) -> DataFrame:
@@ -147,12 +151,47 @@ def _legacy_projection(spark, sf) -> DataFrame:
     return legacy.legacy_statement_projection(fx.landing("AMEX"), *dims, USER, "American Express", LAST_4, AS_OF)
 
 
-_CHECKED = ("TRANSACTIONS", "MCC_CATEGORY", "MCC_SUB_CATEGORY", "BANKS", "MEMBERS", "CARDS", "MEMBER_ADDRESS")
+def _stored_tables(spark, sf) -> dict[str, DataFrame]:
+    """All declared tables, in their declared types."""
+    fx = Fixtures(spark, sf)
+    special = {"TRANSACTION_REPORTING": fx.reporting, "LND_TRANSACTIONS": lambda: fx.landing("AMEX")}
+    rows = {n: special[n]() if n in special else fx.table(n) for n in TABLES}
+    return {n: df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[n].schema]) for n, df in rows.items()}
 
 
-def _checked_tables(spark, sf) -> dict[str, DataFrame]:
-    fx = Fixtures(spark, sf)
-    return {n: fx.table(n).select(*TABLES[n].columns) for n in _CHECKED}
+def _warehouse(spark, sf, *names: str) -> sinks.Warehouse:
+    """A database of its own in the shared folder that holds the tables named, or all."""
+    store = sinks.Warehouse(spark, f"ledger_{uuid4().hex}")
+    store.create(*names, location=f"{staging_root(spark)}/{store.database}")
+    tables = _stored_tables(spark, sf)
+    for name in names or TABLES:
+        store.append(name, tables[name])
+    return store
+
+
+def _truncate(spark, sf) -> DataFrame:
+    """Rows of a stored fact table before and after it is emptied."""
+    store = _warehouse(spark, sf, "TRANSACTIONS")
+    counts = {"before": store.read("TRANSACTIONS").count()}
+    store.truncate("TRANSACTIONS")
+    counts["after"] = store.read("TRANSACTIONS").count()
+    return spark.createDataFrame(list(counts.items()), "STATE string, N long")
+
+
+def _profile_database(spark, sf) -> DataFrame:
+    return profile.profile_database(spark, _warehouse(spark, sf).database, TABLES)
+
+
+def _landing_csv(spark, sf) -> DataFrame:
+    """A statement in files of two column orders, read as one."""
+    rows = Fixtures(spark, sf).landing("CITI")
+    folder = f"{staging_root(spark)}/csv-{uuid4().hex}"
+    odd = F.length("DESCRIPTION") % 2 == 1
+    as_is = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.where(odd).write.csv(f"{folder}/one", **as_is)
+    rows.where(~F.coalesce(odd, F.lit(False))).select(*reversed(rows.columns)).write.csv(f"{folder}/two", **as_is)
+    blank = {c: F.nullif(F.col(c), F.lit("")) for c in ("DEBIT", "CREDIT")}  # a file has one form for both
+    return landing.read_csv(spark, f"{folder}/*").withColumns(blank)
 
 
 def _read_only(spark, sf) -> DataFrame:
@@ -242,7 +281,14 @@ def queries() -> dict[str, Query]:
         "insert_missing": _insert_missing,
         "insert_row": _insert_row,
         "update_where": _rename,
-        "truncate": _over(sinks.truncated, t),
+        "truncate": _truncate,
+        "landing_csv": _landing_csv,
+        "audit_latest": _over(audit.latest, "ETL_LOG"),
+        "cut_to_length": lambda spark, sf: quality.cut_to_length(
+            Fixtures(spark, sf).landing("APPLE").select("DESCRIPTION", "CATEGORY"), TRANSACTIONS
+        ),
+        "profile_database": _profile_database,
+        "onboard_rejects": lambda spark, sf: _onboarded(spark, sf).rejects.select("APPLICANT_NO", "REASON"),
         "cascade_delete": _cascade,
         "modify_columns": _modify,
         "onboard_addresses": lambda spark, sf: _onboarded(spark, sf).new_addresses,
@@ -252,12 +298,12 @@ def queries() -> dict[str, Query]:
             _onboarded(spark, sf).new_cards, "CARD_NUMBER", "EXP_DATE", "CVV"
         ),
         "onboarding_results": lambda spark, sf: _onboarded(spark, sf).results,
-        "quality_report": lambda spark, sf: quality.quality_report(_checked_tables(spark, sf), TABLES),
+        "quality_report": lambda spark, sf: quality.quality_report(_stored_tables(spark, sf), TABLES),
         "duplicate_keys": lambda spark, sf: quality.duplicate_keys(Fixtures(spark, sf).landing("AMEX"), ["REFERENCE"]),
         "orphans": _over(lambda facts, subs: quality.orphans(facts, "SUB_CATG_ID", subs, "SUB_CATG_ID"), t, s),
         "too_long": lambda spark, sf: quality.too_long(Fixtures(spark, sf).landing("APPLE"), "DESCRIPTION", 100),
         "column_samples": _over(lambda facts: profile.column_samples(facts, "DESCRIPTION"), t),
-        "schema_profile": lambda spark, sf: profile.profile(_checked_tables(spark, sf), TABLES),
+        "schema_profile": lambda spark, sf: profile.profile(_stored_tables(spark, sf), TABLES),
         "read_only_query": _read_only,
         "category_split": lambda spark, sf: legacy.category_split(Fixtures(spark, sf).landing("AMEX")),
         "seed_categories": lambda spark, sf: legacy.seed_categories(
@@ -276,6 +322,10 @@ def queries() -> dict[str, Query]:
         found[f"preview_{low}"] = lambda spark, sf, b=bank: _preview(Fixtures(spark, sf), b)
         found[f"new_categories_{low}"] = lambda spark, sf, b=bank: _load(spark, sf, b).new_categories
         found[f"new_sub_categories_{low}"] = lambda spark, sf, b=bank: _load(spark, sf, b).new_sub_categories
+        if bank != "AMEX":
+            found[f"load_{low}_occurrence"] = (
+                lambda spark, sf, b=bank: _load(spark, sf, b, id_mode="occurrence").transactions
+            )
     for bank in POSTED_VARIANTS:
         found[f"load_{bank.lower()}_posted"] = (
             lambda spark, sf, b=bank: _load(spark, sf, b, with_posted_date=True).transactions
@@ -304,15 +354,17 @@ def oracle_sql() -> dict[str, str]:
         "counterparty_spend": told.counterparty(),
         "month_spend_by_bank": told.month_by_bank(),
         "refresh_all": mined.reporting_sql(),
-        "insert_ignore": loading.load_sql(
-            "AMEX", loading.owner_sql(BANK_NAMES["AMEX"]),
-            existing=f"SELECT TRANSACTION_ID FROM {told.T} x WHERE BANK_ID = {BANK_NUMBER['AMEX']}"
-        ),
+        "insert_ignore": told.ignored(),
         "replace_into": told.replaced(),
         "insert_missing": told.INSERT_MISSING,
         "insert_row": told.SEEDED_ROW,
         "update_where": told.RENAMED,
         "truncate": told.TRUNCATED,
+        "landing_csv": told.LANDING_CSV,
+        "audit_latest": told.LATEST_LOG,
+        "cut_to_length": told.CUT,
+        "profile_database": told.profile(),
+        "onboard_rejects": boarded.REJECTS,
         "cascade_delete": told.cascaded(),
         "modify_columns": told.MODIFIED.replace("LAST_4 FROM", "CAST(NULL AS VARCHAR) AS LAST_4 FROM"),
         "onboard_addresses": boarded.ADDRESSES,
@@ -336,12 +388,17 @@ def oracle_sql() -> dict[str, str]:
     }
     for bank in DESCRIPTIONS:
         low = bank.lower()
-        sql[f"load_{low}"] = loading.load_sql(bank, loading.owner_sql(BANK_NAMES[bank]))
+        owner = loading.owner_sql(BANK_NAMES[bank])
+        sql[f"load_{low}"] = loading.load_sql(bank, owner, existing=told.STORED_IDS)
+        if bank != "AMEX":
+            sql[f"load_{low}_occurrence"] = loading.load_sql(bank, owner, existing=told.STORED_IDS, occurrence=True)
         sql[f"load_rejects_{low}"] = loading.rejects_sql(bank)
         sql[f"mine_{low}"] = mined.enrich_sql(bank)
         sql[f"preview_{low}"] = mined.preview_sql(bank)
         sql[f"new_categories_{low}"] = loading.categories_sql(bank)
         sql[f"new_sub_categories_{low}"] = loading.sub_categories_sql(bank)
     for bank in POSTED_VARIANTS:
-        sql[f"load_{bank.lower()}_posted"] = loading.load_sql(bank, loading.owner_sql(BANK_NAMES[bank]), posted=True)
+        sql[f"load_{bank.lower()}_posted"] = loading.load_sql(
+            bank, loading.owner_sql(BANK_NAMES[bank]), posted=True, existing=told.STORED_IDS
+        )
     return sql | _optional("oracle_sql")

@@ -161,7 +161,7 @@ def _facts_of(bank: str) -> str:
     }.get(bank, "CAST(NULL AS STRING)")
     description = f"upper(substr(replace({DESCRIPTIONS[bank]}, '\"', ''), 1, 100))"
     return f"""
-SELECT k * 7 + {number} AS TRANSACTION_ID, dt AS TRANSACTION_DATE, CASE WHEN k % 2 = 0 THEN dt END AS POSTED_DATE,
+SELECT k * 14 + {number * 2} AS TRANSACTION_ID, dt AS TRANSACTION_DATE, CASE WHEN k % 2 = 0 THEN dt END AS POSTED_DATE,
        CASE WHEN st = 'P' THEN 'CDT' ELSE 'DBT' END AS TRANSACTION_TYPE,
        CAST(amt AS DECIMAL(19,4)) AS TRANSACTION_AMOUNT, {description} AS DESCRIPTION,
        {extended} AS EXT_DESCRIPTION, CAST(NULL AS STRING) AS ADDRESS_1, CAST(NULL AS STRING) AS ADDRESS_2,
@@ -169,7 +169,7 @@ SELECT k * 7 + {number} AS TRANSACTION_ID, dt AS TRANSACTION_DATE, CASE WHEN k %
        CAST(substr(pri, 1, 1) AS INT) AS CATG_ID,
        CASE WHEN k % 19 = 0 THEN 999 ELSE CAST(substr(pri, 1, 1) AS INT) * 10 + ({_SEGMENT_NO}) END AS SUB_CATG_ID,
        {number} AS BANK_ID, CAST(ck AS INT) AS CARD_ID, CAST(ck * 2 + 1 AS INT) AS MEMBER_ID,
-       'LOADER' AS ADDED_USER, CAST(dt AS TIMESTAMP) AS ADDED_DATETIME
+       'LOADER' AS ADDED_USER, CAST('202{number}-01-01 00:00:00' AS TIMESTAMP) AS ADDED_DATETIME
 FROM ({BASE}) b"""
 
 
@@ -204,6 +204,8 @@ _BANK_NAMES = (
     "Axis Bank", "WellsFargo Bank", "American Express", "Discover Bank", "CapitalOne Bank", "Apple Bank", "Citi Bank",
 )
 
+_LOG = "'load_' || lower(seg) AS PROC_NAME, CAST(k % 7 + 1 AS INT) AS BANK_ID, CAST(dt AS TIMESTAMP) AS START_TIME"
+
 TABLE_SQL = {
     "MCC_CATEGORY": f"SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS INT) AS CATG_ID, "
                     f"{_PRIORITY_NAME} AS CATG_NAME, {_AUDIT} FROM {{orders}}",
@@ -227,14 +229,22 @@ TABLE_SQL = {
              "CAST(c_custkey % 7 + 1 AS INT) AS BANK_ID, CAST(c_custkey * 2 + 1 AS INT) AS MEMBER_ID, "
              + _VERSION.format(current="1") + " FROM {customer}",
     "TRANSACTIONS": " UNION ALL ".join(_facts_of(b) for b in DESCRIPTIONS),
+    "EXCHANGE_RATES": "SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS STRING) AS RATE_DATE, 'USD' AS FROM_CURRENCY, "
+                      "upper(substr(o_orderpriority, 3, 3)) AS TO_CURRENCY, CAST(1.5 AS DECIMAL(18,6)) AS CONVERSION_RATE FROM {orders}",
+    "ETL_LOG": f"SELECT k AS LOG_ID, {_LOG}, CAST(NULL AS TIMESTAMP) AS END_TIME, CAST(0 AS BIGINT) AS ROWS_PROCESSED, "
+               f"'STARTED' AS STATUS, CAST(NULL AS STRING) AS ERROR_MSG FROM ({BASE}) b UNION ALL "
+               f"SELECT k AS LOG_ID, {_LOG}, CAST(dt AS TIMESTAMP) + INTERVAL '1' HOUR AS END_TIME, CAST(k % 1000 AS BIGINT) AS ROWS_PROCESSED, "
+               "CASE WHEN k % 13 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS STATUS, CASE WHEN k % 13 = 0 THEN 'bad row' END AS ERROR_MSG "
+               f"FROM ({BASE}) b WHERE k % 5 <> 0",
     "APPLICANTS": """
 SELECT c_custkey AS APPLICANT_NO,
        CASE WHEN c_custkey % 3 = 0 THEN 'New ' || CAST(c_custkey - c_custkey % 12 AS STRING) ELSE c_name END AS FIRST_NAME,
-       CASE WHEN c_custkey % 3 = 0 THEN 'Comer' ELSE lower(c_mktsegment) END AS LAST_NAME, 'X' AS GENDER, '1990-01-02' AS DATE_OF_BIRTH,
-       CASE WHEN c_custkey % 3 = 2 THEN CAST(c_custkey % 1000 AS STRING) || ' Moved Road'
+       CASE WHEN c_custkey % 3 = 0 THEN 'Comer' ELSE lower(c_mktsegment) END AS LAST_NAME, CASE WHEN c_custkey % 61 = 9 THEN NULL ELSE 'X' END AS GENDER, '1990-01-02' AS DATE_OF_BIRTH,
+       CASE WHEN c_custkey % 53 = 2 THEN repeat('Very long road ', 12) || CAST(c_custkey % 5 AS STRING)
+            WHEN c_custkey % 3 = 2 THEN CAST(c_custkey % 1000 AS STRING) || ' Moved Road'
             ELSE CAST(c_nationkey AS STRING) || ' ' || n_name || ' STREET' END AS ADDRESS_1,
        CAST(NULL AS STRING) AS ADDRESS_2, n_name AS CITY, r_name AS STATE,
-       lpad(CAST(c_nationkey AS STRING), 5, '0') AS ZIPCODE, 'US' AS COUNTRY,
+       CASE WHEN c_custkey % 47 = 5 THEN NULL ELSE lpad(CAST(c_nationkey AS STRING), 5, '0') END AS ZIPCODE, 'US' AS COUNTRY,
        CASE WHEN c_custkey % 5 = 0 THEN 'New Bank ' || r_name ELSE 'Apple Bank' END AS BANK_NAME,
        'CREDIT' AS ACCOUNT_TYPE, 'CREDIT' AS CARD_TYPE, '4000' || lpad(CAST(c_custkey AS STRING), 12, '0') AS CARD_NUMBER,
        '01/30' AS EXP_DATE, '000' AS CVV
@@ -266,6 +276,8 @@ class Fixtures:
             rows = self._derive(text)
             if spread:
                 rows = rows.repartition(self.spark.sparkContext.defaultParallelism)
+            if "TRANSACTION_DATE" in rows.columns and partition_by:
+                rows = rows.sortWithinPartitions(*partition_by, "TRANSACTION_DATE")
             _STORED[key] = stage(rows, f"input-{name.lower()}", partition_by)
         return _STORED[key]
 

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ledgerloom.session import stage
 
-ONE_TASK_ROWS = 100_000  # counted sets up to this size may be numbered by one sort
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, position below
 
 
@@ -24,12 +22,12 @@ def global_rank(df: DataFrame, order: list[Column], name: str, label: str, tie:
     ``tie`` orders the rows that are equal by ``order``; it is made once per row.
 
     The rows are range-partitioned and sorted, then written once with the
-    position each row has inside its partition.  A second pass over that one
-    column counts the partitions, and the counts (one row per partition, so a
-    proven bound) become the offsets.  A trailing salt in the range key lets a
-    run of equal rows spread over several partitions; as equal rows are
-    interchangeable the numbering stays well defined.  The input must give its
-    rows in the same order when a task runs again, as a file scan does.
+    position each row has inside its partition.  The partitions are counted from
+    that one column, and a running sum over the counts (one row per partition)
+    gives each its offset.  A trailing salt in the range key lets a run of equal
+    rows spread over several partitions; as equal rows are interchangeable the
+    numbering stays well defined.  The input must give its rows in the same order
+    when a task runs again, as a file scan does; stage anything else first.
     """
     made = {"_salt": F.monotonically_increasing_id(), **({} if tie is None else {"_tie": tie})}
     keys = [*order, *([] if tie is None else [F.col("_tie")]), F.col("_salt")]
@@ -40,28 +38,12 @@ def global_rank(df: DataFrame, order: list[Column], name: str, label: str, tie:
         .drop(*made)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    staged = stage(placed, label)
-    part = F.shiftright("_place", _POSITION_BITS)
-    counts = staged.groupBy(part.alias("_part")).count().collect()
-    counts = sorted((r["_part"], r["count"]) for r in counts)
-    starts = [0, *accumulate(n for _, n in counts)]
-    offsets = {p: start for (p, _), start in zip(counts, starts)}
+    staged = stage(placed, label).withColumn("_part", F.shiftright("_place", _POSITION_BITS))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = staged.groupBy("_part").count()
+    starts = counts.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)) + 1
-    return _add_offset(staged, part, position, offsets, name).drop("_place")
-
-
-def _add_offset(staged, part, position, offsets, name):
-    if len(offsets) <= 1:
-        return staged.withColumn(name, position)
-    spark = staged.sparkSession
-    schema = T.StructType([T.StructField("_part", T.LongType()), T.StructField("_start", T.LongType())])
-    table = spark.createDataFrame(list(offsets.items()), schema)
-    return (
-        staged.withColumn("_part", part)
-        .join(F.broadcast(table), "_part")
-        .withColumn(name, position + F.col("_start"))
-        .drop("_part", "_start")
-    )
+    return staged.join(starts, "_part").withColumn(name, position + F.col("_start")).drop("_part", "_start", "_place")
 
 
 def hash_id(text: Column) -> Column:
@@ -87,27 +69,29 @@ def next_value(df: DataFrame, column: str, base: int = 0) -> int:
     return highest(df, column, base).first()[0]
 
 
-def in_one_task(df: DataFrame, rows: int | None) -> DataFrame:
-    """A frame counted as small, held by one task so that nothing built on it needs a shuffle."""
-    return df.coalesce(1) if rows is not None and rows <= ONE_TASK_ROWS else df
+def occurrence(staged: DataFrame, group: Column, order: list[Column], name: str, label: str) -> DataFrame:
+    """Number the rows of each group from 1, in order, without a task per group.
+
+    The rows are ranked as a whole with the group first; a row's number is its
+    rank less the lowest of its group, found by an aggregate that combines on
+    the map side, so one group with most of the rows stays split.
+    """
+    ranked = global_rank(staged.withColumn("_group", group), [F.col("_group"), *order], "_whole", label)
+    first = ranked.groupBy("_group").agg(F.min("_whole").alias("_first")).withColumnRenamed("_group", "_g")
+    joined = ranked.join(first, F.col("_group").eqNullSafe(F.col("_g")))
+    return joined.withColumn(name, F.col("_whole") - F.col("_first") + 1).drop("_group", "_g", "_whole", "_first")
 
 
-def assign_identity(
-    new_rows: DataFrame, order: list[Column], starts: dict[str, int], label: str, at_most: int | None = None
-) -> DataFrame:
+def assign_identity(new_rows: DataFrame, order: list[Column], starts: dict[str, int], label: str) -> DataFrame:
     """Give each new row the next values of one or more counters, in the given order.
 
-    ``starts`` maps a counter column to the last value in use.  ``at_most`` is a
-    counted upper bound of the rows; up to ``ONE_TASK_ROWS`` of them are numbered
-    by one sort, more go through the range-partitioned rank.  The result is
-    staged, so ids stay as given however often it is read.
+    ``starts`` maps a counter column to the last value in use.  The rows are
+    staged and ranked, so ids stay as given however often they are read.  Two
+    jobs that number the same table at the same time would give the same ids:
+    let one writer run at a time.
     """
-    if at_most is not None and at_most <= ONE_TASK_ROWS:
-        ranked = new_rows.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
-    else:
-        ranked = global_rank(new_rows, order, "_rank", f"rank-{label}")
-    ids = {c: (F.col("_rank") + F.lit(start)).cast("int") for c, start in starts.items()}
-    return stage(ranked.withColumns(ids).drop("_rank"), label)
+    ranked = global_rank(stage(new_rows, f"new-{label}"), order, "_rank", label)
+    return ranked.withColumns({c: (F.col("_rank") + F.lit(start)).cast("int") for c, start in starts.items()}).drop("_rank")
 
 
 def running_total(ranked: DataFrame, rank: str, flag: Column, name: str, bucket_rows: int = 1_000_000) -> DataFrame:

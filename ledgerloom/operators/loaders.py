@@ -25,7 +25,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.ids import assign_identity, content_key, global_rank, hash_id, highest, in_one_task, lookups
+from ledgerloom.functions.ids import assign_identity, content_key, global_rank, hash_id, highest, lookups, occurrence
 from ledgerloom.functions.text import (
     any_of, byte_length, clean_upper, date_text, filled, fold, from_position, moment, not_blank, number,
     plain_number_text,
@@ -324,16 +324,14 @@ def _lowest(df: DataFrame, key: str, column: str, value: str) -> DataFrame:
 
 
 def resolve(dims: Dimensions, user_name: str, bank_name: str, card_last4: str) -> dict[str, int]:
-    """Ids of the current member, bank and card (the lowest where several match), and the last ids and
-    sizes of the category tables."""
+    """Ids of the current member, bank and card (the lowest where several match), and the last ids of the
+    category tables."""
     found = lookups(
         member=_lowest(dims.members, "MEMBER_ID", "FIRST_NAME", user_name),
         bank=_lowest(dims.banks, "BANK_ID", "BANK_NAME", bank_name),
         card=_lowest(dims.cards, "CARD_ID", "LAST_4", card_last4),
         last_category=highest(dims.categories, "CATG_ID"),
         last_sub_category=highest(dims.sub_categories, "SUB_CATG_ID"),
-        categories=dims.categories.agg(F.count("*")),
-        sub_categories=dims.sub_categories.agg(F.count("*")),
     )
     if None in found.values():
         raise ValueError("validation failed: no active member, bank or card found")
@@ -353,19 +351,18 @@ def statement_names(rows: DataFrame, spec: Statement) -> DataFrame:
 
 
 def onboard_categories(
-    names: DataFrame, categories: DataFrame, last_id: int, as_of: datetime, at_most: int | None = None
+    names: DataFrame, categories: DataFrame, last_id: int, as_of: datetime
 ) -> DataFrame:
     """New category rows for the CATG_NAMEs that do not exist yet; over-long names are left out."""
     fits = F.length("CATG_NAME") <= CATEGORY.lengths["CATG_NAME"]
     fresh = insert_missing(names.where(fits).select("CATG_NAME"), categories, ["CATG_NAME"])
     rows = _audited(fresh, as_of)
-    numbered = assign_identity(rows, [F.col("CATG_NAME")], {"CATG_ID": last_id}, "new-categories", at_most)
+    numbered = assign_identity(rows, [F.col("CATG_NAME")], {"CATG_ID": last_id}, "new-categories")
     return numbered.select(*CATEGORY.columns)
 
 
 def onboard_sub_categories(
-    names: DataFrame, index: DataFrame, sub_categories: DataFrame, last_id: int, as_of: datetime,
-    at_most: int | None = None,
+    names: DataFrame, index: DataFrame, sub_categories: DataFrame, last_id: int, as_of: datetime
 ) -> DataFrame:
     """New sub-category rows for (CATG_NAME, SUB_CATG_NAME) pairs; a NULL or over-long name cannot be stored."""
     fits = F.length("SUB_CATG_NAME") <= SUB_CATEGORY.lengths["SUB_CATG_NAME"]
@@ -373,7 +370,7 @@ def onboard_sub_categories(
     candidates = parented.select("SUB_CATG_NAME", "CATG_ID")
     rows = _audited(insert_missing(candidates, sub_categories, ["SUB_CATG_NAME", "CATG_ID"]), as_of)
     order = [F.col("CATG_ID"), F.col("SUB_CATG_NAME")]
-    numbered = assign_identity(rows, order, {"SUB_CATG_ID": last_id}, "new-sub-categories", at_most)
+    numbered = assign_identity(rows, order, {"SUB_CATG_ID": last_id}, "new-sub-categories")
     return numbered.select(*SUB_CATEGORY.columns)
 
 
@@ -397,35 +394,37 @@ def sub_category_index(sub_categories: DataFrame) -> DataFrame:
 def load_statement(
     bank: str, landing: DataFrame, dims: Dimensions, target: DataFrame, user_name: str, bank_name: str,
     card_last4: str, as_of: datetime, added_user: str = "LOADER", with_posted_date: bool = False,
+    id_mode: str = "rank", owner: dict[str, int] | None = None,
 ) -> LoadResult:
     """Run one bank's load; nothing is written to the target tables here.
 
     ``with_posted_date`` also fills POSTED_DATE for the banks that leave it out.
+    ``id_mode`` "rank" hashes a row's place in the whole statement into its id, so
+    one more row before it changes the id; "occurrence" hashes its number among
+    the rows with equal id parts, so a row keeps its id in a later statement that
+    overlaps this one.  ``owner`` takes ids that ``resolve`` gave before.
     """
+    if id_mode not in ("rank", "occurrence"):
+        raise ValueError(f"unknown id mode {id_mode}")
     spec = STATEMENTS[bank]()
-    ids = resolve(dims, user_name, bank_name, card_last4)
+    ids = owner or resolve(dims, user_name, bank_name, card_last4)
     rows = landing.select(*LANDING.columns)
-    if spec.reference is None:
-        tie = content_key(LANDING.columns)
-        rows = global_rank(rows, spec.rank_order, "_RANK", f"landing-{bank.lower()}", tie)
-    rows = rows.withColumns({name: parse() for name, parse in PARSED.items()})
     row_id = spec.reference
     if row_id is None:
+        tie, label = content_key(LANDING.columns), f"landing-{bank.lower()}"
+        if id_mode == "rank":
+            rows = global_rank(rows, spec.rank_order, "_RANK", label, tie)
+        else:
+            parsed = rows.withColumns({name: parse() for name, parse in PARSED.items()})
+            rows = occurrence(parsed, F.concat(*spec.id_parts), [tie], "_RANK", label).select(*LANDING.columns, "_RANK")
         row_id = hash_id(F.concat(*spec.id_parts, c("_RANK").cast("string")))
+    rows = rows.withColumns({name: parse() for name, parse in PARSED.items()})
 
     names = statement_names(rows, spec)
-    at_most = names.count()
-    names = in_one_task(names, at_most)
-    new_categories = onboard_categories(names.where("_CATG"), dims.categories, ids["last_category"], as_of, at_most)
-    catg_index = category_index(
-        in_one_task(dims.categories.unionByName(new_categories), ids["categories"] + at_most)
-    )
-    new_subs = onboard_sub_categories(
-        names.where("_SUB"), catg_index, dims.sub_categories, ids["last_sub_category"], as_of, at_most
-    )
-    sub_index = sub_category_index(
-        in_one_task(dims.sub_categories.unionByName(new_subs), ids["sub_categories"] + at_most)
-    )
+    new_categories = onboard_categories(names.where("_CATG"), dims.categories, ids["last_category"], as_of)
+    catg_index = category_index(dims.categories.unionByName(new_categories))
+    new_subs = onboard_sub_categories(names.where("_SUB"), catg_index, dims.sub_categories, ids["last_sub_category"], as_of)
+    sub_index = sub_category_index(dims.sub_categories.unionByName(new_subs))
 
     typed = _typed(rows, row_id, spec, with_posted_date).join(catg_index, "CATG_KEY", "left").join(
         sub_index, ["SUB_KEY", "CATG_ID"], "left"

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from ledgerloom.schemas import Table
 
-# Sample size, name parts that ask for samples, and words that may open a read-only query.
+# Sample size, name parts that ask for samples, and functions that a reading query may not call.
 SAMPLE_SIZE = 15
 SAMPLED_NAMES = ["NAME", "TYPE", "CATEGORY", "CATG", "STATUS"]
-READ_WORDS = ["SELECT", "WITH", "SHOW", "DESCRIBE", "DESC", "EXPLAIN"]
-WRITE_WORDS = ["INSERT", "UPDATE", "DELETE", "MERGE", "TRUNCATE", "DROP", "ALTER", "CREATE", "REPLACE INTO"]
+CALLING_FUNCTIONS = ["reflect", "java_method", "try_reflect"]
+SCRIPT_NODES = ["Call", "CompoundBody"]
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
@@ -37,9 +37,9 @@ def describe(spark: SparkSession, schema: T.StructType, table: Table) -> DataFra
 
 
 def column_samples(df: DataFrame, column: str, limit: int = SAMPLE_SIZE) -> DataFrame:
-    """The first distinct values of a column in order."""
+    """The first distinct values of a column in order, without regard to case; the lowest spelling is shown."""
     values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("VALUE"))
-    return values.distinct().orderBy("VALUE").limit(limit)
+    return values.groupBy(F.upper("VALUE").alias("_K")).agg(F.min("VALUE").alias("VALUE")).orderBy("_K").limit(limit).drop("_K")
 
 
 def sampled_columns(df: DataFrame) -> list[str]:
@@ -56,8 +56,9 @@ def table_samples(df: DataFrame, limit: int = SAMPLE_SIZE) -> DataFrame:
     if not columns:
         return df.sparkSession.createDataFrame([], "FIELD string, SAMPLES array<string>")
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    long = texts.unpivot([], columns, "FIELD", "VALUE").where("VALUE IS NOT NULL").distinct()
-    first = Window.partitionBy("FIELD").orderBy("VALUE")
+    long = texts.unpivot([], columns, "FIELD", "VALUE").where("VALUE IS NOT NULL")
+    long = long.groupBy("FIELD", F.upper("VALUE").alias("_K")).agg(F.min("VALUE").alias("VALUE"))
+    first = Window.partitionBy("FIELD").orderBy("_K")
     kept = long.withColumn("POS", F.row_number().over(first)).where(F.col("POS") <= limit)
     pairs = F.array_sort(F.collect_list(F.struct("POS", "VALUE")))
     return kept.groupBy("FIELD").agg(F.transform(pairs, lambda p: p["VALUE"]).alias("SAMPLES"))
@@ -77,37 +78,52 @@ def profile(tables: dict[str, DataFrame], declared: dict[str, Table], limit: int
     return reduce(DataFrame.unionByName, parts)
 
 
-def formatted_profile(lines: DataFrame) -> str:
-    """The profile as readable text.  It holds one line per column, so it fits the driver."""
-    out, table = ["Database Schema Metadata:"], None
-    for r in lines.orderBy("TABLE_NAME", "POSITION").collect():
-        if r["TABLE_NAME"] != table:
-            table = r["TABLE_NAME"]
-            out += ["", f"Table: {table}"]
-        marks = (" NOT NULL" if r["NULLABLE"] == "NO" else "") + (" [PRIMARY KEY]" if r["COLUMN_KEY"] else "")
-        samples = f" | Samples: {r['SAMPLES']}" if r["SAMPLES"] else ""
-        out.append(f" - {r['FIELD']} ({r['TYPE']}){marks}{samples}")
-    return "\n".join(out) + "\n"
-
-
-def is_read_only(sql: str) -> bool:
-    """Opens with a reading word and, outside quotes and comments, names no writing verb before a target."""
-    bare = re.sub(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S).upper()
-    words = bare.replace("(", " ").split()
-    if not words or words[0].rstrip(";") not in READ_WORDS:
+def profile_database(spark: SparkSession, database: str, declared: dict[str, Table], limit: int = SAMPLE_SIZE) -> DataFrame:
+    """The profile of every stored table of a database that is declared."""
+    names = [r["TABLE_NAME"] for r in list_tables(spark, database).collect()]
+    tables = {n: spark.table(f"{database}.{n}").select(*declared[n].columns) for n in names if n in declared}
+    return profile(tables, declared, limit)
+
+
+def is_read_only(spark: SparkSession, sql: str) -> bool:
+    """Whether the parsed statement only reads: a query, or a command that shows, describes or explains.
+
+    Functions that call into the running program are no reading either.  Text that does not parse is not run.
+    """
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    except Exception:
         return False
-    if words[0] == "SELECT":
-        return True
-    return not any(re.search(rf"\b{w}\b", bare) for w in WRITE_WORDS)
+    kind = plan.getClass().getSimpleName()
+    command = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.plans.logical.Command")
+    statement = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.plans.logical.ParsedStatement")
+    if command.isInstance(plan) or statement.isInstance(plan):
+        return kind.startswith(("Show", "Describe")) or kind == "ExplainCommand" and is_read_only(spark, explained(sql))
+    if any(f"'{name}(" in plan.toString().lower() for name in CALLING_FUNCTIONS):
+        return False
+    nodes = [plan]
+    while nodes:
+        node = nodes.pop()
+        if command.isInstance(node) or statement.isInstance(node) or node.getClass().getSimpleName() in SCRIPT_NODES:
+            return False
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return True
+
+
+def explained(sql: str) -> str:
+    """The statement that an EXPLAIN is about."""
+    return re.sub(r"^\s*EXPLAIN\s+(EXTENDED\s+|CODEGEN\s+|COST\s+|FORMATTED\s+|LOGICAL\s+)?", "", sql, flags=re.I)
 
 
 def read_only_query(spark: SparkSession, sql: str, params: dict | list | None = None) -> DataFrame:
     """Run a query that cannot change data; anything else raises PermissionError."""
-    if not is_read_only(sql):
+    text = sql.rstrip().rstrip(";")
+    if not is_read_only(spark, text):
         raise PermissionError("only reading queries are allowed")
-    return spark.sql(sql.rstrip().rstrip(";"), args=params) if params else spark.sql(sql.rstrip().rstrip(";"))
+    return spark.sql(text, args=params) if params else spark.sql(text)
 
 
 def rows(df: DataFrame) -> Iterator[dict]:
-    """Rows as dictionaries, fetched one partition at a time."""
+    """Rows as dictionaries, fetched one partition at a time; all of them pass through the driver, so ask for few."""
     return (r.asDict() for r in df.toLocalIterator())

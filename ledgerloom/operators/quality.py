@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.schemas import Table
 
@@ -70,19 +70,21 @@ def key_check(df: DataFrame, table: Table) -> DataFrame:
 
 
 def reference_checks(tables: dict[str, DataFrame], table: Table) -> DataFrame:
-    """Rows without a parent for every reference of a table, in one pass and one join.
+    """Rows without a parent for every reference of a table whose parent is given, in one pass and one join.
 
     The child is counted per column and value before the join, so a hot value is
     one row there; the parents' keys are tagged with the column they belong to.
     """
-    columns = list(table.foreign)
+    columns = {c: parent for c, (parent, _) in table.foreign.items() if parent in tables}
     child = tables[table.name].select(*[F.col(c).cast("long").alias(c) for c in columns])
-    used = child.unpivot([], columns, "FIELD", "VALUE").where("VALUE IS NOT NULL").groupBy("FIELD", "VALUE").agg(
-        F.count("*").alias("CNT")
+    # Counted by the tuple first: the rows that are spread out are tuples, not facts.
+    tuples = child.groupBy(*columns).agg(F.count("*").alias("N"))
+    used = tuples.unpivot(["N"], list(columns), "FIELD", "VALUE").where("VALUE IS NOT NULL").groupBy("FIELD", "VALUE").agg(
+        F.sum("N").alias("CNT")
     )
     known = reduce(DataFrame.unionByName, [
-        tables[parent].select(F.lit(c).alias("FIELD"), F.col(key).cast("long").alias("VALUE"))
-        for c, (parent, key) in table.foreign.items()
+        tables[parent].select(F.lit(c).alias("FIELD"), F.col(table.foreign[c][1]).cast("long").alias("VALUE"))
+        for c, parent in columns.items()
     ])
     lost = used.join(known, ["FIELD", "VALUE"], "left_anti")
     lines = [
@@ -90,19 +92,28 @@ def reference_checks(tables: dict[str, DataFrame], table: Table) -> DataFrame:
             F.lit("reference").alias("CHECK_NAME"), F.lit(f"{c} -> {parent}").alias("DETAIL"),
             F.coalesce(F.sum(F.when(F.col("FIELD") == c, F.col("CNT"))), F.lit(0)).alias("BAD_ROWS"),
         )
-        for c, (parent, _) in table.foreign.items()
+        for c, parent in columns.items()
     ]
     return lost.agg(F.array(*lines).alias("lines")).select(F.lit(table.name).alias("TABLE_NAME"), F.inline("lines"))
 
 
+def unchecked(spark: SparkSession, table: Table, missing: list[str]) -> DataFrame:
+    """A line without a count for each reference to a parent that was not given."""
+    lines = [(table.name, "reference", f"{c} -> {parent}", None) for c, (parent, _) in table.foreign.items() if parent in missing]
+    return spark.createDataFrame(lines, "TABLE_NAME string, CHECK_NAME string, DETAIL string, BAD_ROWS long")
+
+
 def quality_report(tables: dict[str, DataFrame], declared: dict[str, Table]) -> DataFrame:
-    """One line per check over the tables given; references are checked where the parent is given too."""
+    """One line per check over the tables given; a reference whose parent is not given has a NULL count: not checked."""
     parts = []
     for name, df in tables.items():
         table = declared[name]
         parts.append(column_checks(df, table))
         if table.key:
             parts.append(key_check(df, table))
-        if table.foreign and all(parent in tables for parent, _ in table.foreign.values()):
+        parents = [parent for parent, _ in table.foreign.values()]
+        if any(parent in tables for parent in parents):
             parts.append(reference_checks(tables, table))
+        if missing := [parent for parent in parents if parent not in tables]:
+            parts.append(unchecked(df.sparkSession, table, missing))
     return reduce(DataFrame.unionByName, parts)

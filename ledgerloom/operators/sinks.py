@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.schemas import TABLES, Table
-from ledgerloom.session import stage
+from ledgerloom.session import delete, stage
 
 
 def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -23,10 +25,13 @@ def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFram
 def insert_ignore(rows: DataFrame, target: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """Rows whose key is new: first wins inside the batch, the target always wins.
 
-    Only the key of the target is read.  The grouping and the anti join share
-    one partitioning by key.
+    Only the key of the target is read.  The batch is staged, so that its true
+    size decides the semi join: a statement is sent to the target's scan tasks,
+    and no stored id moves.  The ids found there are as few as the batch's.
     """
-    return first_per_key(rows, key, order).join(target.select(*key), key, "left_anti").select(*rows.columns)
+    batch = stage(first_per_key(rows, key, order), "insert-batch")
+    held = target.select(*key).join(batch.select(*key), key, "left_semi")
+    return batch.join(held, key, "left_anti").select(*rows.columns)
 
 
 def untouched(rows: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
@@ -49,7 +54,7 @@ def insert_missing(candidates: DataFrame, target: DataFrame, key: list[str]) ->
     """Candidate rows that the target does not hold yet, one per key; texts are compared without case."""
     names = [f"_K_{c}" for c in key]
     lowest = F.min(F.struct(*candidates.columns)).alias("_row")
-    once = candidates.distinct().groupBy(*folded_keys(candidates, key)).agg(lowest)
+    once = candidates.groupBy(*folded_keys(candidates, key)).agg(lowest)
     missing = once.join(target.select(*folded_keys(target, key)), names, "left_anti")
     return missing.select("_row.*")
 
@@ -102,8 +107,9 @@ class Warehouse:
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
-    def create(self, *names: str) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+    def create(self, *names: str, location: str | None = None) -> None:
+        place = f" LOCATION '{location}'" if location else ""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{place}")
         for name in names or TABLES:
             table = TABLES[name]
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
@@ -117,23 +123,46 @@ class Warehouse:
         self._ready(name, rows).write.insertInto(self.name(name))
 
     def overwrite_partition(self, name: str, rows: DataFrame, **partition: int) -> None:
-        """Replace one partition by ``rows``, which must not be read from the table itself.
+        """Replace one partition by ``rows``.
 
-        The partition is named in the statement, so no session setting can widen
-        the overwrite.
+        They are written to a new folder first, and the partition then points
+        there in one step: a failure on the way leaves the old rows as they were.
         """
         columns = [c for c in self.spark.table(self.name(name)).columns if c not in partition]
         where = ", ".join(f"{c} = {int(v)}" for c, v in partition.items())
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.name(name)} PARTITION ({where}) "
-            f"SELECT /*+ REBALANCE */ {', '.join(columns)} FROM {{rows}}",
-            rows=rows,
-        )
+        old = self._location(name, where)
+        new = self._version(name)
+        self._dated(name, rows.select(*columns).hint("rebalance")).write.parquet(new)
+        if old is None:
+            self.spark.sql(f"ALTER TABLE {self.name(name)} ADD PARTITION ({where}) LOCATION '{new}'")
+        else:
+            self.spark.sql(f"ALTER TABLE {self.name(name)} PARTITION ({where}) SET LOCATION '{new}'")
+        self._moved(name, old)
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
-        """Replace an unpartitioned table; staged first, as a table cannot be overwritten while it is read."""
-        staged = stage(rows.select(*TABLES[name].columns), name.lower())
-        staged.select(*self.spark.table(self.name(name)).columns).write.insertInto(self.name(name), overwrite=True)
+        """Replace an unpartitioned table, which ``rows`` may be read from; in one step, like a partition."""
+        old, new = self._location(name), self._version(name)
+        rows.select(*self.spark.table(self.name(name)).columns).write.parquet(new)
+        self.spark.sql(f"ALTER TABLE {self.name(name)} SET LOCATION '{new}'")
+        self._moved(name, old)
+
+    def _location(self, name: str, partition: str | None = None) -> str | None:
+        """Where the table, or its partition, is stored now."""
+        if partition and self.spark.sql(f"SHOW PARTITIONS {self.name(name)} PARTITION ({partition})").isEmpty():
+            return None
+        of = f" PARTITION ({partition})" if partition else ""
+        lines = self.spark.sql(f"DESCRIBE FORMATTED {self.name(name)}{of}").where("col_name = 'Location'")
+        return lines.first()["data_type"]
+
+    def _version(self, name: str) -> str:
+        place = self.spark.sql(f"DESCRIBE DATABASE {self.database}").where("info_name = 'Location'").first()["info_value"]
+        return f"{place.rstrip('/')}/_versions/{name.lower()}-{uuid.uuid4().hex}"
+
+    def _moved(self, name: str, old: str | None) -> None:
+        """Forget cached file lists, and only then remove the former version."""
+        self.spark.sql(f"REFRESH TABLE {self.name(name)}")
+        if old is not None:
+            delete(self.spark, old)
 
     def truncate(self, name: str) -> None:
         self.spark.sql(f"TRUNCATE TABLE {self.name(name)}")
@@ -142,4 +171,8 @@ class Warehouse:
         """Columns in stored order, spread so that one hot partition is written by many tasks."""
         stored = rows.select(*self.spark.table(self.name(name)).columns)
         parts = TABLES[name].partition_by
-        return stored.hint("rebalance", *parts) if parts else stored
+        return self._dated(name, stored.hint("rebalance", *parts), *parts) if parts else stored
+
+    def _dated(self, name: str, rows: DataFrame, *parts: str) -> DataFrame:
+        """Rows of each file by date, so that a filter on the date skips row groups."""
+        return rows.sortWithinPartitions(*parts, "TRANSACTION_DATE") if "TRANSACTION_DATE" in TABLES[name].columns else rows

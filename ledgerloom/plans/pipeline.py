@@ -76,7 +76,7 @@ class Ledger:
         with self._logged(f"load_{bank.lower()}", owner["bank"]) as outcome:
             result = loaders.load_statement(
                 bank, landing, dims, self.store.read("TRANSACTIONS"), user_name, bank_name, card_last4,
-                self.clock(), **options,
+                self.clock(), owner=owner, **options,
             )
             facts = stage(result.transactions, "new-facts")
             outcome["rows"] = facts.count()
@@ -108,16 +108,24 @@ class Ledger:
 
     def refresh(self, banks: list[str] | None = None) -> dict[str, str]:
         """Refresh the banks in order; one that fails is logged and the rest still run."""
-        states = {}
+        states, known = {}, self.store.read("BANKS")
         for bank in banks or BANKS:
             try:
-                with self._logged(f"refresh_{bank.lower()}") as outcome:
+                with self._logged(f"refresh_{bank.lower()}", self._bank_or_none(known, bank)) as outcome:
                     outcome["rows"] = self.refresh_bank(bank)
                 states[bank] = "SUCCESS"
             except Exception:
                 states[bank] = "FAILED"
         return states
 
+    @staticmethod
+    def _bank_or_none(known: DataFrame, bank: str) -> int | None:
+        """The bank's id for the log; a bank that is not there fails inside the logged work."""
+        try:
+            return bank_id_of(known, BANKS[bank])
+        except Exception:
+            return None
+
     def onboard(self, applicants: DataFrame, key: str, results_path: str | None = None, **options) -> int:
         """Onboard a frame of applicants and return the number of new dimension rows.
 
@@ -135,9 +143,12 @@ class Ledger:
             outcome["rows"] = result.new_members.count() + sum(df.count() for df in staged.values())
             if results_path is not None:
                 result.results.write.parquet(results_path)
-            self.store.overwrite("MEMBERS", onboarding.members_after(read("MEMBERS"), result, now))
-            for name, df in staged.items():
-                self.store.append(name, df)
+            members = stage(onboarding.members_after(read("MEMBERS"), result, now), "members")
+            # Parents first: a failure in between leaves no row that points to one not yet there.
+            for name in ("MEMBER_ADDRESS", "BANKS"):
+                self.store.append(name, staged[name])
+            self.store.overwrite("MEMBERS", members)
+            self.store.append("CARDS", staged["CARDS"])
         return outcome["rows"]
 
     def clear_transactions(self) -> None:

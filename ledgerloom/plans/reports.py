@@ -10,7 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.text import any_of
+from ledgerloom.functions.text import any_of, fold
 from ledgerloom.operators.mining import report_channel
 
 MONEY = "decimal(38,4)"
@@ -24,21 +24,31 @@ def month(column: str = "TRANSACTION_DATE", pattern: str = "yyyy-MM") -> Column:
     return F.date_format(column, pattern)
 
 
+def by_name(rows: DataFrame, names: list[str], *sums: Column) -> DataFrame:
+    """Group by names without regard to case; of several spellings the lowest is shown."""
+    folded = [f"_K_{n}" for n in names]
+    shown = [F.min(n).alias(n) for n in names]
+    return rows.groupBy(*[fold(F.col(n)).alias(k) for n, k in zip(names, folded)]).agg(*shown, *sums).drop(*folded)
+
+
 def transaction_log(transactions, members, banks, cards) -> DataFrame:
-    """Readable statement, newest first."""
+    """Readable statement, newest first.
+
+    The id is the second sort key: the rows of one day are many, and with it they spread over the sorting tasks.
+    """
     return (
         transactions.select(
-            "TRANSACTION_DATE", "MEMBER_ID", "BANK_ID", "CARD_ID", "DESCRIPTION", "TRANSACTION_AMOUNT",
+            "TRANSACTION_ID", "TRANSACTION_DATE", "MEMBER_ID", "BANK_ID", "CARD_ID", "DESCRIPTION", "TRANSACTION_AMOUNT",
             "TRANSACTION_TYPE",
         )
         .join(members.select("MEMBER_ID", "FIRST_NAME", "LAST_NAME"), "MEMBER_ID")
         .join(banks.select("BANK_ID", "BANK_NAME"), "BANK_ID")
         .join(cards.select("CARD_ID", "LAST_4"), "CARD_ID")
+        .orderBy(F.desc("TRANSACTION_DATE"), "TRANSACTION_ID")
         .select(
             "TRANSACTION_DATE", "FIRST_NAME", "LAST_NAME", "BANK_NAME", "LAST_4", "DESCRIPTION",
             "TRANSACTION_AMOUNT", "TRANSACTION_TYPE",
         )
-        .orderBy(F.desc("TRANSACTION_DATE"))
     )
 
 
@@ -47,13 +57,11 @@ def spend_by_category(transactions, categories, sub_categories) -> DataFrame:
     per_id = (
         transactions.where("TRANSACTION_TYPE = 'DBT'").groupBy("CATG_ID", "SUB_CATG_ID").agg(total().alias("SPENT"))
     )
-    return (
-        per_id.join(categories.select("CATG_ID", "CATG_NAME"), "CATG_ID")
-        .join(sub_categories.select("SUB_CATG_ID", "SUB_CATG_NAME"), "SUB_CATG_ID")
-        .groupBy("CATG_NAME", "SUB_CATG_NAME")
-        .agg(total("SPENT").alias("TOTAL_SPENT"))
-        .orderBy(F.desc("TOTAL_SPENT"))
+    named = per_id.join(categories.select("CATG_ID", "CATG_NAME"), "CATG_ID").join(
+        sub_categories.select("SUB_CATG_ID", "SUB_CATG_NAME"), "SUB_CATG_ID"
     )
+    sums = by_name(named, ["CATG_NAME", "SUB_CATG_NAME"], total("SPENT").alias("TOTAL_SPENT"))
+    return sums.orderBy(F.desc("TOTAL_SPENT"))
 
 
 def active_members(members, addresses) -> DataFrame:
@@ -125,15 +133,12 @@ def transactions_per_card(transactions, cards, banks) -> DataFrame:
 
 def reporting_per_card(reporting, banks) -> DataFrame:
     """Reporting rows per card and bank of the row; banks of one name count together."""
-    return (
-        reporting.groupBy("CARD_ID", "BANK_ID")
-        .agg(F.count("*").alias("N"))
-        .join(banks.select("BANK_ID", "BANK_NAME"), "BANK_ID")
-        .groupBy("CARD_ID", "BANK_NAME")
-        .agg(F.sum("N").alias("CNT"))
-        .select("CNT", "CARD_ID", "BANK_NAME")
-        .orderBy("CARD_ID", "BANK_NAME")
+    counts = reporting.groupBy("CARD_ID", "BANK_ID").agg(F.count("*").alias("N"))
+    named = counts.join(banks.select("BANK_ID", "BANK_NAME"), "BANK_ID")
+    sums = named.groupBy("CARD_ID", fold(F.col("BANK_NAME")).alias("_K")).agg(
+        F.min("BANK_NAME").alias("BANK_NAME"), F.sum("N").alias("CNT")
     )
+    return sums.select("CNT", "CARD_ID", "BANK_NAME").orderBy("CARD_ID", "BANK_NAME")
 
 
 def reconciliation(transactions, reporting) -> DataFrame:
@@ -152,12 +157,16 @@ def reconciliation(transactions, reporting) -> DataFrame:
 
 
 def distinct_values(table: DataFrame, *columns: str) -> DataFrame:
-    return table.select(*columns).distinct()
+    """Distinct values, texts without regard to case; of several spellings the lowest is shown."""
+    kinds = dict(table.dtypes)
+    keys = {f"_K_{c}": fold(F.col(c)) if kinds[c] == "string" else F.col(c) for c in columns}
+    shown = [F.min(c).alias(c) for c in columns]
+    return table.groupBy(*[v.alias(k) for k, v in keys.items()]).agg(*shown).select(*columns)
 
 
 def recent_transactions(transactions) -> DataFrame:
-    """Whole fact table, last added first."""
-    return transactions.orderBy(F.desc("ADDED_DATETIME"))
+    """Whole fact table, last added first; the id parts the rows of one load, which share their time."""
+    return transactions.orderBy(F.desc("ADDED_DATETIME"), "TRANSACTION_ID")
 
 
 def _contains(column: str, word: str) -> Column:
@@ -186,12 +195,6 @@ def month_spend_by_bank(reporting, banks, first_day: date) -> DataFrame:
     """Money out per bank in the month that begins on ``first_day``."""
     start = F.lit(first_day)
     in_month = (F.col("TRANSACTION_DATE") >= start) & (F.col("TRANSACTION_DATE") < F.add_months(start, 1))
-    return (
-        reporting.where((F.col("TRANSACTION_TYPE") == "DBT") & in_month)
-        .groupBy("BANK_ID")
-        .agg(total().alias("SPENT"))
-        .join(banks.select("BANK_ID", "BANK_NAME"), "BANK_ID")
-        .groupBy("BANK_NAME")
-        .agg(total("SPENT").alias("TOTAL_SPENT"))
-        .orderBy("BANK_NAME")
-    )
+    sums = reporting.where((F.col("TRANSACTION_TYPE") == "DBT") & in_month).groupBy("BANK_ID").agg(total().alias("SPENT"))
+    named = sums.join(banks.select("BANK_ID", "BANK_NAME"), "BANK_ID")
+    return by_name(named, ["BANK_NAME"], total("SPENT").alias("TOTAL_SPENT")).orderBy("BANK_NAME")

@@ -73,15 +73,23 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
 
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
-    """Remove the tables staged inside the block when it ends.
+    """Remove the tables staged inside the block when it ends well.
 
     A job's staged tables can be as large as its input, so a job that has
-    written its results does not leave them behind.
+    written its results does not leave them behind.  What a failed job had
+    staged stays, as it may be the only copy of what it worked out.
     """
     _OPEN_SCOPES.append([])
     try:
         yield
-    finally:
-        for path in _OPEN_SCOPES.pop():
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    except BaseException:
+        _OPEN_SCOPES.pop()
+        raise
+    for path in _OPEN_SCOPES.pop():
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder and all it holds from whatever store it is in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.schemas import LANDING
 
 
 def read_csv(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Statement files with a header.  Columns are matched by name; those a bank does not give are NULL."""
+    """Statement files with a header.  Columns are matched by name; those a bank does not give are NULL.
+
+    Files with unlike headers are read apart, each kind under its own header, and put together by name.
+    """
     settings = {"header": "true", "multiLine": "false", "quote": '"', "escape": '"', **options}
-    files = spark.read.options(**settings).csv(path)
+    kinds = [r["files"] for r in headers(spark, path).groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()]
+    if not kinds:
+        return spark.createDataFrame([], LANDING.schema)
+    return reduce(DataFrame.unionByName, [_named(spark.read.options(**settings).csv(files)) for files in sorted(kinds)])
+
+
+def headers(spark: SparkSession, path: str) -> DataFrame:
+    """First line of every file, one row each."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    )
+    return lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+
+def _named(files: DataFrame) -> DataFrame:
     given = {name.strip().upper(): name for name in files.columns}
     return files.select(
         *[

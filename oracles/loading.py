@@ -136,12 +136,14 @@ def _id(parts):
     return f"CAST(CASE WHEN {number} > 9223372036854775807 THEN 18446744073709551616 - {number} ELSE {number} END AS BIGINT)"
 
 
-def _ctes(bank, posted=False):
+def _ctes(bank, posted=False, occurrence=False):
     spec = _spec(bank)
     content = "md5(concat_ws(chr(1), " + ", ".join(f"coalesce({c}, chr(2))" for c in LANDING.columns) + "))"
     rank = "0"
     if "order" in spec:
         rank = "row_number() OVER (ORDER BY " + ", ".join(f"{o} NULLS FIRST" for o in [*spec["order"], content]) + ")"
+        if occurrence:
+            rank = f"row_number() OVER (PARTITION BY {' || '.join(spec['parts'])} ORDER BY {content})"
     made = _id(spec["parts"]) if "parts" in spec else spec["ref"]
     posted_date = spec.get("posted") or (spec.get("variant") if posted else None) or "CAST(NULL AS TIMESTAMP)"
     return f"""
@@ -192,9 +194,9 @@ def rejects_sql(bank):
     return _ctes(bank)[0] + f"SELECT * FROM (SELECT {columns}, CASE {arms} END AS REASON FROM judged) WHERE REASON IS NOT NULL"
 
 
-def load_sql(bank, owner, posted=False, existing=None):
+def load_sql(bank, owner, posted=False, existing=None, occurrence=False):
     """``owner`` holds the ids of member, bank and card; ``existing`` a query with the ids already stored."""
-    ctes, spec = _ctes(bank, posted)
+    ctes, spec = _ctes(bank, posted, occurrence)
     given = {
         "TRANSACTION_ID": "id", "TRANSACTION_DATE": "dt", "POSTED_DATE": "pd", "TRANSACTION_TYPE": "ty",
         "TRANSACTION_AMOUNT": "am", "DESCRIPTION": f"coalesce(upper({spec['text']}), '')", "CATG_ID": "CATG_ID",

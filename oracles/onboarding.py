@@ -16,7 +16,8 @@ def _next(dim, column, order):
 
 
 CTES = f"""
-WITH app AS (SELECT * FROM {table('APPLICANTS')}), adr AS (SELECT * FROM {table('MEMBER_ADDRESS')}),
+WITH given AS (SELECT * REPLACE (left(ADDRESS_1, 150) AS ADDRESS_1) FROM {table('APPLICANTS')}),
+app AS (SELECT * FROM given WHERE GENDER IS NOT NULL AND ZIPCODE IS NOT NULL), adr AS (SELECT * FROM {table('MEMBER_ADDRESS')}),
 mem AS (SELECT * FROM {table('MEMBERS')}), bnk AS (SELECT * FROM {table('BANKS')}), crd AS (SELECT * FROM {table('CARDS')}),
 adr_now AS (SELECT upper(ADDRESS_1) AS ak, upper(ZIPCODE) AS zk, min(ADDRESS_ID) AS ADDRESS_ID FROM adr
             WHERE IS_CURRENT = 1 GROUP BY 1, 2),
@@ -75,5 +76,10 @@ CARDS = CTES + (
     f"{_OPEN} FROM card_new"
 )
 RESULTS = CTES + (
-    "SELECT APPLICANT_NO, 'SUCCESS' AS STATUS, MEMBER_ID AS ACTIVE_MEMBER_ID, LAST_4 AS CARD_STORED FROM active"
+    "SELECT APPLICANT_NO, 'SUCCESS' AS STATUS, MEMBER_ID AS ACTIVE_MEMBER_ID, LAST_4 AS CARD_STORED FROM active "
+    "UNION ALL SELECT APPLICANT_NO, 'FAILED', NULL, NULL FROM given WHERE GENDER IS NULL OR ZIPCODE IS NULL"
+)
+REJECTS = CTES + (
+    "SELECT APPLICANT_NO, CASE WHEN GENDER IS NULL THEN 'no GENDER' ELSE 'no ZIPCODE' END AS REASON FROM given "
+    "WHERE GENDER IS NULL OR ZIPCODE IS NULL"
 )

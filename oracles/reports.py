@@ -18,8 +18,9 @@ TRANSACTION_LOG = (
     f"JOIN {K} k ON t.CARD_ID = k.CARD_ID ORDER BY TRANSACTION_DATE DESC"
 )
 SPEND_BY_CATEGORY = (
-    f"SELECT CATG_NAME, SUB_CATG_NAME, {_AMOUNT} AS TOTAL_SPENT FROM {T} t JOIN {C} c ON t.CATG_ID = c.CATG_ID "
-    f"JOIN {S} s ON t.SUB_CATG_ID = s.SUB_CATG_ID WHERE TRANSACTION_TYPE = 'DBT' GROUP BY ALL ORDER BY TOTAL_SPENT DESC"
+    f"SELECT min(CATG_NAME) AS CATG_NAME, min(SUB_CATG_NAME) AS SUB_CATG_NAME, {_AMOUNT} AS TOTAL_SPENT FROM {T} t JOIN {C} c ON t.CATG_ID = c.CATG_ID "
+    f"JOIN {S} s ON t.SUB_CATG_ID = s.SUB_CATG_ID WHERE TRANSACTION_TYPE = 'DBT' "
+    "GROUP BY upper(CATG_NAME), upper(SUB_CATG_NAME) ORDER BY TOTAL_SPENT DESC"
 )
 ACTIVE_MEMBERS = (
     f"SELECT FIRST_NAME, LAST_NAME, ADDRESS_1, CITY, STATE, ZIPCODE FROM {M} m JOIN {A} a ON m.ADDRESS_ID = a.ADDRESS_ID "
@@ -51,8 +52,8 @@ PER_CARD = (
 
 def reporting_per_card():
     return (
-        f"SELECT count(*) AS CNT, CARD_ID, BANK_NAME FROM ({reporting_sql()}) r JOIN {B} b ON b.BANK_ID = r.BANK_ID "
-        "GROUP BY ALL ORDER BY 2, 3"
+        f"SELECT count(*) AS CNT, CARD_ID, min(BANK_NAME) AS BANK_NAME FROM ({reporting_sql()}) r JOIN {B} b ON b.BANK_ID = r.BANK_ID "
+        "GROUP BY CARD_ID, upper(BANK_NAME) ORDER BY 2, 3"
     )
 
 
@@ -65,8 +66,8 @@ def reconciliation():
     )
 
 
-RECENT = f"SELECT * FROM {T} t ORDER BY ADDED_DATETIME DESC"
-DISTINCT_CATEGORIES = f"SELECT DISTINCT CATEGORY FROM {landing('AMEX')} l"
+RECENT = f"SELECT * FROM {T} t ORDER BY ADDED_DATETIME DESC, TRANSACTION_ID"
+DISTINCT_CATEGORIES = f"SELECT min(CATEGORY) AS CATEGORY FROM {landing('AMEX')} l GROUP BY upper(CATEGORY)"
 
 
 def food():
@@ -86,8 +87,8 @@ def counterparty():
 
 def month_by_bank():
     return (
-        f"SELECT BANK_NAME, {_AMOUNT} AS TOTAL_SPENT FROM ({reporting_sql()}) r JOIN {B} b USING (BANK_ID) "
-        "WHERE TRANSACTION_TYPE = 'DBT' AND strftime(TRANSACTION_DATE, '%Y-%m') = '1998-03' GROUP BY 1 ORDER BY 1"
+        f"SELECT min(BANK_NAME) AS BANK_NAME, {_AMOUNT} AS TOTAL_SPENT FROM ({reporting_sql()}) r JOIN {B} b USING (BANK_ID) "
+        "WHERE TRANSACTION_TYPE = 'DBT' AND strftime(TRANSACTION_DATE, '%Y-%m') = '1998-03' GROUP BY upper(BANK_NAME) ORDER BY 1"
     )
 
 
@@ -102,6 +103,18 @@ def replaced():
     )
 
 
+def ignored():
+    columns = ", ".join(REPORTING.columns)
+    later = columns.replace("TRANSACTION_ID", "TRANSACTION_ID * 2 AS TRANSACTION_ID", 1)
+    return (
+        f"WITH r AS ({reporting_sql()}) SELECT {columns} FROM (SELECT {later} FROM ({enrich_sql('APPLE')})) "
+        "WHERE TRANSACTION_ID NOT IN (SELECT TRANSACTION_ID FROM r)"
+    )
+
+
+STORED_IDS = f"SELECT TRANSACTION_ID FROM {T} x"
+
+
 def cascaded():
     return f"SELECT * FROM ({reporting_sql()}) r WHERE TRANSACTION_TYPE = 'DBT'"
 
@@ -117,7 +130,7 @@ RENAMED = (
 SEEDED_ROW = (
     f"SELECT * FROM {C} c UNION ALL SELECT 0, 'CREDIT TO BANK', 'LOADER', CAST('2025-01-01 00:00:00' AS TIMESTAMP)"
 )
-TRUNCATED = f"SELECT * FROM {T} t WHERE false"
+TRUNCATED = f"SELECT 'before' AS STATE, count(*) AS N FROM {T} t UNION ALL SELECT 'after', 0"
 MODIFIED = (
     "SELECT CARD_ID, CARD_TYPE, CAST(CAST(CARD_ID AS VARCHAR) AS VARCHAR) AS CARD_TEXT, LAST_4 FROM " + K + " k"
 )
@@ -159,7 +172,13 @@ def legacy():
     )
 
 
-QUALITY_TABLES = ["TRANSACTIONS", "MCC_CATEGORY", "MCC_SUB_CATEGORY", "BANKS", "MEMBERS", "CARDS", "MEMBER_ADDRESS"]
+QUALITY_TABLES = list(TABLES)
+
+
+def _rows(name):
+    if name == "TRANSACTION_REPORTING":
+        return f"({reporting_sql()})"
+    return landing("AMEX") if name == "LND_TRANSACTIONS" else table(name)
 
 
 def quality():
@@ -178,16 +197,16 @@ def quality():
         for c, n in t.lengths.items():
             line(name, "length", c, f"(SELECT count(*) FROM {name}_ x WHERE length({c}) > {n})")
         key = ", ".join(t.key)
-        line(name, "key", ",".join(t.key),
-             f"(SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT {key} FROM {name}_)) FROM {name}_)")
+        if key:
+            line(name, "key", ",".join(t.key),
+                 f"(SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT {key} FROM {name}_)) FROM {name}_)")
         for c, (parent, pc) in t.foreign.items():
             line(name, "reference", f"{c} -> {parent}",
                  f"(SELECT count(*) FROM {name}_ x WHERE {c} NOT IN (SELECT {pc} FROM {parent}_))")
-    ctes = ", ".join(f"{n}_ AS (SELECT * FROM {table(n)})" for n in QUALITY_TABLES)
+    ctes = ", ".join(f"{n}_ AS (SELECT * FROM {_rows(n)} x)" for n in QUALITY_TABLES)
     return f"WITH {ctes} " + " UNION ALL ".join(lines)
 
 
-DUPLICATES = f"SELECT BANK_KEY, count(*) AS CNT FROM {B} b GROUP BY 1 HAVING count(*) > 1"
 DUPLICATE_REFERENCES = (
     f"SELECT REFERENCE, count(*) AS CNT FROM {landing('AMEX')} l GROUP BY 1 HAVING count(*) > 1"
 )
@@ -197,22 +216,26 @@ ORPHANS = (
 TOO_LONG = f"SELECT * FROM {landing('APPLE')} l WHERE length(DESCRIPTION) > 100"
 CUT = "SELECT left(DESCRIPTION, 100) AS DESCRIPTION, left(CATEGORY, 150) AS CATEGORY FROM " + landing("APPLE") + " l"
 SAMPLES = (
-    f"SELECT DISTINCT DESCRIPTION AS VALUE FROM {T} t WHERE DESCRIPTION IS NOT NULL ORDER BY 1 LIMIT {SAMPLE_SIZE}"
+    f"SELECT min(DESCRIPTION) AS VALUE FROM {T} t WHERE DESCRIPTION IS NOT NULL GROUP BY upper(DESCRIPTION) "
+    f"ORDER BY upper(DESCRIPTION) LIMIT {SAMPLE_SIZE}"
 )
-
+LATEST_LOG = (
+    f"SELECT * FROM {table('ETL_LOG')} l QUALIFY row_number() OVER (PARTITION BY LOG_ID ORDER BY END_TIME DESC NULLS LAST) = 1"
+)
+LANDING_CSV = f"SELECT * REPLACE (nullif(DEBIT, '') AS DEBIT, nullif(CREDIT, '') AS CREDIT) FROM {landing('CITI')} l"
 
 
 def profile():
     parts, ctes = [], []
     for name in QUALITY_TABLES:
         t = TABLES[name]
-        ctes.append(f"{name}_ AS (SELECT * FROM {table(name)})")
+        ctes.append(f"{name}_ AS (SELECT * FROM {_rows(name)} x)")
         for i, f in enumerate(t.schema, start=1):
             samples = "CAST(NULL AS VARCHAR)"
             if any(p in f.name for p in SAMPLED_NAMES):
                 samples = (
-                    f"(SELECT string_agg(v, ', ' ORDER BY v) FROM (SELECT DISTINCT CAST({f.name} AS VARCHAR) AS v FROM {name}_ "
-                    f"WHERE {f.name} IS NOT NULL ORDER BY v LIMIT {SAMPLE_SIZE}))"
+                    f"(SELECT string_agg(v, ', ' ORDER BY upper(v)) FROM (SELECT min(CAST({f.name} AS VARCHAR)) AS v FROM {name}_ "
+                    f"WHERE {f.name} IS NOT NULL GROUP BY upper(CAST({f.name} AS VARCHAR)) ORDER BY upper(v) LIMIT {SAMPLE_SIZE}))"
                 )
             parts.append(
                 f"SELECT {quote(name)} AS TABLE_NAME, CAST({i} AS INTEGER) AS POSITION, {quote(f.name)} AS FIELD, "

@@ -240,3 +240,16 @@ def test_one_reference_for_a_third_of_the_rows_is_stored_once(spark, dims):
     )
     assert got.transactions.count() == 601
     assert got.transactions.where("TRANSACTION_ID = 7").first()["DESCRIPTION"] == "D0000"
+
+
+def test_occurrence_ids_survive_an_earlier_row(spark, dims):
+    row = {"TRANSACTION_DATE": "05-01-2025", "DEBIT": "5", "STATEMENT_DESC": "POS/SHOP/PUNE", "CATEGORY": "x"}
+    early = row | {"TRANSACTION_DATE": "04-01-2025"}
+    one = load(spark, dims, "AXIS", [row, row], id_mode="occurrence")
+    stored = one.transactions
+    two = load(spark, dims, "AXIS", [early, row, row, row], target=stored, id_mode="occurrence")
+    assert stored.count() == 2 and two.transactions.count() == 2
+    ranked = load(spark, dims, "AXIS", [row, row]).transactions
+    assert load(spark, dims, "AXIS", [early, row, row, row], target=ranked).transactions.count() > 2
+    with pytest.raises(ValueError):
+        load(spark, dims, "AXIS", [row], id_mode="other")

@@ -159,3 +159,25 @@ def test_secrets_round_trip(spark, mode):
 def test_long_keys_fold_onto_sixteen_bytes():
     assert folded_key("abc") == b"abc" + bytes(13)
     assert folded_key("0123456789abcdefZ")[0] == ord("0") ^ ord("Z")
+
+
+def test_applicants_that_cannot_be_entered(spark):
+    people = [applicant(i, f"A{i}", "Lee", "1 Oak", "Axis Bank", f"400011112222{i:04d}") for i in range(1, 4)]
+    people[1]["ZIPCODE"] = None
+    people[2] |= {"GENDER": None, "ADDRESS_1": None}
+    loose = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in APPLICANTS.schema)
+    given = spark.createDataFrame([tuple(p[c] for c in APPLICANTS.columns) for p in people], loose)
+    none = [spark.createDataFrame([], t.schema) for t in (MEMBER_ADDRESS, MEMBERS, BANKS, CARDS)]
+    got = onboard(given, *none, "key", NOW)
+    assert sorted((r["APPLICANT_NO"], r["STATUS"]) for r in got.results.collect()) == [(1, "SUCCESS"), (2, "FAILED"), (3, "FAILED")]
+    assert sorted((r["APPLICANT_NO"], r["REASON"]) for r in got.rejects.collect()) == [(2, "no ZIPCODE"), (3, "no GENDER")]
+    assert got.new_addresses.count() == got.new_members.count() == 1
+
+
+def test_over_long_applicant_is_found_again(spark):
+    long = applicant(1, "Ann" * 30, "Lee", "Long Road " * 30, "Axis Bank" * 20, "4000111122221111")
+    given = spark.createDataFrame([tuple(long[c] for c in APPLICANTS.columns)], APPLICANTS.schema)
+    none = [spark.createDataFrame([], t.schema) for t in (MEMBER_ADDRESS, MEMBERS, BANKS, CARDS)]
+    one = onboard(given, *none, "key", NOW)
+    two = onboard(given, one.new_addresses, one.new_members, one.new_banks, one.new_cards, "key", NOW)
+    assert [df.count() for df in (two.new_addresses, two.new_members, two.new_banks, two.new_cards)] == [0, 0, 0, 0]

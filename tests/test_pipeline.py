@@ -112,10 +112,63 @@ def test_moving_closes_a_version(spark, ledger, tmp_path):
     ledger.onboard(frame, "key", results_path=results)
     result = spark.read.parquet(results).first()
     members = {r["MEMBER_ID"]: (r["IS_CURRENT"], r["EFF_END_DATE"] == END) for r in ledger.store.read("MEMBERS").collect()}
-    assert members == {1: (0, False), 2: (1, True)} and result["ACTIVE_MEMBER_ID"] == 2
+    assert {k: members[k] for k in (1, 2)} == {1: (0, False), 2: (1, True)} and result["ACTIVE_MEMBER_ID"] == 2
     assert ledger.store.read("CARDS").where("LAST_4 = '1111' AND IS_CURRENT = 1").count() == 2
 
 
+def test_failed_writes_keep_the_old_rows(spark, ledger, monkeypatch):
+    """A task that fails while a table is written leaves table and log as they should be."""
+    store = ledger.store
+
+    @F.udf("string")
+    def fails(x):
+        raise RuntimeError("lost")
+
+    broken = lambda rows, column: rows.withColumn(column, fails(F.lit("x")))
+    old = sorted(map(tuple, store.read("MEMBERS").collect()))
+    with pytest.raises(Exception):
+        store.overwrite("MEMBERS", broken(store.read("MEMBERS"), "FIRST_NAME"))
+    assert sorted(map(tuple, store.read("MEMBERS").collect())) == old and old
+
+    told = store.read("TRANSACTION_REPORTING")
+    rows = sorted(map(str, told.collect()))
+    with pytest.raises(Exception):
+        store.overwrite_partition("TRANSACTION_REPORTING", broken(told, "ENTITY_NAME"), BANK_ID=1)
+    assert sorted(map(str, store.read("TRANSACTION_REPORTING").collect())) == rows and rows
+
+    first = Warehouse.overwrite
+    monkeypatch.setattr(Warehouse, "overwrite", lambda self, name, df: first(self, name, broken(df, "FIRST_NAME")))
+    new = applicant(1, "Bob", "Ray", "2 Ash", "Axis Bank", "4000111122223333")
+    frame = spark.createDataFrame([tuple(new[c] for c in APPLICANTS.columns)], APPLICANTS.schema)
+    with pytest.raises(Exception):
+        ledger.onboard(frame, "key")
+    assert sorted(map(tuple, store.read("MEMBERS").collect())) == old
+    assert state(ledger, "onboard_members")[-1] == ("FAILED", 0)
+    monkeypatch.undo()
+    assert ledger.onboard(frame, "key") == 2  # the address was there already
+
+
+def test_overwrite_reads_its_own_table(spark, ledger):
+    store = ledger.store
+    n = store.read("BANKS").count()
+    store.overwrite("BANKS", store.read("BANKS").withColumn("ADDED_USER", F.lit("again")))
+    store.append("BANKS", store.read("BANKS").limit(1))
+    assert store.read("BANKS").count() == n + 1 and store.read("BANKS").where("ADDED_USER = 'again'").count() == n + 1
+    store.overwrite("BANKS", store.read("BANKS").dropDuplicates(["BANK_ID"]))
+    assert store.read("BANKS").count() == n
+
+
+def test_profile_of_a_stored_database(spark, ledger):
+    lines = profile.profile_database(spark, "ledger_test", TABLES).collect()
+    assert {r["TABLE_NAME"] for r in lines} == set(TABLES)
+    assert [r["FIELD"] for r in sorted(lines, key=lambda r: r["POSITION"]) if r["TABLE_NAME"] == "TRANSACTIONS"] == TABLES["TRANSACTIONS"].columns
+
+
+def test_refresh_log_has_the_bank(ledger):
+    log = ledger.store.read("ETL_LOG").where("PROC_NAME = 'refresh_axis' AND STATUS = 'SUCCESS'")
+    assert {r["BANK_ID"] for r in log.collect()} == {1}
+
+
 def test_names_of_stored_tables(spark, ledger):
     assert {r[0] for r in profile.list_tables(spark, "ledger_test").collect()} == set(TABLES)
     assert [r["FIELD"] for r in profile.describe(spark, ledger.store.read("BANKS").schema, BANKS).collect()] == BANKS.columns
