@@ -60,6 +60,11 @@ DESCRIPTIONS = {
         "'Zelle to ' || nm || ' on 01/02 Ref # JPM' || ks", "'ATM CASH WDL ' || reg || ' ATM ID ' || ks",
         "seg || ' PAYROLL ' || ks", "'ONLINE TRANSFER REF # ' || ks || ' BAC'", "'MONTHLY SERVICE CHG'",
         "'\"' || seg || ' COFFEE, ' || reg || '\"'", "'DISCOVER E-PAYMENT ' || ks",
+        "'AMERENMO WEB PMT ' || ks", "'Citi Card Online Payment ' || ks", "'CAPITAL ONE MOBILE PMT ' || ks",
+        "'AMERICAN EXPRESS ACH PMT ' || ks", "'APPLECARD GSBANK PAYMENT ' || ks", "'LIBERTY MUTUAL PREM ' || ks",
+        "'PROG COUNTY MUT INS PREM ' || ks", "'IRS USATAXPYMT ' || ks", "'MO DEPT REVENUE MOSTTAXRFD ' || ks",
+        "'RELIABLE SOFTWAR PAYROLL ' || ks", "'SCHWAB BROKERAGE MONEYLINK ' || ks", "'WELLS FARGO AUTO DRAFT ' || ks",
+        "'PF MCKINNEY CLUB FEES ' || ks",
     ),
     "AMEX": _pick(
         "'MOBILE PAYMENT - THANK YOU'", "'APLPAY ' || seg || '  ' || reg || '  TX'",

@@ -110,6 +110,27 @@ def test_wellsfargo_preview(spark):
     assert previewed(spark, "WELLSFARGO", list(rows), *columns) == list(rows.values())
 
 
+def test_wellsfargo_preview_names_every_counterparty(spark):
+    """One row for each arm of the name rules, read off the rules of the earlier system."""
+    rows = {
+        "ZELLE FROM ANN LEE ON 01/02 REF # AB1": "ANN LEE", "ZELLE TO BOB ON 01/02 REF # JPM1": "BOB",
+        "PURCHASE AUTHORIZED ON 01/02 SHOP DALLAS TX S1 CARD": "/02", "ATM CASH 12 MAIN ST ATM ID 7": "SELF",
+        "AMERENMO WEB PMT 1": "AMERENMO", "CITI CARD ONLINE PAYMENT": "CITI", "CAPITAL ONE MOBILE PMT": "CAPITAL ONE",
+        "AMERICAN EXPRESS ACH PMT": "AMERICAN EXPRESS", "APPLECARD GSBANK PAYMENT": "APPLE", "DISCOVER E-PAYMENT": "DISCOVER",
+        "LIBERTY MUTUAL PREM": "LIBERTY MUTUAL", "PROG COUNTY MUT INS PREM": "PROGRESSIVE", "IRS USATAXPYMT": "IRS",
+        "MO DEPT REVENUE MOSTTAXRFD": "MO DEPT REVENUE", "RELIABLE SOFTWAR PAYROLL": "RELIABLE SOFTWARE",
+        "SCHWAB BROKERAGE MONEYLINK": "SCHWAB", "WELLS FARGO AUTO DRAFT": "WELLS FARGO", "PF MCKINNEY CLUB FEES": "PLANET FITNESS",
+        "SOMETHING ELSE": "UNKNOWN",
+    }
+    assert previewed(spark, "WELLSFARGO", list(rows), "ENTITY_NAME") == [(n,) for n in rows.values()]
+    assert len(rows) == len(BANKS["WELLSFARGO"].preview["ENTITY_NAME"].rules) + 1
+
+
+def test_axis_preview_transfers(spark):
+    rows = {"ZELLE FROM X": "ZELLE", "SCHWAB MONEYLINK": "TRANSFER", "CAR AUTO DRAFT": "TRANSFER", "ATM CASH 1": "CASH WITHDRAWAL"}
+    assert previewed(spark, "AXIS", list(rows), "PAYMENT_CHANNEL") == [(c,) for c in rows.values()]
+
+
 def test_amex(spark):
     rows = {
         ("MOBILE PAYMENT - THANK YOU", None): ("PAYMENT", "AMERICAN EXPRESS", "ONLINE", "RETAIL"),
