@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import pickle
+import struct
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import zstandard
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.session import stage
 
 #: Words are runs of anything but ASCII white space; Java, RE2 and Python read this pattern alike.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts are handed on inside a task in slices of about this many characters.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,3 +72,46 @@ def slices(texts, most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
             start, held = i + 1, 0
     if start < len(texts):
         yield start, len(texts)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Rows of ``doc`` (a struct), ``data`` (binary) and ``block`` as ``block, docs, texts``, several rows for each block.
+
+    The texts of a row are compressed together, so that dealing them to blocks moves a third of their bytes.
+    """
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            block = batch.column(2).to_numpy()
+            order = np.argsort(block, kind="stable")
+            cuts = np.flatnonzero(np.append(True, block[order][1:] != block[order][:-1])).tolist()
+            rows = batch.take(pa.array(order))
+            ends = [*cuts[1:], len(order)]
+            texts = []
+            for start, end in zip(cuts, ends):
+                own = rows.column(1).slice(start, end - start).to_pylist()
+                texts.append(press.compress(b"".join(struct.pack("<q", len(t or b"")) + (t or b"") for t in own)))
+            whole = pa.ListArray.from_arrays(pa.array([*cuts, len(order)], pa.int32()), rows.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array(block[order][cuts]), whole, pa.array(texts, pa.binary())], names=["block", "docs", "texts"])
+
+    given = docs.select("doc", "data", F.col("block").cast("long"))
+    schema = [T.StructField("block", T.LongType()), T.StructField("docs", T.ArrayType(given.schema["doc"].dataType)), T.StructField("texts", T.BinaryType())]
+    return given.mapInArrow(pack, T.StructType(schema))
+
+
+def unpacked(block: pa.Table) -> Iterator[memoryview]:
+    """The texts of a block's rows in turn, as its ``docs`` are."""
+    for texts in block.column("texts").to_pylist():
+        data, at = memoryview(zstandard.ZstdDecompressor().decompress(texts)), 0
+        while at < len(data):
+            (size,) = struct.unpack_from("<q", data, at)
+            yield data[at + 8 : at + 8 + size]
+            at += 8 + size
+
+
+def carried(block: pa.Table) -> pa.Array:
+    """The ``docs`` of all rows of a block as one array of structs."""
+    docs = block.column("docs").combine_chunks()
+    return (pa.concat_arrays(docs.chunks) if isinstance(docs, pa.ChunkedArray) else docs).flatten()

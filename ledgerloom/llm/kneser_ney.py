@@ -8,17 +8,14 @@ dealt to shards of the n-gram tables, and each block gets its probabilities back
 
 from __future__ import annotations
 
-import struct
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.llm.common import partitions
+from ledgerloom.llm.common import carried, packed, partitions, unpacked
 from ledgerloom.session import stage
 
 ORDER = 4
@@ -39,52 +36,25 @@ def grams(word: str) -> list[str]:
     return [text[i : i + ORDER] for i in range(len(word) + 1)]
 
 
-def _packed(docs: DataFrame, doc_id: str, text: str, lang: str, blocks: int) -> DataFrame:
-    """Documents in ``block, ids, langs, texts`` (compressed, together); several rows for each block."""
-    key = F.coalesce(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(0))
+def _dealt(docs: DataFrame, doc_id: str, text: str, lang: str, blocks: int) -> DataFrame:
+    """Documents in packed blocks; ``docs`` holds id and language."""
+    key = F.xxhash64(F.col(f"`{doc_id}`").cast("long"))
     own = F.when(F.col(f"`{doc_id}`").isNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(key)
-    given = docs.select(
-        F.col(f"`{doc_id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"),
-        F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"), F.pmod(own, F.lit(blocks)).alias("block"),
-    )
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            block = batch.column(3).to_numpy()
-            order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.append(True, block[order][1:] != block[order][:-1])) if len(order) else []
-            rows = {"block": [], "ids": [], "langs": [], "texts": []}
-            for start, end in zip(cuts, [*cuts[1:], len(order)]):
-                own = batch.take(pa.array(order[start:end]))
-                texts = own.column(2).to_pylist()
-                rows["block"].append(int(block[order[start]]))
-                rows["ids"].append(own.column(0).to_pylist())
-                rows["langs"].append(own.column(1).to_pylist())
-                rows["texts"].append(press.compress(b"".join(struct.pack("<q", len(t)) + t for t in texts)))
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema(PACKED_ARROW))
-
-    return given.mapInArrow(pack, "block long, ids array<long>, langs array<string>, texts binary")
-
-
-PACKED_ARROW = [("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("texts", pa.binary())]
+    doc = F.struct(F.col(f"`{doc_id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"))
+    return packed(docs.select(doc.alias("doc"), F.col(f"`{text}`").cast("binary").alias("data"), F.pmod(own, F.lit(blocks)).alias("block")))
 
 
 def _documents(block: pa.Table) -> Iterator[tuple]:
     """Id, language and words of each document of a block."""
-    for ids, langs, texts in zip(*(block.column(c).to_pylist() for c in ("ids", "langs", "texts"))):
-        data, at = zstandard.ZstdDecompressor().decompress(texts), 0
-        for doc_id, lang in zip(ids, langs):
-            (size,) = struct.unpack_from("<q", data, at)
-            yield doc_id, lang, data[at + 8 : at + 8 + size].split()
-            at += 8 + size
+    for doc, text in zip(carried(block).to_pylist(), unpacked(block)):
+        yield doc["id"], doc["lang"], bytes(text).split()
 
 
 def _gram_counts(block: pa.Table, trusted: pa.Table) -> pa.Table:
     """N-grams of a block's trusted documents with their counts."""
     good = set(trusted.column("id").to_pylist())
     words: dict[str, Counter] = {}
-    if good and block.num_rows:
+    if good:
         for doc_id, lang, own in _documents(block):
             if doc_id in good:
                 words.setdefault(lang, Counter()).update(own)
@@ -150,7 +120,7 @@ def _perplexities(block: pa.Table, answers: pa.Table) -> pa.Table:
         known.setdefault(lang, {}).update(zip(own, values))
     scores: dict[str, dict] = {}
     ids, langs, sizes, sums, counts = [], [], [], [], []
-    for doc_id, lang, words in _documents(block) if block.num_rows else ():
+    for doc_id, lang, words in _documents(block):
         seen, table = scores.setdefault(lang, {}), known.get(lang, {})
         n, total = 0, 0.0
         for word in words:
@@ -230,7 +200,7 @@ def perplexity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES) or 1
     shards = max(partitions(docs.sparkSession), 8)
-    by_block = _packed(docs, doc_id, text, lang, blocks).groupBy("block")
+    by_block = _dealt(docs, doc_id, text, lang, blocks).groupBy("block")
     trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct()
     trusted = trusted.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
 
