@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerloom.llm.common import carried, packed, unpacked
 from ledgerloom.session import stage
 
 WINDOW = 400
@@ -123,8 +124,7 @@ def _samples(at: int, part: np.ndarray, last: bool, bits: int) -> tuple[np.ndarr
 
 
 def _documents(block: pa.Table) -> list[np.ndarray]:
-    column = block.column("data").combine_chunks()
-    return [np.frombuffer(x.as_buffer() or b"", np.uint8) if x.is_valid else np.empty(0, np.uint8) for x in column]
+    return [np.frombuffer(text, np.uint8) for text in unpacked(block)]
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -259,8 +259,6 @@ def _spans(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cut(block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.Table:
-    if not block.num_rows:
-        return block.select([]).append_column("n_bytes", pa.array([], pa.int64()))
     places, one, two = _window_keys(block, answers, sample_bits)
     bucket = _top(two, bits)
     order, group = _sorted(one, bucket)
@@ -287,8 +285,8 @@ def _cut(block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.
         out.append((len(data), int((end - begin).sum()), len(begin), hashlib.sha256(kept).hexdigest(), kept))
     names = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-    made = {n: pa.array(c, k) for n, c, k in zip(names, zip(*out), kinds)}
-    return pa.table({"doc": block.column("doc"), **made})
+    made = {n: pa.array(c, k) for n, c, k in zip(names, zip(*out) if out else [[]] * len(names), kinds)}
+    return pa.table({"doc": carried(block), **made})
 
 
 CUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -333,7 +331,7 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     def cut(block: pa.Table, answers: pa.Table) -> pa.Table:
         return _cut(block, answers, sample_bits, window_bits)
 
-    by_block = dealt.groupBy("block")
+    by_block = packed(dealt).groupBy("block")
     ranks = by_block.applyInArrow(samples, KEYS).groupBy("bucket").applyInArrow(_tied_samples, ANSWER)
     ties = by_block.cogroup(ranks.groupBy("block")).applyInArrow(suffixes, KEYS)
     answers = ranks.unionByName(ties.groupBy("bucket").applyInArrow(_tied_windows, ANSWER))
@@ -344,7 +342,7 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
 def shortened(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
     """The documents, columns in order, with the remaining text and, if there is such a column, its length in characters.
 
-    A null text stays null.  A cut that falls inside a character drops what is left of that character.
+    A null text stays null, with the length it had.  A cut that falls inside a character drops what is left of that character.
     """
     @F.pandas_udf("string")
     def decoded(kept: pd.Series) -> pd.Series:
@@ -357,6 +355,6 @@ def shortened(docs: DataFrame, text: str = "text", length: str = "n_chars") -> D
     for c in docs.columns:
         value = F.col("kept") if c == text else F.col("doc").getField(c)
         if c == length and kinds[c] in ("int", "bigint"):
-            value = F.length("kept").cast(kinds[c])
+            value = F.coalesce(F.length("kept").cast(kinds[c]), value)
         columns.append(value.alias(c))
     return rows.select(*columns)
