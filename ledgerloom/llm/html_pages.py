@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-MAIN, OTHER = "", ""  # marks before each leaf text, taken off again before features are read
+MAIN, OTHER = "\ue000", "\ue001"  # private-use marks before each leaf text, taken off again before features are read
 
 # Common names of page parts.
 ARTICLE = "article post content entry story main body text news blog page single".split()
