@@ -19,7 +19,7 @@ from ledgerloom.llm.common import carried, packed, partitions, unpacked
 from ledgerloom.session import stage
 
 ORDER = 4
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 QUANTILE = 0.99  # of the trusted documents of a language
 MARGIN = 0.3  # nats a character above that quantile up to which a document passes
 SLACK = 3.0  # a document of n characters may exceed the quantile by SLACK / sqrt(n) nats for each character
