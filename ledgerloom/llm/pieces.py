@@ -22,7 +22,7 @@ from ledgerloom.llm.common import sent, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN = 10.0  # how much worse than the worst piece a character spelt in bytes scores
-CACHE_UNITS, CACHE_CHARS = 300_000, 48  # stretches between forced boundaries that a task remembers, and their length
+CACHE_UNITS, CACHE_CHARS = 150_000, 48  # stretches between forced boundaries that a task remembers, and their length
 STEP = 64  # places after which the search looks for a common boundary
 
 

@@ -26,7 +26,7 @@ SAMPLE_PER_CLASS, SAMPLE_CHARS = 1500, 1 << 16
 STEPS, BATCH_DOCS, RATE, SEED = 360, 24, 0.01, 7
 #: Words and n-grams of fewer training documents keep the zero vector that unseen ones have.
 LEAST_DOCS = 3
-KEPT_WORDS = 100_000  # words whose vectors a task keeps for the texts to come
+KEPT_WORDS = 60_000  # words whose vectors a task keeps for the texts to come
 BATCH_WINDOWS = 1024
 
 Params = dict[str, np.ndarray]
