@@ -1,0 +1,48 @@
+import random
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import near_copies, simhash
+
+
+def jaccard(a, b):
+    a, b = ({tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def planted():
+    """Texts with copies in which scattered words are replaced, so that similarities run from 0.55 to 0.98."""
+    rng = random.Random(3)
+    said = lambda n: [f"{rng.choice(['ba', 'to', 'ri', 'nu'])}{rng.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for i in range(60):
+        words = said(rng.randint(150, 400))
+        texts.append(" ".join(words))
+        for _ in range(2):
+            other = list(words)
+            for at in rng.sample(range(len(words)), max(1, len(words) * rng.randint(2, 50) // 1000)):
+                other[at] = said(1)[0]
+            texts.append(" ".join(other))
+    return texts + [" ".join(said(n)) for n in (1, 2, 4, 5, 90)]
+
+
+@pytest.mark.parametrize("block", [1024, 2])
+def test_one_document_of_each_group_of_near_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    texts, n = planted(), 0
+    label = np.arange(len(texts))
+    for i in range(180):
+        for j in range(i - i % 3, i):
+            if jaccard(texts[i], texts[j]) >= 0.8:
+                n += 1
+                label = simhash.merged(label, np.array([i]), np.array([j]))
+    assert n > 60 and len(set(label)) > 90
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert sorted(r["doc_id"] for r in simhash.one_per_group(docs).collect()) == sorted(set(label.tolist()))
+
+
+def test_similarity_is_exact():
+    a = np.arange(9, dtype=np.uint64)
+    assert near_copies.similar(a, a[:8]) and not near_copies.similar(a, np.append(a[:7], np.uint64(99)))
+    assert near_copies.similar(a[:5], a[:4]) and not near_copies.similar(a[:4], a[:3])
