@@ -1,6 +1,6 @@
 """Quality rules from tokeniser fertility: how well public vocabularies take a text.
 
-Three figures of a text are held against bands that the corpus itself gives for each language: characters per token and
+Three figures of a text are held against bands that the corpus itself gives for each language and length: characters per token and
 the entropy of the tokens under a byte-level vocabulary, and the share of tokens that a vocabulary with byte fallback has
 to spell in bytes.  Figures that do not depend on a language, on repeats, symbols and length, are checked first.
 """
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -26,7 +27,10 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 SPACE, SYMBOLS = " \t\n\r\x0b\x0c", "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATS = 10, 20  # words, and per cent of words in repeated windows
 WINDOW = 5
-FENCE = 2.5  # interquartile ranges beyond the quartiles at which a text is rejected
+FENCE = 2.0  # interquartile ranges beyond the quartiles of its size class at which a text is rejected
+STEPS = (2, 1)  # size classes for each doubling of the tokens; the finest that has LEAST_IN_CLASS documents holds
+LEAST_IN_CLASS = 50
+LOOSE_FENCE = 2.5  # the same for texts whose size class has too few documents, against texts of all sizes
 LEAST_DOCS = 100  # documents of a language below which the band of all languages holds
 KEPT_WORDS = 150_000
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, chars_per_token double, fallback_share double, entropy double"
@@ -140,15 +144,23 @@ def _band(column: str) -> list[Column]:
 FIGURES = ("chars_per_token", "fallback_share", "entropy")
 #: Narrowest interquartile range that a band is taken to have.
 LEAST_RANGE = {"chars_per_token": 0.04, "fallback_share": 0.005, "entropy": 0.03}
+#: The same for a size class, in which texts scatter less.
+LEAST_RANGE_IN_CLASS = {"chars_per_token": 0.02, "fallback_share": 0.005, "entropy": 0.01}
+
+
+def _size(step: int) -> Column:
+    return F.floor(step * F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")
 
 
 def bands(figures: DataFrame) -> DataFrame:
-    """Quartiles of each figure by language over all documents that pass the base rules; ``lang_all`` marks the row for all."""
+    """Quartiles of each figure over all documents that pass the base rules: by language and size class for each of STEPS,
+    by language (step 0), and one row for all (step null)."""
     passed = figures.where(~base_failed())
-    made = [c for f in FIGURES for c in _band(f)]
-    by_lang = passed.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *made).withColumn("lang_all", F.lit(False))
-    whole = passed.agg(F.count(F.lit(1)).alias("docs"), *made).withColumn("lang", F.lit(None).cast("string")).withColumn("lang_all", F.lit(True))
-    return by_lang.where(F.col("docs") >= LEAST_DOCS).unionByName(whole)
+    made = [F.count(F.lit(1)).alias("docs"), *(c for f in FIGURES for c in _band(f))]
+    of_size = [passed.groupBy("lang", _size(k).alias("size")).agg(*made).where(F.col("docs") >= LEAST_IN_CLASS).withColumn("step", F.lit(k)) for k in STEPS]
+    by_lang = passed.groupBy("lang").agg(*made).where(F.col("docs") >= LEAST_DOCS).withColumns({"size": F.lit(0), "step": F.lit(0)})
+    nothing = {"lang": F.lit(None).cast("string"), "size": F.lit(None).cast("int"), "step": F.lit(None).cast("int")}
+    return reduce(DataFrame.unionByName, [*of_size, by_lang, passed.agg(*made).withColumns(nothing)])
 
 
 def base_failed() -> Column:
@@ -156,14 +168,21 @@ def base_failed() -> Column:
 
 
 def _inside() -> Column:
-    """Whether every figure lies within its band; shorter texts, whose figures scatter more, have wider bands."""
+    """Whether every figure lies within its band.
+
+    The band of a size class has the scatter of texts of that length in it.  One of all sizes is taken wider for shorter
+    texts, whose figures scatter more, and has no upper side for entropy, which falls with the length.
+    """
     slack = 1 + 16 / F.sqrt(F.greatest("n_tokens", F.lit(1)))
+    fence = F.when(F.col("sized"), F.lit(FENCE)).otherwise(LOOSE_FENCE * slack)
     sides = []
     for f in FIGURES:
-        reach = FENCE * slack * F.greatest(F.col(f"{f}_high") - F.col(f"{f}_low"), F.lit(LEAST_RANGE[f]))
-        sides.append(F.col(f) <= F.col(f"{f}_high") + reach if f == "fallback_share" else F.col(f) >= F.col(f"{f}_low") - reach)
-        if f == "chars_per_token":
-            sides.append(F.col(f) <= F.col(f"{f}_high") + reach)
+        least = F.when(F.col("sized"), F.lit(LEAST_RANGE_IN_CLASS[f])).otherwise(F.lit(LEAST_RANGE[f]))
+        reach = fence * F.greatest(F.col(f"{f}_high") - F.col(f"{f}_low"), least)
+        above = F.col(f) <= F.col(f"{f}_high") + reach
+        sides.append(above | ~F.col("sized") if f == "entropy" else above)
+        if f != "fallback_share":
+            sides.append(F.col(f) >= F.col(f"{f}_low") - reach)
     inside = sides[0]
     for side in sides[1:]:
         inside = inside & side
@@ -174,18 +193,25 @@ def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
     """One row per document: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept`` and the
     fertility figures.
 
-    Null and empty texts have zeros, null fertility and fail the base rules.  A null language, and one with fewer than
-    LEAST_DOCS passing documents, is held against the band of all.  Repeated rows count one by one.  An empty table gives
+    Null and empty texts have zeros, null fertility and fail the base rules.  A size class with fewer than LEAST_IN_CLASS
+    passing documents is held against the band of its language, a null language, and one with fewer than LEAST_DOCS passing
+    documents, against the band of all.  Repeated rows count one by one.  An empty table gives
     no rows.
     """
     figures = stage(measured(docs, doc_id, text, lang), label)
     limits = stage(bands(figures), f"{label}-bands")
-    own = limits.where(~F.col("lang_all") & F.col("lang").isNotNull()).drop("docs", "lang_all")
-    whole = limits.where("lang_all").first()
-    edges = [c for c in own.columns if c != "lang"]
+    whole = limits.where("step IS NULL").first()
+    edges = [c for c in limits.columns if c.endswith(("_low", "_high"))]
+    joined, found = figures, []
+    for step in (*STEPS, 0):
+        size, name = (_size(step) if step else F.lit(0)), f"_band{step}"
+        own = limits.where((F.col("step") == step) & F.col("lang").isNotNull()).select("lang", F.col("size").alias("_size"), F.struct(*edges).alias(name))
+        joined = joined.withColumn("_size", size).join(own, ["lang", "_size"], "left").drop("_size")
+        found.append(name)
     # One row of numbers for all languages together.
-    rest = {c: F.coalesce(F.col(f"_own.{c}"), F.lit(whole[c]).cast("double")) for c in edges}
-    joined = figures.join(own.select("lang", F.struct(*edges).alias("_own")), "lang", "left").withColumns(rest)
+    edge = {c: F.coalesce(*(F.col(f"{name}.{c}") for name in found), F.lit(whole[c]).cast("double")) for c in edges}
+    sized = F.coalesce(*(F.col(name) for name in found[:-1])).isNotNull()
+    joined = joined.withColumns(edge | {"sized": sized})
     verdict = ~base_failed() & _inside()
     names = [c.split()[0] for c in STATS.split(", ")]
     return joined.select("doc_id", *names[:5], base_failed().alias("base_failed"), verdict.alias("kept"), *names[5:])

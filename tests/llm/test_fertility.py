@@ -48,3 +48,14 @@ def test_fertility_figures():
 
 def test_empty_table(spark):
     assert fertility.judged(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_bands_follow_the_scatter_of_a_length(spark):
+    rng = random.Random(4)
+    said = lambda n: ["".join(rng.choice(["an", "er", "ti", "lo", "the", "ing"]) for _ in range(rng.randint(1, 4))) for _ in range(n)]
+    texts = [" ".join(said(rng.randint(100, 500))) for _ in range(400)]
+    cut = [" ".join(w + rng.choice([" |", "", ""]) for w in said(rng.randint(100, 300))) for _ in range(30)]
+    rows = [(i, t, "en", "", "") for i, t in enumerate(texts + cut)]
+    kept = {r["doc_id"]: r["kept"] for r in fertility.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert sum(kept[i] for i in range(400)) >= 385
+    assert sum(kept[i] for i in range(400, 430)) <= 5
