@@ -1,14 +1,17 @@
-"""Removal of long repeated byte strings by blockwise suffix sorting with a difference cover.
+"""Removal of long repeated byte strings by equal digests of suffix heads, thinned by a difference cover.
+
+Suffixes are not put in text order: only equality of WINDOW bytes is asked for, so digests are sorted in their place, and
+a cover sample's rank is "unique" or "tied".
 
 A byte goes if a ``WINDOW``-byte string that covers it also starts anywhere else in the corpus.  Strings never cross
 documents.  The work is bounded by blocks (runs of documents) and suffix buckets (ranges of leading hash bits):
 
 1. Of all suffixes only those at cover positions are ranked first: offsets whose remainder modulo ``PERIOD`` lies in a
    perfect difference set.  For any two offsets there is a shift below PERIOD that takes both to cover positions, so two
-   equal WINDOW-byte strings hold two equal cover samples of ``SAMPLE`` bytes at the same shift.  Each bucket of samples is
+   equal WINDOW-byte strings hold two equal cover samples of ``SAMPLE`` bytes at the same shift.  The digests of each bucket of samples are
    sorted alone; a sample's rank is settled as unique or as tied with a sample elsewhere.
 2. A suffix none of whose cover samples is tied is unique, and is never sorted.  The others, the long ties, are dealt to
-   suffix buckets by a hash of their WINDOW bytes, and each bucket is sorted alone.
+   suffix buckets by a hash of their WINDOW bytes, and the digests of each bucket are sorted alone.
 3. The answers, one bit for a suffix, go back to the block, which works out the spans to cut.
 
 Blocks send every distinct key once, however often it occurs in them, so a passage that a third of all documents share
