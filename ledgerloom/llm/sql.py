@@ -65,3 +65,61 @@ WITH d AS (
 SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), CAST(depth AS INTEGER), '0') END AS shard,
        CAST(depth AS INTEGER) AS depth, shard_bytes, shard_docs FROM f WHERE place = 1
 """
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+#: The checksum of a text of ASCII characters, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def _tree(of: str, first: str, heights: int, name: str) -> str:
+    """Nodes by height, as ``name``0 (g, idx, n, digest) and up, with the siblings of each node; complete runs of one are carried."""
+    parts = [f"{name}0 AS (SELECT {of}, CAST(row_number() OVER w - 1 AS BIGINT) AS idx, count(*) OVER (PARTITION BY g) AS n FROM {first} WINDOW w AS (PARTITION BY g ORDER BY o NULLS FIRST, digest))"]
+    for h in range(heights):
+        side = f"string_agg(digest, '') OVER (PARTITION BY g, idx // 8 ORDER BY idx ROWS BETWEEN {{}})"
+        parts.append(
+            f"{name}{h}s AS (SELECT g, idx, n, coalesce({side.format('UNBOUNDED PRECEDING AND 1 PRECEDING')}, '') AS before, "
+            f"coalesce({side.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')}, '') AS after FROM {name}{h})"
+        )
+        parts.append(
+            f"{name}{h + 1} AS (SELECT g, idx // 8 AS idx, (any_value(n) + 7) // 8 AS n, CASE WHEN any_value(n) > 1 "
+            f"THEN sha256(string_agg(digest, '' ORDER BY idx)) ELSE any_value(digest) END AS digest FROM {name}{h} GROUP BY g, idx // 8)"
+        )
+    return ",\n".join(parts)
+
+
+def merkle(heights: int = 7, top: int = 3) -> str:
+    """Trees, siblings and folded roots, height by height; enough for 8 ** heights documents of a language, 8 ** top languages."""
+    walk: list[str] = []
+    for name, levels in (("a", heights), ("b", top)):
+        for h in range(levels):
+            last, s = f"w{len(walk)}", f"{name}{h}s"
+            at = f"(rank >> {3 * h})" if name == "a" else f"(place >> {3 * h})"
+            key = "w.g" if name == "a" else "0"
+            walk.append(
+                f"w{len(walk) + 1} AS (SELECT w.* REPLACE (CASE WHEN s.n > 1 THEN sha256(s.before || w.fold || s.after) ELSE w.fold END AS fold, "
+                f"CASE WHEN s.n > 1 THEN w.proof || s.before || s.after ELSE w.proof END AS proof) FROM {last} w JOIN {s} s ON s.g = {key} AND s.idx = {at})"
+            )
+    crc = CRC32.format("CAST(doc_id AS VARCHAR)")
+    return f"""
+WITH d AS (
+  SELECT coalesce('=' || lang, '') AS g, doc_id AS o, doc_id, {_leaf("text")} AS digest,
+         CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+  FROM documents
+), {_tree("g, doc_id, tampered, digest", "d", heights, "a")},
+r AS (SELECT 0 AS g, g AS o, digest FROM a{heights}),
+{_tree("g, o, digest", "r", top, "b")},
+w0 AS (SELECT a0.g, a0.doc_id, a0.digest AS leaf, a0.idx AS rank, b0.idx AS place, b0.digest AS subroot, coalesce(a0.tampered, a0.digest) AS fold, '' AS proof
+  FROM a0 JOIN b0 ON a0.g = b0.o),
+{", ".join(walk)}
+SELECT doc_id, leaf, subroot, root.digest AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = root.digest AS verified
+FROM w{len(walk)}, b{top} AS root
+"""

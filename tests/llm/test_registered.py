@@ -18,7 +18,7 @@ def count(name):
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert names == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
