@@ -34,13 +34,11 @@ def usable(vectors: DataFrame, relabel: Column | None = None, vec_id: str = "vec
     not finite takes its row out as well.
     """
     x = F.col(f"`{embedding}`").cast("array<double>")
-    ints = F.transform(x, lambda c: F.floor(c * SCALE))
     scaled = F.transform(x, lambda c: c * SCALE)
     finite = F.forall(scaled, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False)))
     named = F.col(f"`{label}`").cast("long") if relabel is None else relabel.cast("long")
     rows = vectors.where(F.col(f"`{vec_id}`").isNotNull() & F.col(f"`{label}`").isNotNull() & x.isNotNull()).where(finite)
-    whole = F.transform(scaled, lambda c: c - F.pmod(c, F.lit(1.0)))  # floor as a double: no component is too large for it
-    del ints
+    whole = F.transform(scaled, lambda c: F.when(F.abs(c) < EXACT, F.floor(c).cast("double")).otherwise(c))  # large doubles are whole
     row = F.struct(named.alias("label"), whole.alias("v"))
     return rows.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), row.alias("row")).groupBy("vec_id").agg(F.min("row").alias("row")).select("vec_id", "row.*")
 
@@ -57,10 +55,11 @@ def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
     Products that doubles may not hold exactly are worked out with integers of any size, only for the rows that need it.
     """
-    out = np.clip(np.nan_to_num(a @ b.T, nan=0.0), -(2.0**62), 2.0**62).astype(np.int64)
     wide = max(1, a.shape[1])
     most_a, most_b = np.abs(a).max(1, initial=0), np.abs(b).max(1, initial=0)
-    odd = [(i, most_b * most_a[i] * wide >= EXACT) for i in np.flatnonzero(most_a * most_b.max(initial=0) * wide >= EXACT)]
+    with np.errstate(all="ignore"):
+        out = np.clip(np.nan_to_num(a @ b.T, nan=0.0), -(2.0**62), 2.0**62).astype(np.int64)
+        odd = [(i, most_b * most_a[i] * wide >= EXACT) for i in np.flatnonzero(most_a * most_b.max(initial=0) * wide >= EXACT)]
     for i, which in odd:
         own = [int(x) for x in a[i]]
         for j in np.flatnonzero(which):
@@ -77,6 +76,9 @@ def first(which: np.ndarray, score: np.ndarray, vec_id: np.ndarray, k: int) -> n
     return order[place < k]
 
 
+LEAST = np.iinfo(np.int64).min
+
+
 def _best(table: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and column of the entries no lower than the row's k-th best; LEAST marks what does not count."""
     if table.shape[1] > k:
@@ -85,9 +87,6 @@ def _best(table: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(table > LEAST)
 
 
-LEAST = np.iinfo(np.int64).min
-
-
 class Held:
     """The k first of each group of one block of anchors, over the blocks of rows that a task has read so far."""
 
@@ -101,7 +100,8 @@ class Held:
             self.combined()
 
     def combined(self) -> tuple[np.ndarray, ...]:
-        which, score, vec_id = (np.concatenate([np.empty(0, np.int64), *x]) for x in zip(*self.parts)) if self.parts else [np.empty(0, np.int64)] * 3
+        none = np.empty(0, np.int64)
+        which, score, vec_id = (np.concatenate([none, *(p[i] for p in self.parts)]) for i in range(3))
         own = first(which, score, vec_id, self.k)
         self.parts, self.n = [(which[own], score[own], vec_id[own])], 0
         return self.parts[0]
@@ -182,18 +182,10 @@ def _scan(rows: DataFrame, anchors: DataFrame, n: tuple[int, int, int], k: int,
 
 
 def _share(score: Column, of: int, up: bool) -> Column:
-    """``of`` hundredths of a score, rounded up or down; parts are taken first, so that no product is too large."""
-    whole = F.floor(score / WHOLE) if False else F.expr("0")
-    del whole
+    """``of`` hundredths of a score, rounded up or down, worked out in parts as a long may not hold the product."""
     rest = F.pmod(score, F.lit(WHOLE))
-    parts = (score - rest) / WHOLE
-    del parts
-    return _hundredths(score, rest, of, up)
-
-
-def _hundredths(score: Column, rest: Column, of: int, up: bool) -> Column:
-    low = F.call_function("div", score - rest, F.lit(WHOLE).cast("long")) * of
-    return low + F.call_function("div", rest * of + (WHOLE - 1 if up else 0), F.lit(WHOLE).cast("long"))
+    over = rest * of + (WHOLE - 1 if up else 0)
+    return F.call_function("div", score - rest, F.lit(WHOLE)) * of + F.call_function("div", over, F.lit(WHOLE))
 
 
 def positives(rows: DataFrame, anchors: DataFrame, n: tuple[int, int, int], most: int) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import fertility, html_crf, kneser_ney, merkle, mixing, pieces, sharding, simhash, sql, suffixes, toxicity, vafile
+from ledgerloom.llm import fertility, html_crf, kneser_ney, merkle, mixing, negatives, pieces, sharding, simhash, sql, suffixes, toxicity, vafile
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.cut_repeats(docs).select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ def queries() -> dict[str, Query]:
         "op8_html_crf": op8,
         "op9_sentencepiece": op9,
         "op10_suffix_dedup": op10,
+        "op11_hard_negatives": op11,
         "op12_merkle": op12,
     }
 
@@ -78,5 +83,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_mixing": sql.MIX,
         "op2_va_file": sql.TOP_K,
         "op3_extendible_hashing": sql.shards(sharding.SHARD_BYTES),
+        "op11_hard_negatives": sql.NEGATIVES,
         "op12_merkle": sql.merkle(),
     }

