@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import fertility, html_crf, kneser_ney, merkle, mixing, negatives, pieces, sharding, simhash, sql, suffixes, toxicity, vafile
+from ledgerloom.llm import fertility, html_crf, kneser_ney, langid, merkle, mixing, negatives, pieces, sharding, simhash, sql, suffixes, toxicity, vafile
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1,
@@ -75,6 +79,7 @@ def queries() -> dict[str, Query]:
         "op10_suffix_dedup": op10,
         "op11_hard_negatives": op11,
         "op12_merkle": op12,
+        "op13_language": op13,
     }
 
 

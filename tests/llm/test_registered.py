@@ -40,6 +40,7 @@ CONTRACT = {
     "op7_simhash": ("documents", ["doc_id", "fingerprint", "component_id"]),
     "op8_html_crf": ("pages", ["page_id", "url", "text", "n_chars"]),
     "op9_sentencepiece": ("documents", ["doc_id", "n_ids", "ids", "same"]),
+    "op13_language": ("documents", ["doc_id", "held_out", "lang_pred", "score"]),
     "op10_suffix_dedup": ("documents", ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]),
 }
 
