@@ -117,7 +117,7 @@ class Model:
             for own, rows in self.rows(texts):
                 near = rows @ self.centroids.T
                 which[own] = near.argmax(1)
-                cosine[own] = np.clip(near.max(1), 0, 1)
+                cosine[own] = np.clip(near.max(1), 0, 1).round(6)  # beyond that, sums depend on which texts are read together
         return which, cosine
 
     def predict(self, texts: list[str | None]) -> list[str]:
@@ -164,7 +164,7 @@ def _starts(learn: DataFrame, languages: list, idf: np.ndarray) -> list[tuple[st
         rows = [v for _, v in model().rows(texts)]
         found = clustered(np.concatenate(rows)) if rows else np.zeros((0, BUCKETS), np.float32)
         name = own.column("lang")[0].as_py()
-        return pa.table({"lang": [name] * len(found), "data": pa.array([c.astype(np.float32).tobytes() for c in found], pa.binary())})
+        return pa.table({"lang": pa.array([name] * len(found), pa.string()), "data": pa.array([c.astype(np.float32).tobytes() for c in found], pa.binary())})
 
     return [(r["lang"], np.frombuffer(r["data"], np.float32)) for r in sample.groupBy("lang").applyInArrow(cluster, "lang string, data binary").collect()]
 
@@ -260,6 +260,7 @@ def identified(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id:
     lowest = mid - ROOM * (mid - low)
     classes = known.groupBy("lang", "octave").agg(lowest.alias("near")).select(F.col("lang").alias("lang_pred"), "octave", "near")
     overall = known.groupBy("lang").agg(lowest.alias("near_any")).select(F.col("lang").alias("lang_pred"), "near_any")
-    judged = out.join(classes, ["lang_pred", "octave"], "left").join(overall, "lang_pred", "left")
+    # At most LANGUAGES languages times 32 lengths, so these may go to all tasks, and no language gathers in one of them.
+    judged = out.join(F.broadcast(classes), ["lang_pred", "octave"], "left").join(F.broadcast(overall), "lang_pred", "left")
     far = F.col("score") < F.coalesce("near", "near_any")
     return judged.select("doc_id", "held_out", "lang_pred", "score", F.coalesce(far, F.lit(True)).alias("rejected"))
