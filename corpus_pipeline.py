@@ -22,7 +22,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated passages; a document that loses all its text stays as an empty one.
+    """Texts without passages of about fifty words (200 bytes) that repeat; a document that loses all its text stays as an empty one.
 
     A cut may fall inside a character; what is left of that character is dropped.
     """

@@ -1,17 +1,17 @@
 """Removal of long repeated byte strings by equal digests of suffix heads, thinned by a difference cover.
 
-Suffixes are not put in text order: only equality of WINDOW bytes is asked for, so digests are sorted in their place, and
+Suffixes are not put in text order: only equality of a window's bytes is asked for, so digests are sorted in their place, and
 a cover sample's rank is "unique" or "tied".
 
-A byte goes if a ``WINDOW``-byte string that covers it also starts anywhere else in the corpus.  Strings never cross
+A byte goes if a string of so many bytes as the window has that covers it also starts anywhere else in the corpus.  Strings never cross
 documents.  The work is bounded by blocks (runs of documents) and suffix buckets (ranges of leading hash bits):
 
-1. Of all suffixes only those at cover positions are ranked first: offsets whose remainder modulo ``PERIOD`` lies in a
-   perfect difference set.  For any two offsets there is a shift below PERIOD that takes both to cover positions, so two
-   equal WINDOW-byte strings hold two equal cover samples of ``SAMPLE`` bytes at the same shift.  The digests of each bucket of samples are
+1. Of all suffixes only those at cover positions are ranked first: offsets whose remainder modulo the period lies in a
+   perfect difference set.  For any two offsets there is a shift below the period that takes both to cover positions, so two
+   equal strings of a window hold two equal cover samples of ``sample`` bytes at the same shift.  The digests of each bucket of samples are
    sorted alone; a sample's rank is settled as unique or as tied with a sample elsewhere.
 2. A suffix none of whose cover samples is tied is unique, and is never sorted.  The others, the long ties, are dealt to
-   suffix buckets by a hash of their WINDOW bytes, and the digests of each bucket are sorted alone.
+   suffix buckets by a hash of the window's bytes, and the digests of each bucket are sorted alone.
 3. The answers, one bit for a suffix, go back to the block, which works out the spans to cut.
 
 Blocks send every distinct key once, however often it occurs in them, so a passage that a third of all documents share
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -32,10 +33,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ledgerloom.llm.common import carried, packed, unpacked
 from ledgerloom.session import stage
 
-WINDOW = 400
-ORDER = 17  # prime; the cover has ORDER + 1 remainders modulo ORDER ** 2 + ORDER + 1
-PERIOD = ORDER * ORDER + ORDER + 1
-SAMPLE = WINDOW - PERIOD + 1
 BLOCK_BYTES = 4 << 20  # text of one block; a longer document is a block of its own and is read in slices
 BUCKET_BYTES = 16 << 20  # keys of one suffix bucket
 SAMPLE_KEY = 6  # bytes of a sample's key beyond its bucket's bits; equal keys of different samples only cost a sort
@@ -45,7 +42,28 @@ NULL_TEXT = "_suffixes_null_text"
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-def difference_cover(order: int = ORDER) -> np.ndarray:
+@dataclass(frozen=True)
+class Window:
+    """Bytes of the strings that count as repeats, and the cover that fits them: order + 1 remainders modulo the period."""
+
+    size: int = 400
+    order: int = 17  # a prime
+
+    @property
+    def period(self) -> int:
+        return self.order * self.order + self.order + 1
+
+    @property
+    def sample(self) -> int:
+        return self.size - self.period + 1
+
+
+LONG = Window()
+#: Fifty words of an alphabetic script take more than this; samples of 68 bytes.
+PASSAGE = Window(200, 11)
+
+
+def difference_cover(order: int) -> np.ndarray:
     """Singer's perfect difference set: every non-zero remainder is a difference of two members, in just one way.
 
     Powers of a generator x of the field with order ** 3 elements that have no x ** 2 term lie on a line of the
@@ -66,12 +84,12 @@ def difference_cover(order: int = ORDER) -> np.ndarray:
 class Digests:
     """Digests of all substrings of one length, from running sums of byte values times powers of an odd number."""
 
-    def __init__(self, which: int):
+    def __init__(self, which: int, window: int):
         base = np.uint64(ODD[which])
-        powers = np.full(SLICE + WINDOW + 1, base, np.uint64)
+        powers = np.full(SLICE + window + 1, base, np.uint64)
         powers[0] = 1
         self.powers = np.cumprod(powers)
-        inverse = np.full(SLICE + WINDOW + 1, pow(int(base), -1, 1 << 64), np.uint64)
+        inverse = np.full(SLICE + window + 1, pow(int(base), -1, 1 << 64), np.uint64)
         inverse[0] = 1
         self.inverse = np.cumprod(inverse)
         self.values = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(ODD[1 - which]))
@@ -94,36 +112,36 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 _MADE: dict = {}  # tables that a worker builds once; functools.cache would tie them to this module's place on disk
 
 
-def _digests(which: int) -> Digests:
-    if which not in _MADE:
-        _MADE[which] = Digests(which)
-    return _MADE[which]
+def _digests(which: int, w: Window) -> Digests:
+    if (which, w) not in _MADE:
+        _MADE[which, w] = Digests(which, w.size)
+    return _MADE[which, w]
 
 
-def _in_cover() -> np.ndarray:
-    if "cover" not in _MADE:
-        marks = np.zeros(PERIOD, bool)
-        marks[difference_cover()] = True
-        _MADE["cover"] = np.tile(marks, SLICE // PERIOD + 4)
-    return _MADE["cover"]
+def _in_cover(w: Window) -> np.ndarray:
+    if ("cover", w) not in _MADE:
+        marks = np.zeros(w.period, bool)
+        marks[difference_cover(w.order)] = True
+        _MADE["cover", w] = np.tile(marks, SLICE // w.period + w.size // w.period + 3)
+    return _MADE["cover", w]
 
 
-def _slices(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Offset and bytes of overlapping slices; every WINDOW-byte string lies in one."""
-    for at in range(0, max(1, len(data) - WINDOW + 1), SLICE):
-        yield at, data[at : at + SLICE + WINDOW - 1]
+def _slices(data: np.ndarray, w: Window) -> Iterator[tuple[int, np.ndarray]]:
+    """Offset and bytes of overlapping slices; every string of a window lies in one."""
+    for at in range(0, max(1, len(data) - w.size + 1), SLICE):
+        yield at, data[at : at + SLICE + w.size - 1]
 
 
-def _samples(at: int, part: np.ndarray, last: bool, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _samples(w: Window, at: int, part: np.ndarray, last: bool, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Places in a slice that start a cover sample, and the samples' keys: leading ``bits`` and SAMPLE_KEY bytes of a digest.
 
     All but the last slice leave the samples of the overlap to the next one.
     """
-    most = len(part) - SAMPLE + 1 if last else SLICE
-    starts = np.flatnonzero(_in_cover()[at % PERIOD : at % PERIOD + most])
-    first = _digests(0)
+    most = len(part) - w.sample + 1 if last else SLICE
+    starts = np.flatnonzero(_in_cover(w)[at % w.period : at % w.period + most])
+    first = _digests(0, w)
     spare = np.uint64(max(0, 64 - 8 * SAMPLE_KEY - bits))
-    return starts, (first.at(first.sums(part), starts, SAMPLE) >> spare) << spare
+    return starts, (first.at(first.sums(part), starts, w.sample) >> spare) << spare
 
 
 def _documents(block: pa.Table) -> list[np.ndarray]:
@@ -163,13 +181,13 @@ def _top(x: np.ndarray, bits: int) -> np.ndarray:
     return (x >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(x), np.int64)
 
 
-def _sample_keys(block: pa.Table, bits: int) -> pa.Table:
+def _sample_keys(w: Window, block: pa.Table, bits: int) -> pa.Table:
     number = block.column("block")[0].as_py()
     held = []
     for data in _documents(block):
-        if len(data) >= WINDOW:
-            for at, part in _slices(data):
-                held.append(_samples(at, part, at + len(part) == len(data), bits)[1])
+        if len(data) >= w.size:
+            for at, part in _slices(data, w):
+                held.append(_samples(w, at, part, at + len(part) == len(data), bits)[1])
     keys, again = _once(np.concatenate(held)) if held else (np.empty(0, np.uint64), np.empty(0, bool))
     return _dealt(keys, _top(keys, bits), again, number, bits)
 
@@ -203,32 +221,32 @@ def _tied_windows(bucket: pa.Table) -> pa.Table:
 ANSWER = "block long, bucket long, told binary"
 
 
-def _long_ties(data: np.ndarray, tied: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Offsets of the suffixes of one document that hold a tied sample, with both digests of their WINDOW bytes."""
-    if len(data) < WINDOW or not len(tied):
+def _long_ties(w: Window, data: np.ndarray, tied: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Offsets of the suffixes of one document that hold a tied sample, with both digests of their window."""
+    if len(data) < w.size or not len(tied):
         return
-    for at, part in _slices(data):
+    for at, part in _slices(data, w):
         # The next slice's samples count as well for windows that reach into it.
-        starts, keys = _samples(at, part, True, bits)
+        starts, keys = _samples(w, at, part, True, bits)
         found = tied[np.minimum(np.searchsorted(tied, keys), len(tied) - 1)] == keys
         if not found.any():
             continue
-        marks = np.zeros(len(part) + PERIOD + 1, np.int32)
+        marks = np.zeros(len(part) + w.period + 1, np.int32)
         marks[starts[found] + 1] = 1
         seen = np.cumsum(marks)
-        last = len(part) - WINDOW + 1
-        where = np.flatnonzero(seen[PERIOD : PERIOD + last] > seen[:last])
-        one, two = _digests(0), _digests(1)
-        yield at + where, one.at(one.sums(part), where, WINDOW), two.at(two.sums(part), where, WINDOW)
+        last = len(part) - w.size + 1
+        where = np.flatnonzero(seen[w.period : w.period + last] > seen[:last])
+        one, two = _digests(0, w), _digests(1, w)
+        yield at + where, one.at(one.sums(part), where, w.size), two.at(two.sums(part), where, w.size)
 
 
-def _window_keys(block: pa.Table, answers: pa.Table, sample_bits: int) -> tuple[list, np.ndarray, np.ndarray]:
+def _window_keys(w: Window, block: pa.Table, answers: pa.Table, sample_bits: int) -> tuple[list, np.ndarray, np.ndarray]:
     """For a block: (document, offsets) of its long ties in turn, and both digests of them all."""
     told = [x for x, b in zip(answers.column("told").to_pylist(), answers.column("bucket").to_pylist()) if b < 0]
     tied = np.unique(np.concatenate([np.empty(0, np.uint64), *map(_unpacked, told)]))
     places, ones, twos = [], [], []
     for i, data in enumerate(_documents(block)):
-        for where, one, two in _long_ties(data, tied, sample_bits):
+        for where, one, two in _long_ties(w, data, tied, sample_bits):
             places.append((i, where))
             ones.append(one)
             twos.append(two)
@@ -244,10 +262,10 @@ def _sorted(one: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order, np.cumsum(new) - 1
 
 
-def _suffix_keys(block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.Table:
+def _suffix_keys(w: Window, block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.Table:
     if not block.num_rows:
         return _dealt(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool), 0, bits)
-    _, one, two = _window_keys(block, answers, sample_bits)
+    _, one, two = _window_keys(w, block, answers, sample_bits)
     bucket = _top(two, bits)
     order, group = _sorted(one, bucket)
     sizes = np.bincount(group)
@@ -255,14 +273,14 @@ def _suffix_keys(block: pa.Table, answers: pa.Table, sample_bits: int, bits: int
     return _dealt(one[first], bucket[first], sizes > 1, block.column("block")[0].as_py(), bits)
 
 
-def _spans(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs covered by WINDOW-byte strings at rising ``starts``."""
-    new = np.flatnonzero(np.append(True, starts[1:] > starts[:-1] + WINDOW))
-    return starts[new], starts[np.append(new[1:] - 1, len(starts) - 1)] + WINDOW
+def _spans(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs covered by strings of ``size`` bytes at rising ``starts``."""
+    new = np.flatnonzero(np.append(True, starts[1:] > starts[:-1] + size))
+    return starts[new], starts[np.append(new[1:] - 1, len(starts) - 1)] + size
 
 
-def _cut(block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.Table:
-    places, one, two = _window_keys(block, answers, sample_bits)
+def _cut(w: Window, block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.Table:
+    places, one, two = _window_keys(w, block, answers, sample_bits)
     bucket = _top(two, bits)
     order, group = _sorted(one, bucket)
     told = {b: t for b, t in zip(answers.column("bucket").to_pylist(), answers.column("told").to_pylist()) if b >= 0}
@@ -283,7 +301,7 @@ def _cut(block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.
         if not len(own):
             out.append((len(data), 0, 0, hashlib.sha256(data).hexdigest(), data.tobytes()))
             continue
-        begin, end = _spans(own)
+        begin, end = _spans(own, w.size)
         kept = b"".join(data[a:b].tobytes() for a, b in zip([0, *end], [*begin, len(data)]))
         out.append((len(data), int((end - begin).sum()), len(begin), hashlib.sha256(kept).hexdigest(), kept))
     names = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
@@ -300,10 +318,10 @@ def _power(n: float) -> int:
     return max(0, int(np.ceil(np.log2(max(n, 1)))))
 
 
-def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
+def cut_repeats(docs: DataFrame, text: str = "text", window: Window = LONG) -> DataFrame:
     """One row per document: ``doc`` (a struct of its other columns), ``n_bytes, n_removed, n_spans, kept_sha256, kept``.
 
-    ``kept`` is the binary remainder.  Null and empty texts have no bytes, texts below WINDOW bytes stay whole.  Repeated
+    ``kept`` is the binary remainder.  Null and empty texts have no bytes, texts shorter than the window stay whole.  Repeated
     rows are documents of their own and so repeats of one another.  Columns of any name may come along.  ``docs`` should be
     a stored table: it is scanned once for its size, and once for the blocks that all later steps share.
     """
@@ -321,18 +339,18 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
         .join(heavy, "digest", "left")
         .select("doc", "data", F.pmod(F.xxhash64(own), F.lit(blocks)).alias("block"))
     )
-    sample_bits = _power(8 * total * (ORDER + 1) / PERIOD / BUCKET_BYTES)
+    sample_bits = _power(8 * total * (window.order + 1) / window.period / BUCKET_BYTES)
     # Windows fill a bucket to a tenth if a tenth of all text is repeated, and four times over if all of it is.
     window_bits = _power(8 * total / (4 * BUCKET_BYTES))
 
     def samples(block: pa.Table) -> pa.Table:
-        return _sample_keys(block, sample_bits)
+        return _sample_keys(window, block, sample_bits)
 
     def suffixes(block: pa.Table, answers: pa.Table) -> pa.Table:
-        return _suffix_keys(block, answers, sample_bits, window_bits)
+        return _suffix_keys(window, block, answers, sample_bits, window_bits)
 
     def cut(block: pa.Table, answers: pa.Table) -> pa.Table:
-        return _cut(block, answers, sample_bits, window_bits)
+        return _cut(window, block, answers, sample_bits, window_bits)
 
     by_block = packed(dealt).groupBy("block")
     ranks = by_block.applyInArrow(samples, KEYS).groupBy("bucket").applyInArrow(_tied_samples, ANSWER)
@@ -342,7 +360,7 @@ def cut_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(cut, schema)
 
 
-def shortened(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
+def shortened(docs: DataFrame, text: str = "text", length: str = "n_chars", window: Window = PASSAGE) -> DataFrame:
     """The documents, columns in order, with the remaining text and, if there is such a column, its length in characters.
 
     A null text stays null, with the length it had.  A cut that falls inside a character drops what is left of that character.
@@ -352,7 +370,7 @@ def shortened(docs: DataFrame, text: str = "text", length: str = "n_chars") -> D
         return kept.map(lambda b: b.decode("utf-8", "ignore"))
 
     marked = docs.withColumn(NULL_TEXT, F.col(f"`{text}`").isNull())
-    rows = cut_repeats(marked, text).withColumn("kept", F.when(~F.col("doc").getField(NULL_TEXT), decoded("kept")))
+    rows = cut_repeats(marked, text, window).withColumn("kept", F.when(~F.col("doc").getField(NULL_TEXT), decoded("kept")))
     kinds = dict(docs.dtypes)
     columns = []
     for c in docs.columns:

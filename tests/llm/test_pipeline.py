@@ -22,6 +22,10 @@ def folder(spark, tmp_path_factory):
     passage = said(rng, 120)
     for i in range(500, 506):
         texts[i] = said(rng, 60) + " " + passage + " " + said(rng, 60)
+    for n in range(51, 61):  # words of a passage that three documents share
+        passage = said(rng, n)
+        for i in range(800 + 3 * (n - 51), 803 + 3 * (n - 51)):
+            texts[i] = said(rng, 90) + " " + passage + " " + said(rng, 90)
     for i in range(600, 640):
         texts[i] = texts[1]
     texts |= {700: None, 701: "", 702: "  "}
@@ -56,9 +60,12 @@ def test_each_stage_on_what_the_one_before_kept(spark, folder):
     assert all(any((fps[i] ^ fps[j]).bit_count() <= 3 for j in fps if j != i) for i in set(fps) - left)
 
     before, after = kept["suffix_dedup"]
-    want = dict(zip((r["doc_id"] for r in before), brute([(r["text"] or "").encode() for r in before])))
+    want = dict(zip((r["doc_id"] for r in before), brute([(r["text"] or "").encode() for r in before], 200)))
     assert all(len((r["text"] or "").encode()) == want[r["doc_id"]][0] - want[r["doc_id"]][1] for r in after)
     assert sum(want[i][1] > 500 for i in range(500, 506) if i in want) >= 5
+    assert sum(want[i][1] >= 200 for i in range(800, 830) if i in want) >= 27
+    clean = [i for i in want if i < 420]
+    assert sum(want[i][1] == 0 for i in clean) >= 0.98 * len(clean)
     assert all(r["n_chars"] == len(r["text"] or "") for r in after)
 
     before, after = kept["mixing"]

@@ -9,21 +9,21 @@ from ledgerloom.llm import suffixes
 SCHEMA = "doc_id long, text string, block string, data string, n_chars int"
 
 
-def brute(texts):
-    """Removed spans of each text, by comparing all 400-byte strings."""
+def brute(texts, size=400):
+    """Removed spans of each text, by comparing all strings of ``size`` bytes."""
     seen, out = {}, []
     for t in texts:
-        for i in range(len(t) - suffixes.WINDOW + 1):
-            key = t[i : i + suffixes.WINDOW]
+        for i in range(len(t) - size + 1):
+            key = t[i : i + size]
             seen[key] = seen.get(key, 0) + 1
     for t in texts:
         spans = []
-        for i in range(len(t) - suffixes.WINDOW + 1):
-            if seen[t[i : i + suffixes.WINDOW]] > 1:
+        for i in range(len(t) - size + 1):
+            if seen[t[i : i + size]] > 1:
                 if spans and i <= spans[-1][1]:
-                    spans[-1][1] = i + suffixes.WINDOW
+                    spans[-1][1] = i + size
                 else:
-                    spans.append([i, i + suffixes.WINDOW])
+                    spans.append([i, i + size])
         kept, at = b"", 0
         for a, b in spans:
             kept, at = kept + t[at:a], b
@@ -32,10 +32,10 @@ def brute(texts):
     return out
 
 
-def check(spark, texts):
+def check(spark, texts, window=suffixes.LONG):
     docs = spark.createDataFrame([(i, t, "a", None, 3) for i, t in enumerate(texts)], SCHEMA).repartition(3)
-    got = {r[0]: tuple(r)[1:] for r in suffixes.cut_repeats(docs).select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()}
-    assert [got[i] for i in range(len(texts))] == brute([(t or "").encode() for t in texts])
+    got = {r[0]: tuple(r)[1:] for r in suffixes.cut_repeats(docs, window=window).select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()}
+    assert [got[i] for i in range(len(texts))] == brute([(t or "").encode() for t in texts], window.size)
 
 
 @pytest.mark.parametrize("order", [2, 3, 5, 7, 17])
@@ -63,6 +63,16 @@ def test_like_brute_force(spark, monkeypatch, piece, block, bucket):
     check(spark, texts)
 
 
+@pytest.mark.parametrize("window", [suffixes.PASSAGE, suffixes.Window(30, 3), suffixes.Window(7, 2)])
+def test_other_windows(spark, monkeypatch, window):
+    for name, value in (("SLICE", 300), ("BLOCK_BYTES", 2000), ("BUCKET_BYTES", 3000), ("HEAVY_BYTES", 500)):
+        monkeypatch.setattr(suffixes, name, value)
+    rng = random.Random(window.size)
+    said = lambda n: "".join(rng.choice("abcdefgé \n") for _ in range(n))
+    shared = [said(n) for n in (window.size - 1, window.size, window.size + 1, 3 * window.size)]
+    check(spark, [None, "", "é" * 400] + [said(rng.randint(0, 300)) + rng.choice(shared) + said(rng.randint(0, 300)) for _ in range(40)], window)
+
+
 def test_exactly_one_window(spark):
     check(spark, ["a" * 399, "b" * 400, "c" * 401, "d" * 399 + "e", "d" * 399 + "e"])
 
