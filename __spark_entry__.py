@@ -20,6 +20,7 @@ from ledgerloom.functions.ids import global_rank, hash_id  # noqa: E402
 from ledgerloom.functions.secrets import ECB, decrypt  # noqa: E402
 from ledgerloom.operators import audit, legacy, loaders, mining, onboarding, profile, quality, sinks  # noqa: E402
 from ledgerloom.plans import reports  # noqa: E402
+from ledgerloom.plans.pipeline import Ledger  # noqa: E402
 from ledgerloom.schemas import REPORTING, TABLES, TRANSACTIONS  # noqa: E402
 from ledgerloom.session import staging_root  # noqa: E402
 from ledgerloom.sources import landing  # noqa: E402
@@ -34,6 +35,7 @@ BANK_NAMES = {
 }
 POSTED_VARIANTS = ("AXIS", "WELLSFARGO", "CITI")
 LATER = datetime(2025, 2, 1)
+LATE_FROM = datetime(1998, 6, 20)
 
 
 def _dims(fx: Fixtures) -> loaders.Dimensions:
@@ -42,8 +44,8 @@ def _dims(fx: Fixtures) -> loaders.Dimensions:
 
 
 def _load(spark, sf, bank, **options) -> loaders.LoadResult:
-    fx = Fixtures(spark, sf)
     """A load against the whole stored fact table, some of whose ids the statement holds again."""
+    fx = Fixtures(spark, sf)
     return loaders.load_statement(
         bank, fx.landing(bank), _dims(fx), fx.table("TRANSACTIONS"), USER, BANK_NAMES[bank], LAST_4, AS_OF, **options
     )
@@ -159,16 +161,30 @@ def _stored_tables(spark, sf) -> dict[str, DataFrame]:
     return {n: df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[n].schema]) for n, df in rows.items()}
 
 
-def _warehouse(spark, sf, *names: str) -> sinks.Warehouse:
-    """A database of its own in the shared folder that holds the tables named, or all."""
+def _warehouse(spark, sf, *names: str, **given: DataFrame) -> sinks.Warehouse:
+    """A database of its own in the shared folder that holds the tables named, or all; some with the rows given."""
     store = sinks.Warehouse(spark, f"ledger_{uuid4().hex}")
     store.create(*names, location=f"{staging_root(spark)}/{store.database}")
-    tables = _stored_tables(spark, sf)
+    tables = _stored_tables(spark, sf) | given
     for name in names or TABLES:
         store.append(name, tables[name])
     return store
 
 
+def _refresh_changed(spark, sf) -> DataFrame:
+    """The reporting table after a late statement of one bank: only the months that it fell in are refreshed."""
+    tables = _stored_tables(spark, sf)
+    late = (F.col("BANK_ID") == BANK_NUMBER["APPLE"]) & (F.col("TRANSACTION_DATE") >= F.lit(LATE_FROM).cast("timestamp_ntz"))
+    run = audit.log_row(tables["ETL_LOG"], "refresh_apple", BANK_NUMBER["APPLE"], datetime(2025, 1, 15))
+    log = audit.log_frame(spark, [audit.finished(run, datetime(2025, 1, 15, 1))])
+    names = ("TRANSACTIONS", "TRANSACTION_REPORTING", "MCC_CATEGORY", "MCC_SUB_CATEGORY", "BANKS", "ETL_LOG")
+    before = {n: tables[n].where(~late) for n in names[:2]}
+    store = _warehouse(spark, sf, *names, **before, ETL_LOG=log)
+    store.append("TRANSACTIONS", tables["TRANSACTIONS"].where(late).withColumn("ADDED_DATETIME", X.moment(datetime(2025, 1, 20))))
+    Ledger(store, clock=lambda: LATER).refresh(["APPLE"], changed_only=True)
+    return store.read("TRANSACTION_REPORTING")
+
+
 def _truncate(spark, sf) -> DataFrame:
     """Rows of a stored fact table before and after it is emptied."""
     store = _warehouse(spark, sf, "TRANSACTIONS")
@@ -276,6 +292,7 @@ def queries() -> dict[str, Query]:
         "counterparty_spend": _over(reports.counterparty_spend, r, name="Amazon"),
         "month_spend_by_bank": _over(reports.month_spend_by_bank, r, "BANKS", first_day=date(1998, 3, 1)),
         "refresh_all": lambda spark, sf: Fixtures(spark, sf).reporting(),
+        "refresh_changed": _refresh_changed,
         "insert_ignore": _insert_ignore,
         "replace_into": _replace,
         "insert_missing": _insert_missing,
@@ -354,6 +371,7 @@ def oracle_sql() -> dict[str, str]:
         "counterparty_spend": told.counterparty(),
         "month_spend_by_bank": told.month_by_bank(),
         "refresh_all": mined.reporting_sql(),
+        "refresh_changed": told.refreshed_late(LATE_FROM, BANK_NUMBER["APPLE"]),
         "insert_ignore": told.ignored(),
         "replace_into": told.replaced(),
         "insert_missing": told.INSERT_MISSING,

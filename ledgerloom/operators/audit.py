@@ -35,3 +35,19 @@ def latest(log: DataFrame) -> DataFrame:
     rest = F.struct(*[c for c in ETL_LOG.columns if c != "LOG_ID"])
     picked = log.groupBy("LOG_ID").agg(F.max_by(rest, order).alias("row"))
     return picked.select("LOG_ID", "row.*").select(*ETL_LOG.columns)
+
+
+def unseen_since(log: DataFrame, proc: str, bank_id: int | None) -> datetime | None:
+    """From when on the last good run of a job may have missed what others added; None if it never ended well.
+
+    That is its own start, or the start of a load of the same bank that was still under way then: its rows bear an earlier
+    time than the one at which they came to be seen.
+    """
+    runs = latest(log).where(F.col("BANK_ID") == bank_id)
+    good = runs.where((F.col("PROC_NAME") == proc) & (F.col("STATUS") == "SUCCESS"))
+    seen = good.agg(F.max("START_TIME")).first()[0]
+    if seen is None:
+        return None
+    end = F.coalesce("END_TIME", F.lit(seen).cast("timestamp_ntz"))
+    open_then = runs.where(F.col("PROC_NAME").startswith("load_") & (end >= F.lit(seen).cast("timestamp_ntz")))
+    return min(seen, open_then.agg(F.min("START_TIME")).first()[0] or seen)

@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ledgerloom.schemas import TABLES, Table
-from ledgerloom.session import delete, stage
+from ledgerloom.schemas import MONTH, TABLES, Table
+from ledgerloom.session import delete, folders, stage
 
 
 def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -98,6 +98,11 @@ def modify_columns(target: DataFrame, **changes) -> DataFrame:
     )
 
 
+def month_number(date: str) -> Column:
+    """Year * 100 + month; 0 for a row without a date."""
+    return F.coalesce(F.year(date) * 100 + F.month(date), F.lit(0))
+
+
 class Warehouse:
     """The tables of ``schemas`` as parquet tables of one catalog database."""
 
@@ -113,31 +118,51 @@ class Warehouse:
         for name in names or TABLES:
             table = TABLES[name]
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-            parts = f" PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
+            columns += f", {MONTH} int" if table.month_of else ""
+            parts = f" PARTITIONED BY ({', '.join(table.stored_by)})" if table.stored_by else ""
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(name)} ({columns}) USING parquet{parts}")
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.table(self.name(name)).select(*TABLES[name].columns)
+    def read(self, name: str, months: list[int] | None = None) -> DataFrame:
+        """The declared columns; of the months given, if any, only their partitions are read."""
+        rows = self.spark.table(self.name(name))
+        return (rows if months is None else rows.where(F.col(MONTH).isin(months))).select(*TABLES[name].columns)
+
+    def months(self, name: str, condition: Column) -> list[int]:
+        """Months, in order, of the rows that meet a condition."""
+        found = self.spark.table(self.name(name)).where(condition).select(MONTH).distinct().collect()
+        return sorted(r[0] for r in found)
 
     def append(self, name: str, rows: DataFrame) -> None:
         self._ready(name, rows).write.insertInto(self.name(name))
 
-    def overwrite_partition(self, name: str, rows: DataFrame, **partition: int) -> None:
-        """Replace one partition by ``rows``.
+    def overwrite_partition(self, name: str, rows: DataFrame, months: list[int] | None = None, **partition: int) -> None:
+        """Replace one partition by ``rows``, or only some of its months, which must be those of the rows.
 
-        They are written to a new folder first, and the partition then points
-        there in one step: a failure on the way leaves the old rows as they were.
+        They are written to a new folder first, and each month's partition then points there in one step: a failure on the
+        way leaves months as they were or as they shall be, and the same call can be made again.  A month without rows goes.
         """
-        columns = [c for c in self.spark.table(self.name(name)).columns if c not in partition]
-        where = ", ".join(f"{c} = {int(v)}" for c, v in partition.items())
-        old = self._location(name, where)
-        new = self._version(name)
-        self._dated(name, rows.select(*columns).hint("rebalance")).write.parquet(new)
-        if old is None:
-            self.spark.sql(f"ALTER TABLE {self.name(name)} ADD PARTITION ({where}) LOCATION '{new}'")
-        else:
-            self.spark.sql(f"ALTER TABLE {self.name(name)} PARTITION ({where}) SET LOCATION '{new}'")
-        self._moved(name, old)
+        of, new = {k: int(v) for k, v in partition.items()}, self._version(name)
+        held = self._months_held(name, of)
+        self._dated(name, self._monthly(name, rows).drop(*of).hint("rebalance", MONTH), MONTH).write.partitionBy(MONTH).parquet(new)
+        written = {int(x.split("=")[1]) for x in folders(self.spark, new) if x.startswith(f"{MONTH}=")}
+        if months is not None and not written <= set(months):
+            raise ValueError(f"rows of {name} lie outside the months {sorted(months)}")
+        old = []
+        for month in sorted(written | (held if months is None else held & set(months))):
+            where = ", ".join(f"{k} = {v}" for k, v in {**of, MONTH: month}.items())
+            old += [self._location(name, where)] if month in held else []
+            if month not in written:
+                self.spark.sql(f"ALTER TABLE {self.name(name)} DROP PARTITION ({where})")
+            elif month in held:
+                self.spark.sql(f"ALTER TABLE {self.name(name)} PARTITION ({where}) SET LOCATION '{new}/{MONTH}={month}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {self.name(name)} ADD PARTITION ({where}) LOCATION '{new}/{MONTH}={month}'")
+        self._moved(name, *old)
+
+    def _months_held(self, name: str, of: dict[str, int]) -> set[int]:
+        where = ", ".join(f"{k} = {v}" for k, v in of.items())
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(name)} PARTITION ({where})").collect()
+        return {int(r[0].rsplit("=", 1)[1]) for r in listed}
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
         """Replace an unpartitioned table, which ``rows`` may be read from; in one step, like a partition."""
@@ -146,10 +171,8 @@ class Warehouse:
         self.spark.sql(f"ALTER TABLE {self.name(name)} SET LOCATION '{new}'")
         self._moved(name, old)
 
-    def _location(self, name: str, partition: str | None = None) -> str | None:
+    def _location(self, name: str, partition: str | None = None) -> str:
         """Where the table, or its partition, is stored now."""
-        if partition and self.spark.sql(f"SHOW PARTITIONS {self.name(name)} PARTITION ({partition})").isEmpty():
-            return None
         of = f" PARTITION ({partition})" if partition else ""
         lines = self.spark.sql(f"DESCRIBE FORMATTED {self.name(name)}{of}").where("col_name = 'Location'")
         return lines.first()["data_type"]
@@ -158,19 +181,24 @@ class Warehouse:
         place = self.spark.sql(f"DESCRIBE DATABASE {self.database}").where("info_name = 'Location'").first()["info_value"]
         return f"{place.rstrip('/')}/_versions/{name.lower()}-{uuid.uuid4().hex}"
 
-    def _moved(self, name: str, old: str | None) -> None:
-        """Forget cached file lists, and only then remove the former version."""
+    def _moved(self, name: str, *old: str) -> None:
+        """Forget cached file lists, and only then remove what was there before."""
         self.spark.sql(f"REFRESH TABLE {self.name(name)}")
-        if old is not None:
-            delete(self.spark, old)
+        for place in old:
+            delete(self.spark, place)
 
     def truncate(self, name: str) -> None:
         self.spark.sql(f"TRUNCATE TABLE {self.name(name)}")
 
+    def _monthly(self, name: str, rows: DataFrame) -> DataFrame:
+        """Columns in stored order, the month worked out from the date."""
+        date = TABLES[name].month_of
+        made = rows.withColumn(MONTH, month_number(date)) if date else rows
+        return made.select(*self.spark.table(self.name(name)).columns)
+
     def _ready(self, name: str, rows: DataFrame) -> DataFrame:
         """Columns in stored order, spread so that one hot partition is written by many tasks."""
-        stored = rows.select(*self.spark.table(self.name(name)).columns)
-        parts = TABLES[name].partition_by
+        stored, parts = self._monthly(name, rows), TABLES[name].stored_by
         return self._dated(name, stored.hint("rebalance", *parts), *parts) if parts else stored
 
     def _dated(self, name: str, rows: DataFrame, *parts: str) -> DataFrame:

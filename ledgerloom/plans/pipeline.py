@@ -13,8 +13,8 @@ from ledgerloom.operators import audit, loaders, onboarding
 from ledgerloom.operators.bank_rules import BANKS
 from ledgerloom.operators.mining import bank_id_of, enrich
 from ledgerloom.operators.quality import longest_breach
-from ledgerloom.operators.sinks import Warehouse, cascade_delete, untouched
-from ledgerloom.schemas import REPORTING
+from ledgerloom.operators.sinks import Warehouse, cascade_delete, month_number, untouched
+from ledgerloom.schemas import MONTH, REPORTING
 from ledgerloom.session import stage, staging_scope
 
 
@@ -87,12 +87,21 @@ class Ledger:
             self.store.append("TRANSACTIONS", facts)
         return outcome["rows"]
 
-    def refresh_bank(self, bank: str) -> int:
-        """Replace one bank's reporting rows.  A text over its length fails the bank as a whole."""
+    def refresh_bank(self, bank: str, since: datetime | None = None) -> int:
+        """Replace one bank's reporting rows, or only those of the months that got facts at ``since`` or later.
+
+        Facts are read, and reporting rows rewritten, by month; the others stay as they were, files and all.  A text over its
+        length fails the bank as a whole.
+        """
         key, bank_id = list(REPORTING.key), bank_id_of(self.store.read("BANKS"), BANKS[bank])
+        months, own = None, F.col("BANK_ID") == bank_id
+        if since is not None:
+            months = self.store.months("TRANSACTIONS", own & (F.col("ADDED_DATETIME") >= F.lit(since).cast("timestamp_ntz")))
+            if not months:
+                return 0
         rows = stage(
             enrich(
-                bank, self.store.read("TRANSACTIONS"), self.store.read("MCC_CATEGORY"),
+                bank, self.store.read("TRANSACTIONS", months), self.store.read("MCC_CATEGORY"),
                 self.store.read("MCC_SUB_CATEGORY"), bank_id, self.clock(),
             ),
             f"reporting-{bank.lower()}",
@@ -100,19 +109,26 @@ class Ledger:
         breach = longest_breach(rows, REPORTING)
         if breach:
             raise ValueError(f"{bank}: data too long for {breach}")
-        # A fact keeps its bank, so only this bank's partition can hold its keys.
-        stored = self.store.read("TRANSACTION_REPORTING").where(F.col("BANK_ID") == bank_id)
+        # A fact keeps its bank and date, so only this bank's partitions of these months can hold its keys.
+        stored = self.store.read("TRANSACTION_REPORTING", months).where(own)
         kept = stage(untouched(rows, stored, key), "reporting-kept")
-        self.store.overwrite_partition("TRANSACTION_REPORTING", rows.unionByName(kept), BANK_ID=bank_id)
+        self.store.overwrite_partition("TRANSACTION_REPORTING", rows.unionByName(kept), months, BANK_ID=bank_id)
         return rows.count()
 
-    def refresh(self, banks: list[str] | None = None) -> dict[str, str]:
-        """Refresh the banks in order; one that fails is logged and the rest still run."""
+    def refresh(self, banks: list[str] | None = None, changed_only: bool = False) -> dict[str, str]:
+        """Refresh the banks in order; one that fails is logged and the rest still run.
+
+        ``changed_only`` refreshes the months that got facts since the bank's last refresh that ended well, all if there was
+        none.  Rows of other months then keep the category names they were given; after a category has got another name,
+        refresh as a whole.
+        """
         states, known = {}, self.store.read("BANKS")
         for bank in banks or BANKS:
+            bank_id = self._bank_or_none(known, bank)
+            since = audit.unseen_since(self.store.read("ETL_LOG"), f"refresh_{bank.lower()}", bank_id) if changed_only else None
             try:
-                with self._logged(f"refresh_{bank.lower()}", self._bank_or_none(known, bank)) as outcome:
-                    outcome["rows"] = self.refresh_bank(bank)
+                with self._logged(f"refresh_{bank.lower()}", bank_id) as outcome:
+                    outcome["rows"] = self.refresh_bank(bank, since)
                 states[bank] = "SUCCESS"
             except Exception:
                 states[bank] = "FAILED"
@@ -156,12 +172,15 @@ class Ledger:
         self.store.truncate("TRANSACTIONS")
 
     def cascade(self) -> None:
-        """Remove reporting rows whose fact is gone, rewriting only the banks that hold some."""
+        """Remove reporting rows whose fact is gone, rewriting only the months of a bank that hold some."""
         rows = self.store.read("TRANSACTION_REPORTING")
         facts = self.store.read("TRANSACTIONS")
-        lost = untouched(facts, rows, ["TRANSACTION_ID"]).select("BANK_ID").distinct()
-        for (bank_id,) in lost.collect():
+        lost = untouched(facts, rows, ["TRANSACTION_ID"]).select("BANK_ID", month_number(REPORTING.month_of).alias(MONTH)).distinct()
+        touched: dict[int, list[int]] = {}
+        for bank_id, month in lost.collect():
+            touched.setdefault(bank_id, []).append(month)
+        for bank_id, months in touched.items():
             with staging_scope(self.store.spark):
-                here = rows.where(F.col("BANK_ID") == bank_id)
+                here = self.store.read("TRANSACTION_REPORTING", months).where(F.col("BANK_ID") == bank_id)
                 kept = stage(cascade_delete(here, facts, "TRANSACTION_ID"), "reporting-kept")
-                self.store.overwrite_partition("TRANSACTION_REPORTING", kept, BANK_ID=bank_id)
+                self.store.overwrite_partition("TRANSACTION_REPORTING", kept, months, BANK_ID=bank_id)

@@ -22,6 +22,10 @@ _TYPES = {
 }
 
 
+#: Stored beside the declared columns of a table with dates: year * 100 + month, the last partition level.
+MONTH = "TXN_MONTH"
+
+
 @dataclass(frozen=True)
 class Table:
     name: str
@@ -30,6 +34,12 @@ class Table:
     lengths: dict[str, int] = field(default_factory=dict)
     foreign: dict[str, tuple[str, str]] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    month_of: str | None = None
+
+    @property
+    def stored_by(self) -> tuple[str, ...]:
+        """Partition levels of the stored table."""
+        return (*self.partition_by, MONTH) if self.month_of else self.partition_by
 
     @property
     def columns(self) -> list[str]:
@@ -40,7 +50,7 @@ class Table:
         return [f.name for f in self.schema if not f.nullable]
 
 
-def _table(name, columns, key=(), foreign=None, partition_by=()):
+def _table(name, columns, key=(), foreign=None, partition_by=(), month_of=None):
     """``columns`` lines read ``NAME kind`` with ``!`` for NOT NULL and ``text(n)`` for lengths."""
     fields, lengths = [], {}
     for line in columns.split(","):
@@ -51,7 +61,7 @@ def _table(name, columns, key=(), foreign=None, partition_by=()):
             lengths[column] = int(kind[5:-1])
             kind = "text"
         fields.append(T.StructField(column, _TYPES[kind], nullable))
-    return Table(name, T.StructType(fields), tuple(key), lengths, foreign or {}, tuple(partition_by))
+    return Table(name, T.StructType(fields), tuple(key), lengths, foreign or {}, tuple(partition_by), month_of)
 
 
 _VERSION = "EFF_START_DATE datetime!, EFF_END_DATE datetime!, IS_CURRENT flag!, ADDED_USER text(20)!"
@@ -79,6 +89,7 @@ TRANSACTIONS = _table(
         "MEMBER_ID": ("MEMBERS", "MEMBER_ID"),
     },
     partition_by=["BANK_ID"],
+    month_of="TRANSACTION_DATE",
 )
 
 REPORTING = _table(
@@ -91,6 +102,7 @@ REPORTING = _table(
     key=["TRANSACTION_ID"],
     foreign={"TRANSACTION_ID": ("TRANSACTIONS", "TRANSACTION_ID")},
     partition_by=["BANK_ID"],
+    month_of="TRANSACTION_DATE",
 )
 
 CATEGORY = _table(

@@ -93,3 +93,9 @@ def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder and all it holds from whatever store it is in."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders and files right below a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath().getName() for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]

@@ -103,6 +103,16 @@ def replaced():
     )
 
 
+def refreshed_late(late_from, bank_id):
+    """All reporting rows; those of the bank's months that have a fact from ``late_from`` on bear the later time."""
+    month = "year(TRANSACTION_DATE) * 100 + month(TRANSACTION_DATE)"
+    columns = ", ".join(REPORTING.columns).replace(
+        "LAST_REFRESHED", f"CASE WHEN BANK_ID = {bank_id} AND {month} IN (SELECT {month} FROM r WHERE BANK_ID = {bank_id} AND "
+        f"TRANSACTION_DATE >= TIMESTAMP '{late_from}') THEN CAST('2025-02-01 00:00:00' AS TIMESTAMP) ELSE LAST_REFRESHED END AS LAST_REFRESHED"
+    )
+    return f"WITH r AS ({reporting_sql()}) SELECT {columns} FROM r"
+
+
 def ignored():
     columns = ", ".join(REPORTING.columns)
     later = columns.replace("TRANSACTION_ID", "TRANSACTION_ID * 2 AS TRANSACTION_ID", 1)

@@ -90,13 +90,65 @@ def test_load_refresh_and_repeat(spark, ledger, tmp_path):
     again = store.read("TRANSACTION_REPORTING")
     assert sorted((r["TRANSACTION_ID"], r["PAYMENT_CHANNEL"], r["ENTITY_NAME"]) for r in again.collect()) == first
     assert again.agg(F.max("LAST_REFRESHED")).first()[0] > before
-    assert {d.split("=")[1] for d in _partitions(spark, store.name("TRANSACTIONS"))} == {"1", "2"}
+    assert set(_partitions(spark, store.name("TRANSACTIONS"))) == {"BANK_ID=1/TXN_MONTH=202501", "BANK_ID=2/TXN_MONTH=202501"}
 
 
 def _partitions(spark, table):
     return [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
 
 
+def _files(spark, table, where):
+    rows = spark.table(table).where(where).select(F.col("_metadata.file_path").alias("f"), "TXN_MONTH").distinct()
+    return {(r["TXN_MONTH"], r["f"]) for r in rows.collect()}
+
+
+def _mined(store):
+    return sorted(tuple(r)[:-1] for r in store.read("TRANSACTION_REPORTING").select(*TABLES["TRANSACTION_REPORTING"].columns).collect())
+
+
+def test_refresh_of_changed_months_only(spark, ledger):
+    store, table = ledger.store, ledger.store.name("TRANSACTION_REPORTING")
+    rows = [{"TRANSACTION_DATE": d, "DEBIT": "7", "STATEMENT_DESC": f"POS/M{i}/X"} for i, d in enumerate(["07-02-2025", "09-03-2025", "01-03-2025"])]
+    ledger.load("AXIS", statement(spark, *rows), "Ann", "Axis Bank", "1111")
+    assert ledger.refresh(["AXIS"], changed_only=True) == {"AXIS": "SUCCESS"} and state(ledger, "refresh_axis")[-1] == ("SUCCESS", 3)
+    before = _files(spark, table, "BANK_ID = 1")
+    others = _files(spark, table, "BANK_ID <> 1")
+    assert {m for m, _ in before} == {202501, 202502, 202503}
+
+    ledger.refresh(["AXIS"], changed_only=True)  # nothing came in
+    assert state(ledger, "refresh_axis")[-1] == ("SUCCESS", 0) and _files(spark, table, "BANK_ID = 1") == before
+
+    late = [{"TRANSACTION_DATE": d, "DEBIT": "8", "STATEMENT_DESC": "UPI/P2M/1/SHOP/2"} for d in ("11-03-2025", "02-04-2025")]
+    ledger.load("AXIS", statement(spark, *late), "Ann", "Axis Bank", "1111")
+    ledger.refresh(["AXIS"], changed_only=True)
+    after = _files(spark, table, "BANK_ID = 1")
+    assert {m for m, _ in after - before} == {202503, 202504} and {m for m, _ in before & after} == {202501, 202502}
+    assert _files(spark, table, "BANK_ID <> 1") == others
+    partly = _mined(store)
+    ledger.refresh(["AXIS"])
+    assert _mined(store) == partly and len(partly) == len(set(partly))
+
+
+def test_load_open_during_a_refresh_is_seen_by_the_next(spark):
+    day = lambda h: datetime(2025, 5, 1, h)
+    run = lambda i, proc, start, end, bank=1: dict(LOG_ID=i, PROC_NAME=proc, BANK_ID=bank, START_TIME=day(start), END_TIME=end and day(end), ROWS_PROCESSED=1, STATUS="SUCCESS" if end else "STARTED", ERROR_MSG=None)
+    since = lambda *rows: audit.unseen_since(audit.log_frame(spark, list(rows)), "refresh_axis", 1)
+    refresh = run(3, "refresh_axis", 5, 6)
+    assert since() is None and since(run(1, "load_axis", 1, 2)) is None and since({**refresh, "STATUS": "FAILED"}) is None
+    assert since(run(1, "load_axis", 1, 2), refresh) == day(5)
+    assert since(run(1, "load_axis", 1, 7), refresh, run(4, "load_axis", 8, 9)) == day(1)
+    assert since(run(1, "load_axis", 2, None), refresh) == day(2)
+    assert since(run(1, "load_axis", 2, None, bank=2), refresh) == day(5)
+
+
+def test_months_of_the_rows_must_be_those_given(spark, ledger):
+    rows = ledger.store.read("TRANSACTION_REPORTING").where("BANK_ID = 1")
+    old = _mined(ledger.store)
+    with pytest.raises(ValueError):
+        ledger.store.overwrite_partition("TRANSACTION_REPORTING", rows, [202501], BANK_ID=1)
+    assert _mined(ledger.store) == old
+
+
 def test_failed_load_is_logged_and_raised(spark, ledger):
     with pytest.raises(ValueError):
         ledger.load("AXIS", axis_rows(spark), "Nobody", "Axis Bank", "1111")
