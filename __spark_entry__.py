@@ -175,13 +175,13 @@ def _refresh_changed(spark, sf) -> DataFrame:
     """The reporting table after a late statement of one bank: only the months that it fell in are refreshed."""
     tables = _stored_tables(spark, sf)
     late = (F.col("BANK_ID") == BANK_NUMBER["APPLE"]) & (F.col("TRANSACTION_DATE") >= F.lit(LATE_FROM).cast("timestamp_ntz"))
-    run = audit.log_row(tables["ETL_LOG"], "refresh_apple", BANK_NUMBER["APPLE"], datetime(2025, 1, 15))
-    log = audit.log_frame(spark, [audit.finished(run, datetime(2025, 1, 15, 1))])
+    run = audit.log_row(tables["ETL_LOG"], "refresh_apple", BANK_NUMBER["APPLE"], datetime(2026, 1, 15))
+    log = audit.log_frame(spark, [audit.finished(run, datetime(2026, 1, 15, 1))])
     names = ("TRANSACTIONS", "TRANSACTION_REPORTING", "MCC_CATEGORY", "MCC_SUB_CATEGORY", "BANKS", "ETL_LOG")
     before = {n: tables[n].where(~late) for n in names[:2]}
     store = _warehouse(spark, sf, *names, **before, ETL_LOG=log)
-    store.append("TRANSACTIONS", tables["TRANSACTIONS"].where(late).withColumn("ADDED_DATETIME", X.moment(datetime(2025, 1, 20))))
-    Ledger(store, clock=lambda: LATER).refresh(["APPLE"], changed_only=True)
+    store.append("TRANSACTIONS", tables["TRANSACTIONS"].where(late).withColumn("ADDED_DATETIME", X.moment(datetime(2026, 1, 20))))
+    Ledger(store, clock=lambda: datetime(2026, 2, 1)).refresh(["APPLE"], changed_only=True)
     return store.read("TRANSACTION_REPORTING")
 
 

@@ -15,6 +15,7 @@ SAMPLE_SIZE = 15
 SAMPLED_NAMES = ["NAME", "TYPE", "CATEGORY", "CATG", "STATUS"]
 CALLING_FUNCTIONS = ["reflect", "java_method", "try_reflect"]
 SCRIPT_NODES = ["Call", "CompoundBody"]
+GROUPS = 128  # groups of values of a column of which only the lowest is sent on, well above the sample size
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
@@ -23,59 +24,81 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.createDataFrame(names, "TABLE_NAME string").orderBy("TABLE_NAME")
 
 
-def describe(spark: SparkSession, schema: T.StructType, table: Table) -> DataFrame:
-    """Name, type, nullability and key mark of every column."""
+LINE = "POSITION int, FIELD string, TYPE string, NULLABLE string, COLUMN_KEY string"
+
+
+def described(schema: T.StructType, table: Table) -> list[tuple]:
     required = set(table.required)
-    lines = [
+    return [
         (
             i, f.name, f.dataType.simpleString(), "NO" if f.name in required else "YES",
             "PRI" if f.name in table.key else "",
         )
         for i, f in enumerate(schema, start=1)
     ]
-    return spark.createDataFrame(lines, "POSITION int, FIELD string, TYPE string, NULLABLE string, COLUMN_KEY string")
+
+
+def describe(spark: SparkSession, schema: T.StructType, table: Table) -> DataFrame:
+    """Name, type, nullability and key mark of every column."""
+    return spark.createDataFrame(described(schema, table), LINE)
+
+
+def first_values(long: DataFrame, limit: int = SAMPLE_SIZE) -> DataFrame:
+    """``NO, SAMPLES``: the first distinct values of every column numbered ``NO``, compared without case, lowest spelling shown.
+
+    ``long`` has ``NO, VALUE`` and is read twice.  Values are first dealt to GROUPS by hash and only the lowest of each group
+    is sent on: as equal values share a group, the ``limit``-th of these is a value that at least ``limit`` distinct ones do
+    not exceed.  What exceeds it is dropped where it is read, and the few that are left are told apart.  So a task sends
+    GROUPS values for a column, and then little more than ``limit``, however many distinct values there are.
+    """
+    keyed = long.where("VALUE IS NOT NULL").select("NO", F.upper("VALUE").alias("_K"), "VALUE")
+    lowest = keyed.groupBy("NO", F.pmod(F.xxhash64("_K"), F.lit(GROUPS)).cast("int").alias("_G")).agg(F.min("_K").alias("_K"))
+    # One row for each column of the tables, so it may go to all tasks.
+    ends = lowest.groupBy("NO").agg(F.get(F.sort_array(F.collect_list("_K")), F.lit(limit - 1)).alias("_END"))
+    near = keyed.join(F.broadcast(ends), "NO").where("_END IS NULL OR _K <= _END")
+    distinct = near.groupBy("NO", "_K").agg(F.min("VALUE").alias("VALUE"))
+    place = F.row_number().over(Window.partitionBy("NO").orderBy("_K"))
+    kept = distinct.withColumn("POS", place).where(F.col("POS") <= limit)
+    pairs = F.array_sort(F.collect_list(F.struct("POS", "VALUE")))
+    return kept.groupBy("NO").agg(F.transform(pairs, lambda p: p["VALUE"]).alias("SAMPLES"))
 
 
 def column_samples(df: DataFrame, column: str, limit: int = SAMPLE_SIZE) -> DataFrame:
     """The first distinct values of a column in order, without regard to case; the lowest spelling is shown."""
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("VALUE"))
-    return values.groupBy(F.upper("VALUE").alias("_K")).agg(F.min("VALUE").alias("VALUE")).orderBy("_K").limit(limit).drop("_K")
+    long = df.select(F.lit(0).alias("NO"), F.col(column).cast("string").alias("VALUE"))
+    return first_values(long, limit).select(F.explode("SAMPLES").alias("VALUE"))
 
 
 def sampled_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if any(part in c.upper() for part in SAMPLED_NAMES)]
 
 
-def table_samples(df: DataFrame, limit: int = SAMPLE_SIZE) -> DataFrame:
-    """First distinct values of every descriptive column, in one pass over the table.
-
-    The rank limit is applied before the shuffle, so each task sends at most
-    ``limit`` values per column however many distinct values there are.
-    """
-    columns = sampled_columns(df)
-    if not columns:
-        return df.sparkSession.createDataFrame([], "FIELD string, SAMPLES array<string>")
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    long = texts.unpivot([], columns, "FIELD", "VALUE").where("VALUE IS NOT NULL")
-    long = long.groupBy("FIELD", F.upper("VALUE").alias("_K")).agg(F.min("VALUE").alias("VALUE"))
-    first = Window.partitionBy("FIELD").orderBy("_K")
-    kept = long.withColumn("POS", F.row_number().over(first)).where(F.col("POS") <= limit)
-    pairs = F.array_sort(F.collect_list(F.struct("POS", "VALUE")))
-    return kept.groupBy("FIELD").agg(F.transform(pairs, lambda p: p["VALUE"]).alias("SAMPLES"))
+def samples(tables: dict[str, DataFrame], limit: int = SAMPLE_SIZE) -> DataFrame:
+    """``TABLE_NAME, FIELD, SAMPLES`` of the descriptive columns of all tables, worked out together in one job."""
+    spark, names, parts = next(iter(tables.values())).sparkSession, [], []
+    for name, df in tables.items():
+        columns = sampled_columns(df)
+        if columns:
+            numbered = [F.struct(F.lit(len(names) + i).alias("NO"), F.col(c).cast("string").alias("VALUE")) for i, c in enumerate(columns)]
+            parts.append(df.select(F.inline(F.array(*numbered))))
+            names += [(len(names) + i, name, c) for i, c in enumerate(columns)]
+    named = spark.createDataFrame(names, "NO int, TABLE_NAME string, FIELD string")
+    if not parts:
+        return named.select("TABLE_NAME", "FIELD", F.array().cast("array<string>").alias("SAMPLES"))
+    return first_values(reduce(DataFrame.unionByName, parts), limit).join(F.broadcast(named), "NO").drop("NO")
 
 
 def profile(tables: dict[str, DataFrame], declared: dict[str, Table], limit: int = SAMPLE_SIZE) -> DataFrame:
     """One line per table and column, with samples for the descriptive ones."""
-    parts = []
+    lines = []
     for name, df in tables.items():
-        spark = df.sparkSession
-        lines = describe(spark, df.schema, declared[name])
-        samples = table_samples(df, limit)
-        parts.append(lines.join(F.broadcast(samples), "FIELD", "left").select(
-            F.lit(name).alias("TABLE_NAME"), "POSITION", "FIELD", "TYPE", "NULLABLE", "COLUMN_KEY",
-            F.array_join("SAMPLES", ", ").alias("SAMPLES"),
-        ))
-    return reduce(DataFrame.unionByName, parts)
+        lines += [(name, *line) for line in described(df.schema, declared[name])]
+    spark = next(iter(tables.values())).sparkSession
+    told = spark.createDataFrame(lines, f"TABLE_NAME string, {LINE}")
+    # Lines and samples have one row for each column of the tables.
+    return told.join(F.broadcast(samples(tables, limit)), ["TABLE_NAME", "FIELD"], "left").select(
+        "TABLE_NAME", "POSITION", "FIELD", "TYPE", "NULLABLE", "COLUMN_KEY", F.array_join("SAMPLES", ", ").alias("SAMPLES")
+    )
 
 
 def profile_database(spark: SparkSession, database: str, declared: dict[str, Table], limit: int = SAMPLE_SIZE) -> DataFrame:

@@ -108,7 +108,7 @@ def refreshed_late(late_from, bank_id):
     month = "year(TRANSACTION_DATE) * 100 + month(TRANSACTION_DATE)"
     columns = ", ".join(REPORTING.columns).replace(
         "LAST_REFRESHED", f"CASE WHEN BANK_ID = {bank_id} AND {month} IN (SELECT {month} FROM r WHERE BANK_ID = {bank_id} AND "
-        f"TRANSACTION_DATE >= TIMESTAMP '{late_from}') THEN CAST('2025-02-01 00:00:00' AS TIMESTAMP) ELSE LAST_REFRESHED END AS LAST_REFRESHED"
+        f"TRANSACTION_DATE >= TIMESTAMP '{late_from}') THEN CAST('2026-02-01 00:00:00' AS TIMESTAMP) ELSE LAST_REFRESHED END AS LAST_REFRESHED"
     )
     return f"WITH r AS ({reporting_sql()}) SELECT {columns} FROM r"
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
+import gzip
 import io
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -108,6 +110,26 @@ def test_profile(spark):
     assert [r["VALUE"] for r in profile.column_samples(categories, "CATG_NAME", 2).collect()] == names[:2]
 
 
+@pytest.mark.parametrize("groups", [1, 20, 128])
+def test_first_values_of_columns_of_any_kind(spark, monkeypatch, groups):
+    monkeypatch.setattr(profile, "GROUPS", groups)
+    rng = random.Random(groups)
+    columns = {
+        "many": [f"v{rng.randrange(10**9):09d}" for _ in range(3000)], "cased": [rng.choice("abcABCxyzXYZ") for _ in range(900)],
+        "few": ["b", "a", None] * 40, "same": ["x"] * 500, "none": [None] * 5, "wide": [rng.choice("éÉaA ßÄ") * n for n in range(60)], "fifteen": [f"{i % 15}" for i in range(300)],
+    }
+    names = list(columns)
+    long = frame(spark, "NO int, VALUE string", *[(i, v) for i, n in enumerate(names) for v in columns[n]]).repartition(5)
+    got = {names[r["NO"]]: r["SAMPLES"] for r in profile.first_values(long).collect()}
+    for name, values in columns.items():
+        lowest = {}
+        for v in values:
+            if v is not None:
+                lowest[v.upper()] = min(v, lowest.get(v.upper(), v), key=str.encode)
+        want = [lowest[k] for k in sorted(lowest, key=str.encode)[:15]]
+        assert got.get(name, []) == want
+
+
 @pytest.mark.parametrize(
     ("sql", "allowed"),
     [
@@ -152,6 +174,27 @@ def test_landing_files_of_two_column_orders(spark, tmp_path):
     ]
 
 
+def test_headers_of_many_files(spark, tmp_path):
+    kinds = {"Description,Amount": [], "amount,DESCRIPTION": [], "": []}
+    for i in range(60):
+        head = list(kinds)[i % 2]
+        name = tmp_path / f"part {i}.csv{'.gz' if i % 5 == 0 else ''}"
+        text = f"{head}\n" + "".join("a,1\n" if i % 2 == 0 else "1,a\n" for _ in range(i))
+        name.write_bytes(gzip.compress(text.encode()) if i % 5 == 0 else text.encode())
+        kinds[head].append(name.name)
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "_hidden").write_text("other\n")
+    got = source.headers(spark, str(tmp_path))
+    assert {k: sorted(f.rsplit("/", 1)[1] for f in v) for k, v in got.items()} == {k: sorted(v) for k, v in kinds.items() if v}
+    rows = source.read_csv(spark, str(tmp_path)).select("DESCRIPTION", "AMOUNT").distinct().collect()
+    assert [tuple(r) for r in rows] == [("a", "1")] and source.read_csv(spark, str(tmp_path)).count() == sum(range(60))
+
+
+def test_no_landing_rows(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    assert source.read_csv(spark, str(tmp_path)).count() == 0
+
+
 def test_reference_to_a_parent_that_is_not_given_is_told(spark):
     subs = frame(spark, SUB_CATEGORY.schema, (1, "A", 1, "u", NOW))
     report = quality.quality_report({"MCC_SUB_CATEGORY": subs}, TABLES)
