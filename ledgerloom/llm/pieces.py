@@ -3,10 +3,15 @@
 A text is its characters after one leading blank, blanks written as U+2581.  The search holds, for each place from which a
 piece could still begin, the best way to get there; whenever the ways to all these places pass through one boundary, the
 ids up to it are final and everything before it is forgotten.  A character that no piece covers is spelt in bytes.
+
+Ways through a long run of one character may never meet, as each keeps its own phase.  The search then keeps the last step
+to every place since they parted, 16 bytes a character, and looks for a common boundary again only when that window has
+doubled, so the work stays in proportion to the text, whatever it is.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -22,8 +27,9 @@ from ledgerloom.llm.common import sent, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN = 10.0  # how much worse than the worst piece a character spelt in bytes scores
-CACHE_UNITS, CACHE_CHARS = 150_000, 48  # stretches between forced boundaries that a task remembers, and their length
+CACHE_UNITS, CACHE_CHARS = 150_000, 48  # stretches between forced boundaries whose ids a task remembers, and their length
 STEP = 64  # places after which the search looks for a common boundary
+CHUNK = 1024  # characters of a long stretch that are read at once
 
 
 class Vocabulary:
@@ -89,81 +95,106 @@ class Encoder:
 
     def stream(self, chunks: Iterable[str]) -> Iterator[list[int]]:
         """Ids of one text given in chunks (with its leading blank), each list as soon as it is final."""
-        v, longest = self.v, self.v.longest
-        done, place = 0, 0  # all before ``done`` is final; ``place`` characters were read
-        best, back, held = {0: 0.0}, {}, {}  # score by place; start and id of the last piece; characters spelt in bytes
-        tail = ""  # so much of what was read as a piece that ends in the next chunk may hold
+        longest = self.v.longest
+        done = place = 0  # all before ``done`` is final; ``place`` characters were read
+        best = [0.0]  # score of the best way to each of the last places, up to ``place``
+        length, piece = [0], [0]  # of the last step to each place from ``done`` on; -1 for a character spelt in bytes
+        held: dict[int, str] = {}  # those characters
+        tail, look = "", STEP  # what a piece that ends in the next chunk may begin in; the window at which to look
         for chunk in chunks:
-            ends = self._ends(tail, chunk, place)
-            nxt = next(ends, None)
-            for char in chunk:
-                place += 1
-                top, choice = None, None
-                while nxt is not None and nxt[0] == place:
-                    _, length, score, i = nxt
-                    start = place - length
-                    if start in best and (top is None or best[start] + score > top):
-                        top, choice = best[start] + score, (start, i)
-                    nxt = next(ends, None)
-                if char not in self.single:  # no piece ends in it alone, so it may have to be spelt
-                    score = best[place - 1] + v.unknown
-                    if top is None or score > top:
-                        top, choice = score, (place - 1, -1)
-                    held[place] = char
-                best[place], back[place] = top, choice
-                if place % STEP == 0:
-                    cut = self._common(back, range(max(done, place - longest + 1), place + 1), done)
-                    if cut > done:
-                        yield self._path(back, held, cut, done)
-                        for at in range(done, cut):
-                            best.pop(at, None)
-                            back.pop(at + 1, None)
-                            held.pop(at + 1, None)
-                        done = cut
+            best = best[-longest:]
+            at, n = len(best) - 1, len(chunk)  # where ``place`` is in ``best``
+            best += [-np.inf] * n
+            length += [0] * n
+            piece += [0] * n
+            spelt = self._advance(tail, chunk, best, length, piece, at, place - done)
+            held.update((place + i, chunk[i - 1]) for i in spelt)
+            place += n
             tail = (tail + chunk)[-(longest - 1) :]
+            if place - done >= look:
+                cut = done + self._common(length, max(0, place - done - longest + 1), place - done)
+                if cut > done:
+                    yield self._path(length, piece, held, cut, done)
+                    held = {p: c for p, c in held.items() if p > cut}
+                    del length[: cut - done], piece[: cut - done]
+                    done = cut
+                look = max(STEP, 2 * (place - done))
         if place > done:
-            yield self._path(back, held, place, done)
+            yield self._path(length, piece, held, place, done)
+
+    def _advance(self, tail: str, chunk: str, best: list, length: list, piece: list, at: int, to: int) -> list[int]:
+        """Best last step to each place of a chunk; the place before it is ``best[at]``, ``length[to]`` and ``piece[to]``.
+
+        Returns the characters of the chunk, counted from 1, that may have to be spelt.
+        """
+        shift, first, over = at + 1 - len(tail), len(tail), to - at
+        if self.single.issuperset(chunk):
+            for end, (size, score, i) in self.find.iter(tail + chunk):
+                if end >= first:
+                    end += shift
+                    score += best[end - size]
+                    if score > best[end]:
+                        best[end] = score
+                        length[end + over] = size
+                        piece[end + over] = i
+            return []
+        spelt = [i + 1 for i, c in enumerate(chunk) if c not in self.single]
+        waiting, unknown = iter([*(at + i for i in spelt), len(best)]), self.v.unknown
+
+        def spell(end: int) -> int:  # no piece is the character alone
+            if best[end - 1] + unknown > best[end]:
+                best[end] = best[end - 1] + unknown
+                length[end + over], piece[end + over] = 1, -1
+            return next(waiting)
+
+        odd = next(waiting)
+        for end, (size, score, i) in self.find.iter(tail + chunk):
+            if end >= first:
+                end += shift
+                while odd < end:
+                    odd = spell(odd)
+                score += best[end - size]
+                if score > best[end]:
+                    best[end] = score
+                    length[end + over] = size
+                    piece[end + over] = i
+        while odd < len(best):
+            odd = spell(odd)
+        return spelt
 
     def stretch(self, unit: str) -> tuple[int, ...]:
-        """Ids between two forced boundaries; a short stretch is searched without forgetting anything on the way."""
-        if len(unit) > CACHE_CHARS or not self.single.issuperset(unit):
-            return tuple(chain.from_iterable(self.stream([unit])))
-        best = [0.0] + [-np.inf] * len(unit)
-        back = [None] * (len(unit) + 1)
-        for end, (length, score, i) in self.find.iter(unit):
-            score += best[end + 1 - length]
-            if score > best[end + 1]:
-                best[end + 1] = score
-                back[end + 1] = (end + 1 - length, i)
-        ids, end = [], len(unit)
-        while end:
-            end, i = back[end]
-            ids.append(i)
-        return tuple(ids[::-1])
-
-    def _ends(self, tail: str, chunk: str, place: int) -> Iterator[tuple]:
-        """Place after each match that ends in the chunk, with its length, score and id."""
-        first = len(tail)
-        return ((place + end + 1 - first, *piece) for end, piece in self.find.iter(tail + chunk) if end >= first)
+        """Ids between two forced boundaries; of a stretch read at once all ids are final when it ends."""
+        n = len(unit)
+        if n > CHUNK:
+            return tuple(chain.from_iterable(self.stream(unit[i : i + CHUNK] for i in range(0, n, CHUNK))))
+        best, length, piece = [0.0] + [-np.inf] * n, [0] * (n + 1), [0] * (n + 1)
+        spelt = self._advance("", unit, best, length, piece, 0, 0)
+        return tuple(self._path(length, piece, {i: unit[i - 1] for i in spelt}, n, 0))
 
     @staticmethod
-    def _common(back: dict, places: Iterable[int], done: int) -> int:
-        """Boundary that the best ways to all of ``places`` share."""
-        open_ways = set(places)
-        while len(open_ways) > 1:
-            last = max(open_ways)
-            open_ways.remove(last)
-            open_ways.add(back[last][0])
-            if done in open_ways:
-                return done
-        return open_ways.pop()
-
-    def _path(self, back: dict, held: dict, end: int, done: int) -> list[int]:
+    def _common(length: list, first: int, last: int) -> int:
+        """Boundary that the best ways to all places from ``first`` to ``last`` share, as a distance from the last one found."""
+        ways, known = [-p for p in range(last, first - 1, -1)], set(range(first, last + 1))  # a heap with the last place on top
+        while len(ways) > 1:
+            before = -ways[0] - length[-ways[0]]
+            if not before:
+                return 0
+            if before in known:
+                heapq.heappop(ways)
+            else:
+                known.add(before)
+                heapq.heapreplace(ways, -before)
+        return -ways[0]
+
+    def _path(self, length: list, piece: list, held: dict, end: int, done: int) -> list[int]:
         ids: list[int] = []
-        while end > done:
-            start, i = back[end]
-            ids += [i] if i >= 0 else reversed(self.spelt(held[end]))
-            end = start
+        at = end - done
+        while at:
+            if piece[at] >= 0:
+                ids.append(piece[at])
+            else:
+                ids += reversed(self.spelt(held[done + at]))
+            at -= length[at]
         return ids[::-1]
 
     def encode(self, text: str | None) -> np.ndarray:

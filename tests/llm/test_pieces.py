@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -61,6 +62,24 @@ def test_search_window_stays_small(encoder):
     assert len(sizes) > 50 and max(sizes) < 4 * pieces.STEP
 
 
+@pytest.mark.parametrize("char", ["a", "-", "=", " ", "é", "中", "😀", "▁", "\n", "0"])
+def test_long_runs_are_linear(encoder, char):
+    short, long = char * 5_000, "x" + char * 1_000_000 + "y"
+    start = time.process_time()
+    ids = encoder.encode(long).tolist()
+    assert time.process_time() - start < 12 and encoder.decode(ids) == long
+    assert score(encoder.v, encoder.encode(short).tolist()) == pytest.approx(best_score(encoder.v, short))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_runs_between_other_text(encoder, seed):
+    rng = random.Random(seed)
+    text = "".join(rng.choice(["-", "=", "ab", "a", "é", "ing", "😀"]) * rng.randint(1, 400) for _ in range(12))
+    assert score(encoder.v, encoder.encode(text).tolist()) == pytest.approx(best_score(encoder.v, text))
+    parts = list(encoder.stream([" ", *(text[i : i + 7] for i in range(0, len(text), 7))]))
+    assert [i for part in parts for i in part] == encoder.encode(text).tolist()
+
+
 def test_table(spark, encoder):
     rows = [(1, "one two", "x", 3, None), (2, None, None, None, None), (2, "", "x", 3, "y"), (None, "中" * 5000, "x", 3, "y"), (1, "one two", "x", 3, None)]
     got = pieces.encoded(spark.createDataFrame(rows, SCHEMA), encoder.v)
