@@ -244,6 +244,13 @@ def _text_functions(spark, sf) -> DataFrame:
     )
 
 
+def _accented(spark, sf) -> DataFrame:
+    """Statement rows in which every other category is spelt with accents, counted and summed by name."""
+    spelt = F.translate("CATEGORY", "AEIOUaeiou", "ÁÈÎÕÜáèîõü")
+    rows = Fixtures(spark, sf).landing("AMEX").withColumn("CATEGORY", F.when(F.length("DESCRIPTION") % 2 == 1, spelt).otherwise(F.col("CATEGORY")))
+    return reports.by_name(rows, ["CATEGORY"], F.count(F.lit(1)).alias("CNT"), F.sum(F.length("DESCRIPTION")).alias("N_CHARS"), collation="UNICODE_CI_AI")
+
+
 def _global_rank(spark, sf) -> DataFrame:
     facts = Fixtures(spark, sf).table("TRANSACTIONS").select("TRANSACTION_DATE", "DESCRIPTION", "TRANSACTION_ID")
     order = [F.col(c) for c in facts.columns]
@@ -285,6 +292,7 @@ def queries() -> dict[str, Query]:
         "reporting_per_card": _over(reports.reporting_per_card, r, "BANKS"),
         "reconciliation": _reconcile,
         "distinct_categories": lambda spark, sf: reports.distinct_values(Fixtures(spark, sf).landing("AMEX"), "CATEGORY"),
+        "names_by_collation": _accented,
         "recent_transactions": _over(reports.recent_transactions, t),
         "food_spend_last_month": _over(
             reports.keyword_spend, r, words=reports.FOOD_WORDS, as_of=date(2001, 6, 15)
@@ -366,6 +374,7 @@ def oracle_sql() -> dict[str, str]:
         "reporting_per_card": told.reporting_per_card(),
         "reconciliation": told.reconciliation(),
         "distinct_categories": told.DISTINCT_CATEGORIES,
+        "names_by_collation": told.ACCENTED,
         "recent_transactions": told.RECENT,
         "food_spend_last_month": told.food(),
         "counterparty_spend": told.counterparty(),

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 # Fixed value: a number at the start of a text, as a lenient cast reads it.
 LEADING_NUMBER = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
@@ -31,9 +31,27 @@ def not_blank(col: Column) -> Column:
     return col.isNotNull() & (F.trim(col) != "")
 
 
-def fold(col: Column) -> Column:
-    """Key for comparing names without regard to case."""
-    return F.upper(col)
+#: Session setting that names the collation under which all names are compared, for instance UNICODE_CI_AI.
+NAME_COLLATION = "spark.ledgerloom.nameCollation"
+
+
+def fold(col: Column, collation: str | None = None) -> Column:
+    """Key for comparing names: upper case, or the text under a collation given here or by the session.
+
+    Under UNICODE_CI_AI neither case nor accents count, as in the row store that the statements came from.  Keys of
+    different collations cannot be compared, so one job uses one.
+    """
+    session = SparkSession.getActiveSession()
+    chosen = collation or (session.conf.get(NAME_COLLATION, None) if session else None)
+    return F.collate(col, chosen) if chosen else F.upper(col)
+
+
+def same_name(col: Column, value: str) -> Column:
+    return fold(col) == fold(F.lit(value))
+
+
+def name_holds(col: Column, word: str) -> Column:
+    return fold(col).contains(fold(F.lit(word)))
 
 
 def clean_upper(col: Column) -> Column:

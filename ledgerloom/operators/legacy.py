@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.ids import assign_identity, highest, lookups
-from ledgerloom.functions.text import byte_length, date_text, fold, from_position, moment, not_blank, number
+from ledgerloom.functions.text import byte_length, date_text, fold, from_position, moment, not_blank, number, same_name
 from ledgerloom.operators.loaders import CREDIT, DEBIT, US_DATE
 from ledgerloom.schemas import CATEGORY, SUB_CATEGORY
 
@@ -67,7 +67,7 @@ def legacy_statement_projection(
     alone, so one name under several categories gives a row for each.
     """
     def lowest(df, key, column, value):
-        return df.where(fold(F.col(column)) == value.upper()).agg(F.min(key))
+        return df.where(same_name(F.col(column), value)).agg(F.min(key))
 
     ids = lookups(
         MEMBER_ID=lowest(members, "MEMBER_ID", "FIRST_NAME", user_name),

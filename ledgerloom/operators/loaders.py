@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.ids import assign_identity, content_key, global_rank, hash_id, highest, lookups, occurrence
 from ledgerloom.functions.text import (
-    any_of, byte_length, clean_upper, date_text, filled, fold, from_position, moment, not_blank, number,
+    any_of, byte_length, clean_upper, date_text, filled, fold, from_position, moment, not_blank, number, same_name,
     plain_number_text,
 )
 from ledgerloom.operators.sinks import insert_ignore, insert_missing
@@ -320,7 +320,7 @@ class LoadResult:
 
 
 def _lowest(df: DataFrame, key: str, column: str, value: str) -> DataFrame:
-    return df.where((fold(F.col(column)) == value.upper()) & (F.col("IS_CURRENT") == 1)).agg(F.min(key))
+    return df.where(same_name(F.col(column), value) & (F.col("IS_CURRENT") == 1)).agg(F.min(key))
 
 
 def resolve(dims: Dimensions, user_name: str, bank_name: str, card_last4: str) -> dict[str, int]:

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ledgerloom.functions.text import fold
 from ledgerloom.schemas import MONTH, TABLES, Table
 from ledgerloom.session import delete, folders, stage
 
@@ -51,7 +52,7 @@ def replace_into(rows: DataFrame, target: DataFrame, key: list[str], table: Tabl
 
 
 def insert_missing(candidates: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """Candidate rows that the target does not hold yet, one per key; texts are compared without case."""
+    """Candidate rows that the target does not hold yet, one per key; texts are compared as names are."""
     names = [f"_K_{c}" for c in key]
     lowest = F.min(F.struct(*candidates.columns)).alias("_row")
     once = candidates.groupBy(*folded_keys(candidates, key)).agg(lowest)
@@ -61,7 +62,7 @@ def insert_missing(candidates: DataFrame, target: DataFrame, key: list[str]) ->
 
 def folded_keys(df: DataFrame, key: list[str]) -> list[Column]:
     kinds = dict(df.dtypes)
-    return [(F.upper(c) if kinds[c] == "string" else F.col(c)).alias(f"_K_{c}") for c in key]
+    return [(fold(F.col(c)) if kinds[c] == "string" else F.col(c)).alias(f"_K_{c}") for c in key]
 
 
 def insert_row(target: DataFrame, table: Table, **values) -> DataFrame:

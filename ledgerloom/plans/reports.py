@@ -10,7 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.text import any_of, fold
+from ledgerloom.functions.text import any_of, fold, name_holds
 from ledgerloom.operators.mining import report_channel
 
 MONEY = "decimal(38,4)"
@@ -24,11 +24,11 @@ def month(column: str = "TRANSACTION_DATE", pattern: str = "yyyy-MM") -> Column:
     return F.date_format(column, pattern)
 
 
-def by_name(rows: DataFrame, names: list[str], *sums: Column) -> DataFrame:
-    """Group by names without regard to case; of several spellings the lowest is shown."""
+def by_name(rows: DataFrame, names: list[str], *sums: Column, collation: str | None = None) -> DataFrame:
+    """Group by names without regard to case, or under a collation; of several spellings the lowest is shown."""
     folded = [f"_K_{n}" for n in names]
     shown = [F.min(n).alias(n) for n in names]
-    return rows.groupBy(*[fold(F.col(n)).alias(k) for n, k in zip(names, folded)]).agg(*shown, *sums).drop(*folded)
+    return rows.groupBy(*[fold(F.col(n), collation).alias(k) for n, k in zip(names, folded)]).agg(*shown, *sums).drop(*folded)
 
 
 def transaction_log(transactions, members, banks, cards) -> DataFrame:
@@ -156,10 +156,10 @@ def reconciliation(transactions, reporting) -> DataFrame:
     )
 
 
-def distinct_values(table: DataFrame, *columns: str) -> DataFrame:
-    """Distinct values, texts without regard to case; of several spellings the lowest is shown."""
+def distinct_values(table: DataFrame, *columns: str, collation: str | None = None) -> DataFrame:
+    """Distinct values, texts without regard to case, or under a collation; of several spellings the lowest is shown."""
     kinds = dict(table.dtypes)
-    keys = {f"_K_{c}": fold(F.col(c)) if kinds[c] == "string" else F.col(c) for c in columns}
+    keys = {f"_K_{c}": fold(F.col(c), collation) if kinds[c] == "string" else F.col(c) for c in columns}
     shown = [F.min(c).alias(c) for c in columns]
     return table.groupBy(*[v.alias(k) for k, v in keys.items()]).agg(*shown).select(*columns)
 
@@ -170,7 +170,7 @@ def recent_transactions(transactions) -> DataFrame:
 
 
 def _contains(column: str, word: str) -> Column:
-    return F.lower(column).contains(word.lower())
+    return name_holds(F.col(column), word)
 
 
 def keyword_spend(reporting, words: dict[str, list[str]], as_of: date, months_back: int = 1) -> DataFrame:

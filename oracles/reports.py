@@ -70,6 +70,13 @@ RECENT = f"SELECT * FROM {T} t ORDER BY ADDED_DATETIME DESC, TRANSACTION_ID"
 DISTINCT_CATEGORIES = f"SELECT min(CATEGORY) AS CATEGORY FROM {landing('AMEX')} l GROUP BY upper(CATEGORY)"
 
 
+ACCENTED = (
+    "SELECT min(CATEGORY) AS CATEGORY, count(*) AS CNT, CAST(sum(length(DESCRIPTION)) AS BIGINT) AS N_CHARS FROM ("
+    "SELECT DESCRIPTION, CASE WHEN length(DESCRIPTION) % 2 = 1 THEN translate(CATEGORY, 'AEIOUaeiou', 'ÁÈÎÕÜáèîõü') ELSE CATEGORY END AS CATEGORY "
+    f"FROM {landing('AMEX')} l) x GROUP BY strip_accents(upper(CATEGORY))"
+)
+
+
 def food():
     return (
         f"SELECT {_AMOUNT} AS TOTAL_SPENT FROM ({reporting_sql()}) r WHERE TRANSACTION_TYPE = 'DBT' AND "

@@ -141,6 +141,20 @@ def test_load_open_during_a_refresh_is_seen_by_the_next(spark):
     assert since(run(1, "load_axis", 2, None, bank=2), refresh) == day(5)
 
 
+def test_load_under_a_collation_knows_accented_names(spark, ledger):
+    row = {"TRANSACTION_DATE": "01/07/2025", "AMOUNT": "3", "DESCRIPTION": "x", "STATEMENT_DESC": "Debit"}
+    load = lambda *names: ledger.load("APPLE", statement(spark, *({**row, "CATEGORY": n, "DESCRIPTION": f"{n} {len(names)}"} for n in names)), "Ann", "Apple Bank", "2222")
+    count = lambda: ledger.store.read("MCC_SUB_CATEGORY").count() + ledger.store.read("MCC_CATEGORY").count()
+    load("Crème", "Thé")
+    before = count()
+    spark.conf.set("spark.ledgerloom.nameCollation", "UNICODE_CI_AI")
+    try:
+        assert load("CREME", "the", "Thè") == 3 and count() == before
+    finally:
+        spark.conf.unset("spark.ledgerloom.nameCollation")
+    assert load("CREME", "the") == 2 and count() > before
+
+
 def test_months_of_the_rows_must_be_those_given(spark, ledger):
     rows = ledger.store.read("TRANSACTION_REPORTING").where("BANK_ID = 1")
     old = _mined(ledger.store)

@@ -12,6 +12,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import text
 from ledgerloom.operators import audit, legacy, profile, quality, sinks
 from ledgerloom.plans import reports
 from ledgerloom.schemas import CATEGORY, ETL_LOG, LANDING, SUB_CATEGORY, TABLES, TRANSACTIONS
@@ -201,6 +202,21 @@ def test_reference_to_a_parent_that_is_not_given_is_told(spark):
     assert [(r["DETAIL"], r["BAD_ROWS"]) for r in report.where("CHECK_NAME = 'reference'").collect()] == [("CATG_ID -> MCC_CATEGORY", None)]
 
 
+def test_names_under_a_collation(spark):
+    named = frame(spark, "n string, v int", ("Café", 1), ("CAFE", 2), ("cafe ", 4), ("Cafe", 8), (None, 16), ("Kafe", 32))
+    assert rows(reports.by_name(named, ["n"], F.sum("v").alias("v"), collation="UNICODE_CI_AI")) == [(None, 16), ("CAFE", 11), ("Kafe", 32), ("cafe ", 4)]
+    assert rows(reports.distinct_values(named, "n", collation="UNICODE_CI_AI")) == [(None,), ("CAFE",), ("Kafe",), ("cafe ",)]
+    have = frame(spark, "n string", ("CAFÉ",))
+    assert rows(sinks.insert_missing(named.select("n").where("v < 16"), have, ["n"])) == [("CAFE",), ("cafe ",)]
+    spark.conf.set("spark.ledgerloom.nameCollation", "UNICODE_CI_AI")
+    try:
+        assert rows(sinks.insert_missing(named.select("n").where("v < 16"), have, ["n"])) == [("cafe ",)]
+        assert rows(named.where(text.same_name(F.col("n"), "cafè")).select("v")) == [(1,), (2,), (8,)]
+        assert rows(named.where(text.name_holds(F.col("n"), "ÁF")).select("v")) == [(1,), (2,), (4,), (8,), (32,)]
+    finally:
+        spark.conf.unset("spark.ledgerloom.nameCollation")
+
+
 def test_names_in_two_spellings_count_together(spark):
     assert rows(reports.distinct_values(frame(spark, "n string, k int", ("b", 1), ("B", 1), ("a", 1), (None, 1)), "n")) == [(None,), ("B",), ("a",)]
     named = frame(spark, "n string, v int", ("Shop", 1), ("SHOP", 2), (None, 4))
