@@ -40,10 +40,10 @@ def latest(log: DataFrame) -> DataFrame:
 def unseen_since(log: DataFrame, proc: str, bank_id: int | None) -> datetime | None:
     """From when on the last good run of a job may have missed what others added; None if it never ended well.
 
-    That is its own start, or the start of a load of the same bank that was still under way then: its rows bear an earlier
-    time than the one at which they came to be seen.
+    That is its own start, or the start of a load (of the same bank, if one is given) that was still under way then: its
+    rows bear an earlier time than the one at which they came to be seen.
     """
-    runs = latest(log).where(F.col("BANK_ID") == bank_id)
+    runs = latest(log) if bank_id is None else latest(log).where(F.col("BANK_ID") == bank_id)
     good = runs.where((F.col("PROC_NAME") == proc) & (F.col("STATUS") == "SUCCESS"))
     seen = good.agg(F.max("START_TIME")).first()[0]
     if seen is None:

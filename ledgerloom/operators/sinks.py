@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.functions.text import fold
-from ledgerloom.schemas import MONTH, TABLES, Table
+from ledgerloom.schemas import MONTH, TABLES, Table, table_of
 from ledgerloom.session import delete, folders, stage
 
 
@@ -117,7 +117,7 @@ class Warehouse:
         place = f" LOCATION '{location}'" if location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{place}")
         for name in names or TABLES:
-            table = TABLES[name]
+            table = table_of(name)
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
             columns += f", {MONTH} int" if table.month_of else ""
             parts = f" PARTITIONED BY ({', '.join(table.stored_by)})" if table.stored_by else ""
@@ -126,7 +126,7 @@ class Warehouse:
     def read(self, name: str, months: list[int] | None = None) -> DataFrame:
         """The declared columns; of the months given, if any, only their partitions are read."""
         rows = self.spark.table(self.name(name))
-        return (rows if months is None else rows.where(F.col(MONTH).isin(months))).select(*TABLES[name].columns)
+        return (rows if months is None else rows.where(F.col(MONTH).isin(months))).select(*table_of(name).columns)
 
     def months(self, name: str, condition: Column) -> list[int]:
         """Months, in order, of the rows that meet a condition."""
@@ -137,7 +137,7 @@ class Warehouse:
         self._ready(name, rows).write.insertInto(self.name(name))
 
     def overwrite_partition(self, name: str, rows: DataFrame, months: list[int] | None = None, **partition: int) -> None:
-        """Replace one partition by ``rows``, or only some of its months, which must be those of the rows.
+        """Replace one partition (or the table, if none is named) by ``rows``, or only some of its months, those of the rows.
 
         They are written to a new folder first, and each month's partition then points there in one step: a failure on the
         way leaves months as they were or as they shall be, and the same call can be made again.  A month without rows goes.
@@ -161,8 +161,8 @@ class Warehouse:
         self._moved(name, *old)
 
     def _months_held(self, name: str, of: dict[str, int]) -> set[int]:
-        where = ", ".join(f"{k} = {v}" for k, v in of.items())
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(name)} PARTITION ({where})").collect()
+        where = f" PARTITION ({', '.join(f'{k} = {v}' for k, v in of.items())})" if of else ""
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(name)}{where}").collect()
         return {int(r[0].rsplit("=", 1)[1]) for r in listed}
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
@@ -193,15 +193,15 @@ class Warehouse:
 
     def _monthly(self, name: str, rows: DataFrame) -> DataFrame:
         """Columns in stored order, the month worked out from the date."""
-        date = TABLES[name].month_of
+        date = table_of(name).month_of
         made = rows.withColumn(MONTH, month_number(date)) if date else rows
         return made.select(*self.spark.table(self.name(name)).columns)
 
     def _ready(self, name: str, rows: DataFrame) -> DataFrame:
         """Columns in stored order, spread so that one hot partition is written by many tasks."""
-        stored, parts = self._monthly(name, rows), TABLES[name].stored_by
+        stored, parts = self._monthly(name, rows), table_of(name).stored_by
         return self._dated(name, stored.hint("rebalance", *parts), *parts) if parts else stored
 
     def _dated(self, name: str, rows: DataFrame, *parts: str) -> DataFrame:
         """Rows of each file by date, so that a filter on the date skips row groups."""
-        return rows.sortWithinPartitions(*parts, "TRANSACTION_DATE") if "TRANSACTION_DATE" in TABLES[name].columns else rows
+        return rows.sortWithinPartitions(*parts, "TRANSACTION_DATE") if "TRANSACTION_DATE" in table_of(name).columns else rows

@@ -14,7 +14,8 @@ from ledgerloom.operators.bank_rules import BANKS
 from ledgerloom.operators.mining import bank_id_of, enrich
 from ledgerloom.operators.quality import longest_breach
 from ledgerloom.operators.sinks import Warehouse, cascade_delete, month_number, untouched
-from ledgerloom.schemas import MONTH, REPORTING
+from ledgerloom.plans import reports
+from ledgerloom.schemas import MONTH, MONTHLY_SUMS, REPORTING
 from ledgerloom.session import stage, staging_scope
 
 
@@ -142,6 +143,29 @@ class Ledger:
         except Exception:
             return None
 
+    def summarize(self, whole: bool = False) -> int:
+        """Bring the stored monthly sums up to date and return how many were written.
+
+        Only months that got facts since the last summary that ended well are summed again, from their own partitions, so the
+        work follows what came in, and a summary that failed is simply made again.  ``whole`` sums all months, as is needed
+        after facts were removed.
+        """
+        since = None if whole else audit.unseen_since(self.store.read("ETL_LOG"), "summarize", None)
+        with self._logged("summarize") as outcome:
+            self.store.create(MONTHLY_SUMS.name)
+            months = None
+            if since is not None:
+                months = self.store.months("TRANSACTIONS", F.col("ADDED_DATETIME") >= F.lit(since).cast("timestamp_ntz"))
+            if months != []:
+                sums = stage(reports.monthly_sums(self.store.read("TRANSACTIONS", months)), "monthly-sums")
+                self.store.overwrite_partition(MONTHLY_SUMS.name, sums, months)
+                outcome["rows"] = sums.count()
+        return outcome["rows"]
+
+    def monthly_summary(self, **options) -> DataFrame:
+        """The monthly summary as of the last ``summarize``; it reads the sums, not the facts."""
+        return reports.summary_of_sums(self.store.read(MONTHLY_SUMS.name), **options)
+
     def onboard(self, applicants: DataFrame, key: str, results_path: str | None = None, **options) -> int:
         """Onboard a frame of applicants and return the number of new dimension rows.
 

@@ -88,6 +88,17 @@ def monthly_summary(transactions, income_code: str = "CDT", threshold: str = "0.
     )
 
 
+def monthly_sums(transactions) -> DataFrame:
+    """Amount and number of rows per month and type, from which the summary of any income code can be told."""
+    start = F.date_trunc("month", "TRANSACTION_DATE").cast("timestamp_ntz")
+    return transactions.groupBy(start.alias("MONTH_START"), "TRANSACTION_TYPE").agg(total().alias("AMOUNT"), F.count(F.lit(1)).alias("CNT"))
+
+
+def summary_of_sums(sums, **options) -> DataFrame:
+    """The monthly summary from stored sums."""
+    return monthly_summary(sums.withColumnsRenamed({"MONTH_START": "TRANSACTION_DATE", "AMOUNT": "TRANSACTION_AMOUNT"}), **options)
+
+
 def monthly_summary_view(transactions, name: str = "VW_MONTHLY_SUMMARY", **options) -> DataFrame:
     view = monthly_summary(transactions, **options)
     view.createOrReplaceTempView(name)

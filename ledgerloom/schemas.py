@@ -15,6 +15,7 @@ _TYPES = {
     "long": T.LongType(),
     "flag": T.IntegerType(),
     "money": T.DecimalType(19, 4),
+    "total": T.DecimalType(38, 4),
     "rate": T.DecimalType(10, 6),
     "datetime": T.TimestampNTZType(),
     "secret": T.BinaryType(),
@@ -178,4 +179,17 @@ TABLES = {
     )
 }
 
+# Sums worked out from the facts, month by month; no table of its own right, so it is not among TABLES.
+MONTHLY_SUMS = _table(
+    "MONTHLY_SUMS",
+    "MONTH_START datetime!, TRANSACTION_TYPE text(10)!, AMOUNT total, CNT long!",
+    key=["MONTH_START", "TRANSACTION_TYPE"],
+    month_of="MONTH_START",
+)
+
+
+def table_of(name: str) -> Table:
+    return MONTHLY_SUMS if name == MONTHLY_SUMS.name else TABLES[name]
+
+
 OPEN_END = "9999-12-31 23:59:59"

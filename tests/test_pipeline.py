@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import audit, profile
 from ledgerloom.operators.sinks import Warehouse
+from ledgerloom.plans import reports
 from ledgerloom.plans.pipeline import Ledger
 from ledgerloom.schemas import BANKS, LANDING, TABLES
 from ledgerloom.session import staging_root
@@ -129,6 +131,31 @@ def test_refresh_of_changed_months_only(spark, ledger):
     assert _mined(store) == partly and len(partly) == len(set(partly))
 
 
+def test_summary_is_kept_up_to_date_by_month(spark):
+    store = Warehouse(spark, "ledger_sums")
+    store.create("TRANSACTIONS", "ETL_LOG")
+    clock = Clock()
+    ledger = Ledger(store, clock)
+    told = lambda df: sorted(map(tuple, df.collect()))
+
+    def add(*facts):
+        given = [dict(zip(TABLES["TRANSACTIONS"].columns, [i, d, None, kind, Decimal(amount), "x", *[None] * 7, 1, 1, bank, 1, 1, "u", clock()])) for i, d, kind, amount, bank in facts]
+        store.append("TRANSACTIONS", spark.createDataFrame([tuple(f.values()) for f in given], TABLES["TRANSACTIONS"].schema))
+
+    assert ledger.summarize() == 0 and told(ledger.monthly_summary()) == []
+    for n in range(5):
+        add(*[(10 * n + i, datetime(2025, 1 + (n * i) % 4, 3 + n), "DBT" if i % 3 else "CDT", f"{n + 1}.{i}", 1 + i % 2) for i in range(6)])
+        before = _files(spark, store.name("MONTHLY_SUMS"), "true")
+        ledger.summarize()
+        assert told(ledger.monthly_summary()) == told(reports.monthly_summary(store.read("TRANSACTIONS")))
+        touched = {202500 + 1 + (n * i) % 4 for i in range(6)}
+        after = _files(spark, store.name("MONTHLY_SUMS"), "true")
+        assert {m for m, _ in after - before} == touched and {f for f in before if f[0] not in touched} <= after
+    assert ledger.summarize() == 0 and told(ledger.monthly_summary(income_code="CRD")) == told(reports.monthly_summary(store.read("TRANSACTIONS"), income_code="CRD"))
+    store.truncate("TRANSACTIONS")
+    assert ledger.summarize(whole=True) == 0 and told(ledger.monthly_summary()) == []
+
+
 def test_load_open_during_a_refresh_is_seen_by_the_next(spark):
     day = lambda h: datetime(2025, 5, 1, h)
     run = lambda i, proc, start, end, bank=1: dict(LOG_ID=i, PROC_NAME=proc, BANK_ID=bank, START_TIME=day(start), END_TIME=end and day(end), ROWS_PROCESSED=1, STATUS="SUCCESS" if end else "STARTED", ERROR_MSG=None)
