@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import random
 from datetime import datetime
 
@@ -181,3 +183,17 @@ def test_over_long_applicant_is_found_again(spark):
     one = onboard(given, *none, "key", NOW)
     two = onboard(given, one.new_addresses, one.new_members, one.new_banks, one.new_cards, "key", NOW)
     assert [df.count() for df in (two.new_addresses, two.new_members, two.new_banks, two.new_cards)] == [0, 0, 0, 0]
+
+
+@pytest.mark.parametrize("mode", [GCM, ECB])
+def test_no_plan_holds_the_key(spark, mode, capsys):
+    key = "sixteen letters!"
+    held = folded_key(key) if mode == ECB else hashlib.sha256(key.encode()).digest()
+    df = spark.createDataFrame([("4000",)], "v string").select(encrypt(F.col("v"), key, mode).alias("v"))
+    opened = df.select(decrypt(F.col("v"), key, mode).alias("v"))
+    assert opened.collect() == [("4000",)]
+    for frame in (df, opened):
+        frame.explain(True)
+        text = capsys.readouterr().out + frame._jdf.queryExecution().toString()
+        spelt = [key, held.hex(), held.hex().upper(), " ".join(f"{b:02X}" for b in held), str(list(held)), base64.b64encode(held).decode()]
+        assert text and not any(x in text for x in spelt)
