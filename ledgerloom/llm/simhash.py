@@ -17,7 +17,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerloom.llm import near_copies
 from ledgerloom.llm.common import numbered, partitions, sent
 from ledgerloom.llm.components import connected
 from ledgerloom.session import stage
@@ -310,16 +309,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "simhash") -> DataFrame:
-    """The document with the smallest id (nulls last, then the first stored row) of each group of near copies, all columns.
+    """The document with the smallest id (nulls last, then the first stored row) of each group of ``near_duplicates``, all columns.
 
-    Near copies are those of ``near_copies``: five-word shingles and a similarity of 0.8 or more, not the three words and
-    three bits of ``near_duplicates``.
+    Shingle length and bit distance are those of the operator; nothing is checked beside the distance.  Documents without a
+    word are one group.  Columns of any name are carried along; no documents: no rows.
     """
-    made = numbered(docs, f"{label}-docs", _near=near_copies.marks(F.col(text)))
-    rows = made.select("_row", F.col("doc").getField(doc_id).alias("doc_id"), F.col("_near.digest").alias("digest"))
+    made = numbered(docs, f"{label}-docs", _fp=fingerprints(F.col(text)))
+    rows = made.select("_row", F.col("doc").getField(doc_id).alias("doc_id"), F.col("_fp").alias("fp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    by_text = stage(rows.groupBy("digest").agg(F.min("_row").alias("node"), first.alias("first")).drop("digest"), f"{label}-texts")
-    texts = made.select(F.col("_row").alias("node"), F.col("_near.keys").alias("keys"), F.col("doc").getField(text).alias("text"))
-    found = near_copies.components(texts.join(by_text.select("node"), "node", "left_semi"), label)
-    by_group = by_text.join(found, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    return made.join(by_group.select(F.col("first._row").alias("_row")), "_row", "left_semi").select("doc.*")
+    by_fp = stage(rows.groupBy("fp").agg(first.alias("first")), f"{label}-firsts")
+    kept = by_fp.join(components(by_fp, label=label), "fp").groupBy("component").agg(F.min("first").alias("first"))
+    return made.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").select("doc.*")
