@@ -34,7 +34,7 @@ from ledgerloom.llm.common import carried, packed, unpacked
 from ledgerloom.session import stage
 
 BLOCK_BYTES = 4 << 20  # text of one block; a longer document is a block of its own and is read in slices
-BUCKET_BYTES = 16 << 20  # keys of one suffix bucket
+BUCKET_BYTES = 8 << 20  # keys of one suffix bucket
 SAMPLE_KEY = 6  # bytes of a sample's key beyond its bucket's bits; equal keys of different samples only cost a sort
 HEAVY_BYTES = BLOCK_BYTES // 4  # copies of one text that hold more than this are spread over all blocks
 SLICE = 1 << 18
@@ -194,13 +194,16 @@ def _sample_keys(w: Window, block: pa.Table, bits: int) -> pa.Table:
 
 def _ties(bucket: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All keys of a bucket in the order they came, where each row starts, and which keys are tied."""
-    blobs = bucket.column("keys").to_pylist()
-    keys = np.concatenate([_unpacked(x) for x in blobs])
-    starts = np.cumsum([0, *(len(x) // 8 for x in blobs)])
-    tied = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k) // 8) for x, k in zip(bucket.column("again").to_pylist(), blobs)]).astype(bool)
+    told, marks = bucket.column("keys"), bucket.column("again")
+    starts = np.cumsum([0, *(len(x.as_buffer()) // 8 for x in told)])
+    keys, tied = np.empty(starts[-1], np.uint64), np.empty(starts[-1], bool)
+    for start, end, own, mark in zip(starts, starts[1:], told, marks):
+        keys[start:end] = _unpacked(own.as_buffer())
+        tied[start:end] = np.unpackbits(np.frombuffer(mark.as_buffer(), np.uint8), count=end - start)
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
     same = ranked[1:] == ranked[:-1]
+    del ranked
     tied[order[1:][same]] = True
     tied[order[:-1][same]] = True
     return keys, starts, tied
