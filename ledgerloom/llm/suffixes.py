@@ -243,33 +243,39 @@ def _long_ties(w: Window, data: np.ndarray, tied: np.ndarray, bits: int) -> Iter
         yield at + where, one.at(one.sums(part), where, w.size), two.at(two.sums(part), where, w.size)
 
 
-def _window_keys(w: Window, block: pa.Table, answers: pa.Table, sample_bits: int) -> tuple[list, np.ndarray, np.ndarray]:
-    """For a block: (document, offsets) of its long ties in turn, and both digests of them all."""
+def _window_keys(w: Window, block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> tuple[list, np.ndarray, np.ndarray]:
+    """For a block: (document, offsets) of its long ties in turn, and digest and bucket of their windows.
+
+    A block can be all ties, so what is held for each of them is kept small: the second digest only as its bucket.
+    """
     told = [x for x, b in zip(answers.column("told").to_pylist(), answers.column("bucket").to_pylist()) if b < 0]
     tied = np.unique(np.concatenate([np.empty(0, np.uint64), *map(_unpacked, told)]))
-    places, ones, twos = [], [], []
+    places, ones, buckets = [], [np.empty(0, np.uint64)], [np.empty(0, np.int32)]
     for i, data in enumerate(_documents(block)):
         for where, one, two in _long_ties(w, data, tied, sample_bits):
             places.append((i, where))
             ones.append(one)
-            twos.append(two)
-    none = np.empty(0, np.uint64)
-    return places, np.concatenate([none, *ones]), np.concatenate([none, *twos])
+            buckets.append(_top(two, bits).astype(np.int32))
+    return places, np.concatenate(ones), np.concatenate(buckets)
 
 
 def _sorted(one: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by bucket, then by key, and for each place in it the number of its distinct pair."""
     order = np.lexsort((one, bucket))
     new = np.ones(len(order), bool)
-    new[1:] = (one[order[1:]] != one[order[:-1]]) | (bucket[order[1:]] != bucket[order[:-1]])
-    return order, np.cumsum(new) - 1
+    for values in (one, bucket):
+        ranked = values[order]
+        differ = ranked[1:] != ranked[:-1]
+        new[1:] = differ if values is one else new[1:] | differ
+    group = np.cumsum(new, dtype=np.int32)
+    group -= 1
+    return order, group
 
 
 def _suffix_keys(w: Window, block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.Table:
     if not block.num_rows:
         return _dealt(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool), 0, bits)
-    _, one, two = _window_keys(w, block, answers, sample_bits)
-    bucket = _top(two, bits)
+    one, bucket = _window_keys(w, block, answers, sample_bits, bits)[1:]
     order, group = _sorted(one, bucket)
     sizes = np.bincount(group)
     first = order[np.cumsum(sizes) - sizes] if len(sizes) else order
@@ -283,8 +289,7 @@ def _spans(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cut(w: Window, block: pa.Table, answers: pa.Table, sample_bits: int, bits: int) -> pa.Table:
-    places, one, two = _window_keys(w, block, answers, sample_bits)
-    bucket = _top(two, bits)
+    places, one, bucket = _window_keys(w, block, answers, sample_bits, bits)
     order, group = _sorted(one, bucket)
     told = {b: t for b, t in zip(answers.column("bucket").to_pylist(), answers.column("told").to_pylist()) if b >= 0}
     repeated = np.zeros(len(one), bool)
