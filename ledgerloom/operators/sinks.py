@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from ledgerloom.functions.text import fold
 from ledgerloom.schemas import MONTH, TABLES, Table, table_of
@@ -40,6 +40,17 @@ def untouched(rows: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     return target.join(rows.select(*key), key, "left_anti").select(*target.columns)
 
 
+def untouched_counted(rows: DataFrame, target: DataFrame, key: list[str]) -> tuple[DataFrame, Observation]:
+    """``untouched``, and how many target rows are ``replaced``, known once the rows have been written.
+
+    Keys are unique on both sides.  The count is taken behind the join, in the tasks that write, so it costs no job and no
+    further shuffle.
+    """
+    seen = Observation()
+    hits = target.join(rows.select(*key, F.lit(True).alias("_HIT")), key, "left").observe(seen, F.count("_HIT").alias("replaced"))
+    return hits.where("_HIT IS NULL").select(*target.columns), seen
+
+
 def replace_into(rows: DataFrame, target: DataFrame, key: list[str], table: Table | None = None) -> DataFrame:
     """Whole-row upsert by key.  Columns the source does not give fall back to NULL, other rows stay."""
     kept = untouched(rows, target, key)

@@ -7,16 +7,16 @@ from contextlib import contextmanager
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ledgerloom.operators import audit, loaders, onboarding
 from ledgerloom.operators.bank_rules import BANKS
 from ledgerloom.operators.mining import bank_id_of, enrich
 from ledgerloom.operators.quality import longest_breach
-from ledgerloom.operators.sinks import Warehouse, cascade_delete, month_number, untouched
+from ledgerloom.operators.sinks import Warehouse, cascade_delete, month_number, untouched, untouched_counted
 from ledgerloom.plans import reports
-from ledgerloom.schemas import MONTH, MONTHLY_SUMS, REPORTING
-from ledgerloom.session import stage, staging_scope
+from ledgerloom.schemas import MONTH, MONTHLY_SUMS, REPORTING, RUN_COUNTS
+from ledgerloom.session import counted, stage, staging_scope
 
 
 def refreshed(
@@ -34,18 +34,24 @@ class Ledger:
     """Jobs that write.  Everything is computed and staged before the first table is touched.
 
     Each job can be run again after a failure: names and ids that made it into
-    the tables are found there, and the rest is added.
+    the tables are found there, and the rest is added.  ``keep_counts`` adds a
+    table with the rows that each run inserted, replaced and rejected.
     """
 
-    def __init__(self, warehouse: Warehouse, clock: Callable[[], datetime] = datetime.now):
-        self.store, self.clock = warehouse, clock
+    def __init__(self, warehouse: Warehouse, clock: Callable[[], datetime] = datetime.now, keep_counts: bool = False):
+        self.store, self.clock, self.keep_counts = warehouse, clock, keep_counts
+        if keep_counts:
+            warehouse.create(RUN_COUNTS.name)
 
     def _write_log(self, entry: dict) -> None:
         self.store.append("ETL_LOG", audit.log_frame(self.store.spark, [entry]))
 
     @contextmanager
     def _logged(self, proc: str, bank_id: int | None = None) -> Iterator[dict]:
-        """A STARTED row before the work; SUCCESS with ``rows`` or FAILED with the message after it."""
+        """A STARTED row before the work; SUCCESS with ``rows`` or FAILED with the message after it.
+
+        What the work names as ``inserted``, ``replaced`` or ``rejected`` is kept under the same log id.
+        """
         entry = audit.log_row(self.store.read("ETL_LOG"), proc, bank_id, self.clock())
         self._write_log(entry)
         outcome = {"rows": 0}
@@ -56,6 +62,19 @@ class Ledger:
             self._write_log(audit.finished(entry, self.clock(), error=str(error)))
             raise
         self._write_log(audit.finished(entry, self.clock(), rows=outcome["rows"]))
+        if self.keep_counts:
+            self._write_counts(entry["LOG_ID"], outcome)
+
+    def _write_counts(self, log_id: int, outcome: dict) -> None:
+        row = (log_id, *(outcome.get(k) for k in ("inserted", "replaced", "rejected")))
+        self.store.append(RUN_COUNTS.name, self.store.spark.createDataFrame([row], RUN_COUNTS.schema))
+
+    def runs(self) -> DataFrame:
+        """The latest state of every run, with rows inserted, replaced and rejected where the job worked them out.
+
+        It needs the table of ``keep_counts``; a run that failed, or was made without it, has nulls.
+        """
+        return audit.latest(self.store.read("ETL_LOG")).join(self.store.read(RUN_COUNTS.name), "LOG_ID", "left")
 
     def dimensions(self) -> loaders.Dimensions:
         read = self.store.read
@@ -79,18 +98,22 @@ class Ledger:
                 bank, landing, dims, self.store.read("TRANSACTIONS"), user_name, bank_name, card_last4,
                 self.clock(), owner=owner, **options,
             )
-            facts = stage(result.transactions, "new-facts")
-            outcome["rows"] = facts.count()
+            facts, seen = counted(result.transactions, "new-facts")
+            outcome["rows"] = outcome["inserted"] = seen["rows"]
             if rejects_path is not None:
-                result.rejects.write.parquet(rejects_path)
+                seen = Observation()
+                result.rejects.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(rejects_path)
+                outcome["rejected"] = seen.get["rows"]
             self.store.append("MCC_CATEGORY", result.new_categories)
             self.store.append("MCC_SUB_CATEGORY", result.new_sub_categories)
             self.store.append("TRANSACTIONS", facts)
         return outcome["rows"]
 
-    def refresh_bank(self, bank: str, since: datetime | None = None) -> int:
+    def refresh_bank(self, bank: str, since: datetime | None = None) -> dict[str, int]:
         """Replace one bank's reporting rows, or only those of the months that got facts at ``since`` or later.
 
+        Returns how many ``rows`` were written, and how many of them were ``inserted`` and ``replaced``.
+
         Facts are read, and reporting rows rewritten, by month; the others stay as they were, files and all.  A text over its
         length fails the bank as a whole.
         """
@@ -99,8 +122,8 @@ class Ledger:
         if since is not None:
             months = self.store.months("TRANSACTIONS", own & (F.col("ADDED_DATETIME") >= F.lit(since).cast("timestamp_ntz")))
             if not months:
-                return 0
-        rows = stage(
+                return {"rows": 0, "inserted": 0, "replaced": 0}
+        rows, seen = counted(
             enrich(
                 bank, self.store.read("TRANSACTIONS", months), self.store.read("MCC_CATEGORY"),
                 self.store.read("MCC_SUB_CATEGORY"), bank_id, self.clock(),
@@ -112,9 +135,11 @@ class Ledger:
             raise ValueError(f"{bank}: data too long for {breach}")
         # A fact keeps its bank and date, so only this bank's partitions of these months can hold its keys.
         stored = self.store.read("TRANSACTION_REPORTING", months).where(own)
-        kept = stage(untouched(rows, stored, key), "reporting-kept")
+        others, hits = untouched_counted(rows, stored, key)
+        kept = stage(others, "reporting-kept")
         self.store.overwrite_partition("TRANSACTION_REPORTING", rows.unionByName(kept), months, BANK_ID=bank_id)
-        return rows.count()
+        replaced = hits.get["replaced"]
+        return {"rows": seen["rows"], "inserted": seen["rows"] - replaced, "replaced": replaced}
 
     def refresh(self, banks: list[str] | None = None, changed_only: bool = False) -> dict[str, str]:
         """Refresh the banks in order; one that fails is logged and the rest still run.
@@ -129,7 +154,7 @@ class Ledger:
             since = audit.unseen_since(self.store.read("ETL_LOG"), f"refresh_{bank.lower()}", bank_id) if changed_only else None
             try:
                 with self._logged(f"refresh_{bank.lower()}", bank_id) as outcome:
-                    outcome["rows"] = self.refresh_bank(bank, since)
+                    outcome |= self.refresh_bank(bank, since)
                 states[bank] = "SUCCESS"
             except Exception:
                 states[bank] = "FAILED"
@@ -157,9 +182,9 @@ class Ledger:
             if since is not None:
                 months = self.store.months("TRANSACTIONS", F.col("ADDED_DATETIME") >= F.lit(since).cast("timestamp_ntz"))
             if months != []:
-                sums = stage(reports.monthly_sums(self.store.read("TRANSACTIONS", months)), "monthly-sums")
+                sums, seen = counted(reports.monthly_sums(self.store.read("TRANSACTIONS", months)), "monthly-sums")
                 self.store.overwrite_partition(MONTHLY_SUMS.name, sums, months)
-                outcome["rows"] = sums.count()
+                outcome["rows"] = seen["rows"]
         return outcome["rows"]
 
     def monthly_summary(self, **options) -> DataFrame:
@@ -179,8 +204,11 @@ class Ledger:
             created = {
                 "MEMBER_ADDRESS": result.new_addresses, "BANKS": result.new_banks, "CARDS": result.new_cards,
             }
-            staged = {name: stage(df, name.lower()) for name, df in created.items()}
-            outcome["rows"] = result.new_members.count() + sum(df.count() for df in staged.values())
+            staged, made = {}, result.new_members.count()
+            for name, df in created.items():
+                staged[name], seen = counted(df, name.lower())
+                made += seen["rows"]
+            outcome["rows"] = outcome["inserted"] = made
             if results_path is not None:
                 result.results.write.parquet(results_path)
             members = stage(onboarding.members_after(read("MEMBERS"), result, now), "members")

@@ -187,9 +187,12 @@ MONTHLY_SUMS = _table(
     month_of="MONTH_START",
 )
 
+# What a job did to its table, beside the log row of the same id; a figure the job does not work out is null.
+RUN_COUNTS = _table("RUN_COUNTS", "LOG_ID long!, INSERTED long, REPLACED long, REJECTED long", key=["LOG_ID"])
+
 
 def table_of(name: str) -> Table:
-    return MONTHLY_SUMS if name == MONTHLY_SUMS.name else TABLES[name]
+    return {MONTHLY_SUMS.name: MONTHLY_SUMS, RUN_COUNTS.name: RUN_COUNTS}.get(name) or TABLES[name]
 
 
 OPEN_END = "9999-12-31 23:59:59"

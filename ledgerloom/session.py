@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 # Settings that matter for these jobs on any cluster; sizes are left to the cluster.
 SETTINGS = {
@@ -71,6 +71,18 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict]:
+    """``stage`` with aggregates of the rows, their number as ``rows`` if none is named, gathered as they are written.
+
+    No second job reads the rows.  The figures belong to the tasks that write, and a write task that is run again counts
+    once, so they hold when an executor is lost.
+    """
+    seen = Observation()
+    wanted = figures or {"rows": F.count(F.lit(1))}
+    staged = stage(df.observe(seen, *(c.alias(n) for n, c in wanted.items())), label)
+    return staged, seen.get
+
+
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
     """Remove the tables staged inside the block when it ends well.

@@ -62,6 +62,29 @@ def state(ledger, proc):
     return [(r["STATUS"], r["ROWS_PROCESSED"]) for r in rows]
 
 
+def done(ledger, proc):
+    rows = ledger.runs().where(F.col("PROC_NAME") == proc).orderBy("LOG_ID").collect()
+    return [(r["INSERTED"], r["REPLACED"], r["REJECTED"]) for r in rows]
+
+
+def test_counts_of_runs(spark, tmp_path):
+    store = Warehouse(spark, "ledger_counts")
+    store.create()
+    ledger = Ledger(store, Clock(), keep_counts=True)
+    person = applicant(1, "Ann", "Lee", "1 Oak", "Axis Bank", "4000111122221111")
+    ledger.onboard(spark.createDataFrame([tuple(person[c] for c in APPLICANTS.columns)], APPLICANTS.schema), "key")
+    ledger.load("AXIS", axis_rows(spark), "Ann", "Axis Bank", "1111", rejects_path=str(tmp_path / "rejects"))
+    ledger.refresh(["AXIS", "CITI"])
+    late = [{"TRANSACTION_DATE": d, "DEBIT": "8", "STATEMENT_DESC": "UPI/P2M/1/SHOP/2"} for d in ("11-01-2025", "02-04-2025")]
+    ledger.load("AXIS", statement(spark, *late), "Ann", "Axis Bank", "1111")
+    ledger.refresh(["AXIS"], changed_only=True)
+    ledger.refresh(["AXIS"], changed_only=True)
+    assert done(ledger, "onboard_members") == [(4, None, None)]
+    assert done(ledger, "load_axis") == [(2, None, 1), (2, None, None)]
+    assert done(ledger, "refresh_axis") == [(2, 0, None), (2, 2, None), (0, 0, None)]  # January holds two earlier facts as well
+    assert done(ledger, "refresh_citi") == [(None, None, None)]
+
+
 def test_load_refresh_and_repeat(spark, ledger, tmp_path):
     store, rejects = ledger.store, str(tmp_path / "rejects")
     before = staged_tables(spark)

@@ -16,6 +16,7 @@ from ledgerloom.functions import text
 from ledgerloom.operators import audit, legacy, profile, quality, sinks
 from ledgerloom.plans import reports
 from ledgerloom.schemas import CATEGORY, ETL_LOG, LANDING, SUB_CATEGORY, TABLES, TRANSACTIONS
+from ledgerloom.session import counted, stage
 from ledgerloom.sources import landing as source
 
 NOW = datetime(2025, 1, 1)
@@ -276,3 +277,20 @@ def test_month_with_no_income_is_overspent(spark):
     assert (income_only["BUDGET_STATUS"], income_only["NET_SAVINGS"]) == ("WITHIN BUDGET", Decimal("100"))
     literal = reports.monthly_summary(table, income_code="CRD").first()
     assert (literal["TOTAL_INCOME"], literal["BUDGET_STATUS"]) == (0, "OVERSPENT")
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_rows_are_counted_as_they_are_written(spark, n):
+    rows = spark.range(n).withColumn("v", F.col("id") % 7)
+    staged, seen = counted(rows, "counted", rows=F.count(F.lit(1)), most=F.max("v"))
+    assert seen == {"rows": n, "most": min(n - 1, 6) if n else None} and staged.count() == n
+    assert counted(rows.where("id < 0"), "counted")[1] == {"rows": 0}
+
+
+@pytest.mark.parametrize("new, old, replaced", [((), (), 0), ((1, 2), (), 0), ((), (1, 2), 0), ((2, 3, 9), (1, 2, 3), 2)])
+def test_replaced_rows_are_counted_on_the_way(spark, new, old, replaced):
+    batch = spark.createDataFrame([(i, "n") for i in new], "id long, v string")
+    target = spark.createDataFrame([(i, "o") for i in old] + [(None, "o")], "id long, v string")
+    kept, seen = sinks.untouched_counted(batch, target, ["id"])
+    assert sorted(stage(kept, "kept").collect(), key=str) == sorted(sinks.untouched(batch, target, ["id"]).collect(), key=str)
+    assert seen.get == {"replaced": replaced}
