@@ -8,10 +8,11 @@ dealt to shards of the n-gram tables, and each block gets its probabilities back
 
 from __future__ import annotations
 
-from collections import Counter
+import re
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,6 +25,10 @@ QUANTILE = 0.99  # of the trusted documents of a language
 MARGIN = 0.3  # nats a character above that quantile up to which a document passes
 SLACK = 3.0  # a document of n characters may exceed the quantile by SLACK / sqrt(n) nats for each character
 LEAST_DOCS = 50  # trusted documents that a language needs for a quantile of its own
+SPLIT_BYTES = 1 << 20  # of a text that are cut into words at once
+TABLE = 1 << 24  # keys are ranked by a table of as many places at most, by sorting beyond
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+FOUND = {"doc_id": pa.int64(), "lang": pa.string(), "n_words": pa.int64(), "n_symbols": pa.int64(), "logp": pa.float64()}
 
 
 def padded(word: str) -> str:
@@ -44,50 +49,94 @@ def _dealt(docs: DataFrame, doc_id: str, text: str, lang: str, blocks: int) -> D
     return packed(docs.select(doc.alias("doc"), F.col(f"`{text}`").cast("binary").alias("data"), F.pmod(own, F.lit(blocks)).alias("block")))
 
 
-def _documents(block: pa.Table) -> Iterator[tuple]:
-    """Id, language and words of each document of a block."""
-    for doc, text in zip(carried(block).to_pylist(), unpacked(block)):
-        yield doc["id"], doc["lang"], bytes(text).split()
-
-
-def _gram_counts(block: pa.Table, trusted: pa.Table) -> pa.Table:
-    """N-grams of a block's trusted documents with their counts."""
-    good = set(trusted.column("id").to_pylist())
-    words: dict[str, Counter] = {}
-    if good:
-        for doc_id, lang, own in _documents(block):
-            if doc_id in good:
-                words.setdefault(lang, Counter()).update(own)
-    langs, found, counts = [], [], []
-    for lang, seen in words.items():
-        total: Counter = Counter()
-        for word, n in seen.items():
-            for gram in grams(word.decode()):
-                total[gram] += n
-        langs += [lang] * len(total)
-        found += total
-        counts += total.values()
-    return pa.table({"lang": pa.array(langs, pa.string()), "gram": pa.array(found, pa.string()), "c": pa.array(counts, pa.int64())})
-
-
-def _requests(block: pa.Table, shards: int) -> pa.Table:
-    """Distinct n-grams of a block by language, dealt to shards."""
-    words: dict[str, set] = {}
-    for _, lang, own in _documents(block):
-        words.setdefault(lang, set()).update(own)
-    rows = {"block": [], "lang": [], "shard": [], "grams": []}
-    number = block.column("block")[0].as_py()
-    for lang, seen in words.items():
-        dealt: list[list[str]] = [[] for _ in range(shards)]
-        for gram in sorted({g for w in seen for g in grams(w.decode())}):
-            dealt[shard_of(gram, shards)].append(gram)
-        for shard, own in enumerate(dealt):
-            if own:
+class Words:
+    """The documents of a block by language: their distinct words, and the distinct n-grams of these, as numbers.
+
+    Texts are cut into words some SPLIT_BYTES at a time, so a long one is held as packed bytes, not as so many objects.
+    """
+
+    def __init__(self, block: pa.Table):
+        self.docs = carried(block).to_pylist()
+        pieces: dict[str, list] = {}
+        self.sizes = np.zeros(len(self.docs), np.int64)
+        for i, (doc, text) in enumerate(zip(self.docs, unpacked(block))):
+            for words in _split(text):
+                pieces.setdefault(doc["lang"], []).append(pa.array(words, pa.binary()))
+                self.sizes[i] += len(words)
+        self.langs = {lang: Distinct(own) for lang, own in sorted(pieces.items())}
+
+    def of(self, lang: str) -> np.ndarray:
+        """Numbers of the documents of a language, in turn, as its words are."""
+        return np.flatnonzero([d["lang"] == lang for d in self.docs])
+
+
+def _split(text: memoryview) -> Iterator[list[bytes]]:
+    data, at = bytes(text), 0
+    while at < len(data):
+        gap = BLANK.search(data, at + SPLIT_BYTES)
+        end = gap.end() if gap else len(data)
+        yield data[at:end].split()
+        at = end
+
+
+def _ranked(keys: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and each key's place among them; keys are below ``bound``."""
+    if bound > TABLE:
+        return np.unique(keys, return_inverse=True)
+    seen = np.zeros(bound, bool)
+    seen[keys] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[keys]
+
+
+class Distinct:
+    """Words of one language: ``place`` of each among the distinct ones, whose n-grams follow each other in ``gram``.
+
+    ``lengths`` has the number of n-grams of each distinct word, ``names`` the distinct n-grams themselves.
+    """
+
+    def __init__(self, pieces: list[pa.Array]):
+        coded = pa.concat_arrays(pieces).dictionary_encode()
+        self.place = coded.indices.to_numpy()
+        laid = " " * (ORDER - 1) + (" " * ORDER).join(w.decode("utf-8", "replace") for w in coded.dictionary.to_pylist()) + " "
+        points = np.frombuffer(laid.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        blank = points == ord(" ")
+        ends = np.flatnonzero(~np.append(True, blank[:-1]) | ~blank)  # where an n-gram of a word ends: a character of it, or the blank after it
+        alphabet, code = _ranked(points, 0x110000)
+        gram, kinds = code[ends - ORDER + 1], len(alphabet)
+        for back in range(ORDER - 2, -1, -1):
+            found, gram = _ranked(gram * len(alphabet) + code[ends - back], kinds * len(alphabet))
+            kinds = len(found)
+        first = np.empty(kinds, np.int64)
+        first[gram] = ends
+        spelt = points[first[:, None] + np.arange(1 - ORDER, 1)].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+        self.gram, self.names = gram, [spelt[i : i + ORDER] for i in range(0, len(spelt), ORDER)]
+        self.lengths = np.diff(np.append(-1, np.flatnonzero(blank[ends])))
+
+    def counts(self, used: np.ndarray) -> np.ndarray:
+        """How often each distinct n-gram occurs in the words marked as used."""
+        per_word = np.bincount(self.place[used], minlength=len(self.lengths))
+        return np.bincount(self.gram, np.repeat(per_word, self.lengths), len(self.names)).astype(np.int64)
+
+
+def _listed(block: pa.Table, trusted: pa.Table, shards: int) -> pa.Table:
+    """Distinct n-grams of a block by language, dealt to shards, each with its count in the block's trusted documents."""
+    rows = {"block": [], "lang": [], "shard": [], "grams": [], "counts": []}
+    if block.num_rows:
+        number, words, good = block.column("block")[0].as_py(), Words(block), set(trusted.column("id").to_pylist())
+        marked = np.array([d["id"] in good for d in words.docs], bool)
+        for lang, own in words.langs.items():
+            docs = words.of(lang)
+            counts = own.counts(np.repeat(marked[docs], words.sizes[docs]))
+            shard = np.array([shard_of(g, shards) for g in own.names])
+            for s in np.unique(shard).tolist():
+                chosen = np.flatnonzero(shard == s).tolist()
                 rows["block"].append(number)
                 rows["lang"].append(lang)
-                rows["shard"].append(shard)
-                rows["grams"].append(own)
-    return pa.table({"block": pa.array(rows["block"], pa.int64()), "lang": pa.array(rows["lang"], pa.string()), "shard": pa.array(rows["shard"], pa.int64()), "grams": pa.array(rows["grams"], pa.list_(pa.string()))})
+                rows["shard"].append(s)
+                rows["grams"].append([own.names[i] for i in chosen])
+                rows["counts"].append(counts[chosen])
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()))
+    return pa.table({c: pa.array(v, k) for (c, v), k in zip(rows.items(), kinds)})
 
 
 def shard_of(gram: str, shards: int) -> int:
@@ -118,24 +167,21 @@ def _perplexities(block: pa.Table, answers: pa.Table) -> pa.Table:
     known: dict[str, dict] = {}
     for lang, own, values in zip(*(answers.column(c).to_pylist() for c in ("lang", "grams", "values"))):
         known.setdefault(lang, {}).update(zip(own, values))
-    scores: dict[str, dict] = {}
-    ids, langs, sizes, sums, counts = [], [], [], [], []
-    for doc_id, lang, words in _documents(block):
-        seen, table = scores.setdefault(lang, {}), known.get(lang, {})
-        n, total = 0, 0.0
-        for word in words:
-            found = seen.get(word)
-            if found is None:
-                own = grams(word.decode())
-                found = seen[word] = (len(own), sum(map(table.__getitem__, own)))
-            n += found[0]
-            total += found[1]
-        ids.append(doc_id)
-        langs.append(lang)
-        counts.append(len(words))
-        sizes.append(n)
-        sums.append(None if total != total or not n else total)
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()), "n_words": pa.array(counts, pa.int64()), "n_symbols": pa.array(sizes, pa.int64()), "logp": pa.array(sums, pa.float64())})
+    if not block.num_rows:
+        return pa.table({n: pa.array([], k) for n, k in FOUND.items()})
+    words = Words(block)
+    sizes, sums = np.zeros(len(words.docs), np.int64), np.full(len(words.docs), np.nan)
+    for lang, own in words.langs.items():
+        logp = np.array(list(map(known[lang].__getitem__, own.names)), float)
+        begins = np.cumsum(own.lengths) - own.lengths
+        per_word = np.add.reduceat(logp[own.gram], begins)
+        docs = words.of(lang)
+        docs = docs[words.sizes[docs] > 0]
+        begins = np.cumsum(words.sizes[docs]) - words.sizes[docs]
+        sizes[docs] = np.add.reduceat(own.lengths[own.place], begins)
+        sums[docs] = np.add.reduceat(per_word[own.place], begins)
+    columns = ([d["id"] for d in words.docs], [d["lang"] for d in words.docs], words.sizes, sizes, sums)
+    return pa.table({n: pa.array(c, k, from_pandas=True) for (n, k), c in zip(FOUND.items(), columns)})
 
 
 def _part(start: int, length: int) -> Column:
@@ -200,18 +246,22 @@ def perplexity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES) or 1
     shards = max(partitions(docs.sparkSession), 8)
-    by_block = _dealt(docs, doc_id, text, lang, blocks).groupBy("block")
+    # Documents are read and dealt once; both passes over them start from the packed blocks.
+    by_block = stage(_dealt(docs, doc_id, text, lang, blocks), f"{label}-blocks").groupBy("block")
     trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct()
     trusted = trusted.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
 
-    def requests(block: pa.Table) -> pa.Table:
-        return _requests(block, shards)
+    def list_grams(block: pa.Table, trusted: pa.Table) -> pa.Table:
+        return _listed(block, trusted, shards)
 
-    model = Model(by_block.cogroup(trusted.groupBy("block")).applyInArrow(_gram_counts, "lang string, gram string, c long"), label)
-    asked = by_block.applyInArrow(requests, "block long, lang string, shard long, grams array<string>")
-    every = stage(asked.select("lang", F.explode("grams").alias("gram")).distinct(), f"{label}-asked")
+    listed = by_block.cogroup(trusted.groupBy("block")).applyInArrow(list_grams, "block long, lang string, shard long, grams array<string>, counts array<long>")
+    listed = stage(listed, f"{label}-listed")
+    each = listed.select("lang", F.explode(F.arrays_zip("grams", "counts")).alias("of")).select("lang", F.col("of.grams").alias("gram"), F.col("of.counts").alias("c"))
+    model = Model(each.where("c > 0"), label)
+    every = stage(listed.select("lang", F.explode("grams").alias("gram")).distinct(), f"{label}-asked")
     known = stage(model.resolved(every).withColumn("shard", _shard("gram", shards)), f"{label}-known")
-    answers = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answers, "block long, lang string, grams array<string>, values array<float>")
+    asked = listed.drop("counts").groupBy("shard")
+    answers = asked.cogroup(known.groupBy("shard")).applyInArrow(_answers, "block long, lang string, grams array<string>, values array<float>")
     found = by_block.cogroup(answers.groupBy("block")).applyInArrow(_perplexities, "doc_id long, lang string, n_words long, n_symbols long, logp double")
     return found.withColumn("lang", F.nullif("lang", F.lit("")))
 

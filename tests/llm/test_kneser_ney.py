@@ -2,7 +2,9 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
+import zstandard
 
 from ledgerloom.llm import kneser_ney as K
 
@@ -81,3 +83,28 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert K.judged(spark.createDataFrame([], SCHEMA), none).count() == 0
     assert [r["kept"] for r in K.judged(spark.createDataFrame([(1, "a b", "en", "", "")], SCHEMA), none).collect()] == [True]
+
+
+@pytest.mark.parametrize("table, split", [(K.TABLE, K.SPLIT_BYTES), (50, 7)])
+def test_ngrams_of_a_block(monkeypatch, table, split):
+    monkeypatch.setattr(K, "TABLE", table)
+    monkeypatch.setattr(K, "SPLIT_BYTES", split)
+    texts = {"en": ["ab ab\tabc\u00a0d  ", "", "\n 😀é 中" + "x" * 40, "ab"], "fr": ["ab zz"]}
+    docs = [(lang, t) for lang, own in texts.items() for t in own]
+    data = b"".join(len(t.encode()).to_bytes(8, "little") + t.encode() for _, t in docs)
+    block = pa.table({
+        "block": pa.array([3], pa.int64()), "docs": pa.array([[{"id": i, "lang": lang} for i, (lang, _) in enumerate(docs)]]),
+        "texts": pa.array([zstandard.compress(data)], pa.binary()),
+    })
+    words = K.Words(block)
+    assert words.sizes.tolist() == [len(t.encode().split()) for _, t in docs]
+    got = K._listed(block, pa.table({"id": [0, 3, 4]}), 5)
+    counts = Counter()
+    for lang, own, n in zip(*(got.column(c).to_pylist() for c in ("lang", "grams", "counts"))):
+        counts.update({(lang, g): k for g, k in zip(own, n)})
+    want = Counter()
+    for i, (lang, t) in enumerate(docs):
+        for w in t.encode().split():
+            for g in K.grams(w.decode()):
+                want[lang, g] += i in (0, 3, 4)
+    assert dict(counts) == dict(want)
