@@ -242,12 +242,14 @@ class Model:
 
 
 def perplexity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "kneser") -> DataFrame:
-    """``doc_id, lang, n_words, n_symbols, logp`` of every document; trusted text is that of documents labelled quality 1."""
+    """``doc_id, lang, n_words, n_symbols, logp`` of every document; trusted text is that of documents labelled quality 1.
+
+    ``docs`` should be a stored table: it is scanned and dealt twice, which takes less disk than a copy kept between the passes.
+    """
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES) or 1
     shards = max(partitions(docs.sparkSession), 8)
-    # Documents are read and dealt once; both passes over them start from the packed blocks.
-    by_block = stage(_dealt(docs, doc_id, text, lang, blocks), f"{label}-blocks").groupBy("block")
+    by_block = _dealt(docs, doc_id, text, lang, blocks).groupBy("block")
     trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct()
     trusted = trusted.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
 
