@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import struct
 from collections.abc import Callable, Iterator
@@ -44,6 +45,17 @@ def sent(spark: SparkSession, thing) -> Callable:
     return get
 
 
+def give_back() -> None:
+    """Hand to the system what this worker has freed.
+
+    Workers are used again from stage to stage, and would otherwise keep the most that any earlier task took.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerloom.llm.common import sent, slices
+from ledgerloom.llm.common import give_back, sent, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -235,6 +235,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary | None = None, text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(told())
         for batch in batches:
+            give_back()
             texts = batch.column(batch.num_columns - 1).to_pylist()
             for start, end in slices(texts):
                 own = texts[start:end]

@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerloom.llm.common import carried, packed, unpacked
+from ledgerloom.llm.common import carried, give_back, packed, unpacked
 from ledgerloom.session import stage
 
 BLOCK_BYTES = 4 << 20  # text of one block; a longer document is a block of its own and is read in slices
@@ -352,12 +352,15 @@ def cut_repeats(docs: DataFrame, text: str = "text", window: Window = LONG) -> D
     window_bits = _power(8 * total / (4 * BUCKET_BYTES))
 
     def samples(block: pa.Table) -> pa.Table:
+        give_back()
         return _sample_keys(window, block, sample_bits)
 
     def suffixes(block: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         return _suffix_keys(window, block, answers, sample_bits, window_bits)
 
     def cut(block: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         return _cut(window, block, answers, sample_bits, window_bits)
 
     by_block = packed(dealt).groupBy("block")
