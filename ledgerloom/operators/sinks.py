@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from ledgerloom.functions.text import fold
 from ledgerloom.schemas import MONTH, TABLES, Table, table_of
-from ledgerloom.session import delete, folders, stage
+from ledgerloom.session import claimed, delete, folders, stage
 
 
 def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -144,6 +147,25 @@ class Warehouse:
         found = self.spark.table(self.name(name)).where(condition).select(MONTH).distinct().collect()
         return sorted(r[0] for r in found)
 
+    @contextmanager
+    def only_writer(self, wait: float) -> Iterator[None]:
+        """Hold the database's writer file; another writer is waited for, ``wait`` seconds at most.
+
+        A driver that dies leaves the file ``_writer`` in the database's folder; remove it once no job of it runs any more.
+        """
+        file, until = f"{self._place()}/_writer", time.monotonic() + wait
+        while not claimed(self.spark, file):
+            if time.monotonic() >= until:
+                raise TimeoutError(f"another job writes to {self.database}: {file}")
+            time.sleep(0.2)
+        try:
+            for name in TABLES:
+                if self.spark.catalog.tableExists(self.name(name)):
+                    self.spark.catalog.refreshTable(self.name(name))  # files of the writer before
+            yield
+        finally:
+            delete(self.spark, file)
+
     def append(self, name: str, rows: DataFrame) -> None:
         self._ready(name, rows).write.insertInto(self.name(name))
 
@@ -189,9 +211,12 @@ class Warehouse:
         lines = self.spark.sql(f"DESCRIBE FORMATTED {self.name(name)}{of}").where("col_name = 'Location'")
         return lines.first()["data_type"]
 
-    def _version(self, name: str) -> str:
+    def _place(self) -> str:
         place = self.spark.sql(f"DESCRIBE DATABASE {self.database}").where("info_name = 'Location'").first()["info_value"]
-        return f"{place.rstrip('/')}/_versions/{name.lower()}-{uuid.uuid4().hex}"
+        return place.rstrip("/")
+
+    def _version(self, name: str) -> str:
+        return f"{self._place()}/_versions/{name.lower()}-{uuid.uuid4().hex}"
 
     def _moved(self, name: str, *old: str) -> None:
         """Forget cached file lists, and only then remove what was there before."""

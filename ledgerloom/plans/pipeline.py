@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from datetime import datetime
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -30,16 +30,32 @@ def refreshed(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _alone(job: Callable) -> Callable:
+    """A job of a ledger that has its turn to itself, if the ledger waits for turns."""
+    @wraps(job)
+    def run(self, *args, **options):
+        with nullcontext() if self.wait is None else self.store.only_writer(self.wait):
+            return job(self, *args, **options)
+
+    return run
+
+
 class Ledger:
     """Jobs that write.  Everything is computed and staged before the first table is touched.
 
     Each job can be run again after a failure: names and ids that made it into
     the tables are found there, and the rest is added.  ``keep_counts`` adds a
-    table with the rows that each run inserted, replaced and rejected.
+    table with the rows that each run inserted, replaced and rejected.  With
+    ``wait`` (seconds) jobs of several drivers or threads take turns, so no id
+    is given and no name added twice; a job whose turn does not come raises
+    TimeoutError before it logs or writes.  Without it, let one writer run at a time.
     """
 
-    def __init__(self, warehouse: Warehouse, clock: Callable[[], datetime] = datetime.now, keep_counts: bool = False):
-        self.store, self.clock, self.keep_counts = warehouse, clock, keep_counts
+    def __init__(
+        self, warehouse: Warehouse, clock: Callable[[], datetime] = datetime.now, keep_counts: bool = False,
+        wait: float | None = None,
+    ):
+        self.store, self.clock, self.keep_counts, self.wait = warehouse, clock, keep_counts, wait
         if keep_counts:
             warehouse.create(RUN_COUNTS.name)
 
@@ -82,6 +98,7 @@ class Ledger:
             read("MCC_CATEGORY"), read("MCC_SUB_CATEGORY"), read("BANKS"), read("MEMBERS"), read("CARDS")
         )
 
+    @_alone
     def load(
         self, bank: str, landing: DataFrame, user_name: str, bank_name: str, card_last4: str,
         rejects_path: str | None = None, **options,
@@ -141,6 +158,7 @@ class Ledger:
         replaced = hits.get["replaced"]
         return {"rows": seen["rows"], "inserted": seen["rows"] - replaced, "replaced": replaced}
 
+    @_alone
     def refresh(self, banks: list[str] | None = None, changed_only: bool = False) -> dict[str, str]:
         """Refresh the banks in order; one that fails is logged and the rest still run.
 
@@ -168,6 +186,7 @@ class Ledger:
         except Exception:
             return None
 
+    @_alone
     def summarize(self, whole: bool = False) -> int:
         """Bring the stored monthly sums up to date and return how many were written.
 
@@ -191,6 +210,7 @@ class Ledger:
         """The monthly summary as of the last ``summarize``; it reads the sums, not the facts."""
         return reports.summary_of_sums(self.store.read(MONTHLY_SUMS.name), **options)
 
+    @_alone
     def onboard(self, applicants: DataFrame, key: str, results_path: str | None = None, **options) -> int:
         """Onboard a frame of applicants and return the number of new dimension rows.
 
@@ -219,10 +239,12 @@ class Ledger:
             self.store.append("CARDS", staged["CARDS"])
         return outcome["rows"]
 
+    @_alone
     def clear_transactions(self) -> None:
         """Empty the fact table and nothing else."""
         self.store.truncate("TRANSACTIONS")
 
+    @_alone
     def cascade(self) -> None:
         """Remove reporting rows whose fact is gone, rewriting only the months of a bank that hold some."""
         rows = self.store.read("TRANSACTION_REPORTING")

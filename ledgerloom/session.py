@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 # Settings that matter for these jobs on any cluster; sizes are left to the cluster.
@@ -111,3 +113,24 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders and files right below a folder."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return [f.getPath().getName() for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+
+
+_CLAIMING = threading.Lock()
+
+
+def claimed(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it is there already, and tell whether this call made it.
+
+    Of several drivers one alone succeeds where the store creates files conditionally, as HDFS does; on a local disk this
+    holds for the threads of one driver.
+    """
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    with _CLAIMING:
+        try:
+            store.create(file, False).close()
+        except Py4JJavaError:
+            if store.exists(file):
+                return False
+            raise
+    return True

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
@@ -296,3 +297,23 @@ def test_clear_then_cascade(spark, ledger):
     assert ledger.store.read("TRANSACTION_REPORTING").count() > 0
     ledger.cascade()
     assert ledger.store.read("TRANSACTION_REPORTING").count() == 0
+
+
+def test_jobs_take_turns(spark):
+    store = Warehouse(spark, "ledger_turns")
+    store.create()
+    people = [applicant(1, first, "Lee", "1 Oak", bank, card) for first, bank, card in
+              (("Ann", "Axis Bank", "4000111122221111"), ("Bob", "Apple Bank", "4000111122222222"))]
+    frames = [spark.createDataFrame([tuple(p[c] for c in APPLICANTS.columns)], APPLICANTS.schema) for p in people]
+    with ThreadPoolExecutor(2) as threads:
+        done = list(threads.map(lambda f: Ledger(store, Clock(), wait=300).onboard(f, "key"), frames))
+    assert len(done) == 2
+    for table, key in (("MEMBERS", "MEMBER_ID"), ("BANKS", "BANK_ID"), ("CARDS", "CARD_ID")):
+        ids = [r[0] for r in store.read(table).select(key).collect()]
+        assert len(ids) == len(set(ids)) == 2
+    assert audit.latest(store.read("ETL_LOG")).select("STATUS").collect() == [("SUCCESS",)] * 2
+    late = Ledger(store, Clock(), wait=0)
+    with store.only_writer(0):
+        with pytest.raises(TimeoutError):
+            late.onboard(frames[0], "key")
+    assert late.onboard(frames[0], "key") == 0 and store.read("MEMBERS").count() == 2
