@@ -9,13 +9,14 @@ statement row at each of the seven banks, so each derived table grows with
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.plans.pipeline import refreshed
+from ledgerloom.plans.pipeline import refreshed_by_bank
 from ledgerloom.schemas import LANDING, TABLES
-from ledgerloom.session import stage
+from ledgerloom.session import stage, stage_parts
 
 AS_OF = datetime(2025, 1, 1)
 SOURCES = ("orders", "customer", "nation", "region")
@@ -258,48 +259,60 @@ FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_re
 
 
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
+ROWS_PER_FILE = 500_000  # rows of a file of the base view, so that its sort by date stays in memory at any size
 
 
 class Fixtures:
     """The derived tables over one scale-factor folder.
 
-    Each is written once per application, facts partitioned by bank, so that the
-    operators read stored tables as they would in use.
+    Each is written once per application, facts by bank, so that the operators
+    read stored tables as they would in use.  The base view, from which most are
+    derived row by row, is stored first and is all that is shuffled: in files of
+    a bounded number of rows, more of them for more orders, each a range of dates.
+    The tables derived from it are written where its rows lie and keep that order.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     def _derive(self, text: str) -> DataFrame:
+        text = text.replace(f"({BASE})", "{base}")
         used = {n: self.spark.read.parquet(f"{self.sf_dir}/{n}.parquet") for n in SOURCES if "{" + n + "}" in text}
+        if "{base}" in text:
+            used["base"] = self._kept("base", self._base)
         return self.spark.sql(text.replace("{blob}", "BINARY").replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)"), **used)
 
-    def _stored(self, name: str, text: str, partition_by: tuple[str, ...] = (), spread: bool = False) -> DataFrame:
-        """``spread`` writes as many files as there are cores, as a large table would have at least."""
+    def _kept(self, name: str, made: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _STORED:
-            rows = self._derive(text)
-            if spread:
-                rows = rows.repartition(self.spark.sparkContext.defaultParallelism)
-            if "TRANSACTION_DATE" in rows.columns and partition_by:
-                rows = rows.sortWithinPartitions(*partition_by, "TRANSACTION_DATE")
-            _STORED[key] = stage(rows, f"input-{name.lower()}", partition_by)
+            _STORED[key] = made()
         return _STORED[key]
 
+    def _base(self) -> DataFrame:
+        """The base view in as many files as there are cores, as a large table would have at least, and as its rows need."""
+        rows = self._derive(BASE.strip())
+        orders = self.spark.read.parquet(f"{self.sf_dir}/orders.parquet").count()
+        files = max(self.spark.sparkContext.defaultParallelism, -(-orders // ROWS_PER_FILE))
+        return stage(rows.repartitionByRange(files, "dt", "k").sortWithinPartitions("dt", "k"), "input-base")
+
     def table(self, name: str) -> DataFrame:
-        partition_by = TABLES[name].partition_by if name in TABLES else ()
-        return self._stored(name, TABLE_SQL[name], partition_by, spread=name == "TRANSACTIONS")
+        if name == "TRANSACTIONS":
+            return self._kept(name, lambda: stage_parts(self._facts(), "input-transactions", "BANK_ID"))
+        return self._kept(name, lambda: stage(self._derive(TABLE_SQL[name]), f"input-{name.lower()}"))
+
+    def _facts(self) -> list[tuple[int, DataFrame]]:
+        return [(BANK_NUMBER[b], self._derive(_facts_of(b))) for b in DESCRIPTIONS]
 
     def landing(self, bank: str) -> DataFrame:
-        return self._stored(f"landing-{bank}", landing_sql(bank), spread=True)
+        return self._kept(f"landing-{bank}", lambda: stage(self._derive(landing_sql(bank)), f"input-landing-{bank}"))
 
     def reporting(self) -> DataFrame:
         """The reporting table of all facts."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, "TRANSACTION_REPORTING")
-        if key not in _STORED:
+        def made():
             named = [self.table(n) for n in ("TRANSACTIONS", "MCC_CATEGORY", "MCC_SUB_CATEGORY", "BANKS")]
-            _STORED[key] = stage(refreshed(*named, AS_OF), "input-reporting", ("BANK_ID",))
-        return _STORED[key]
+            return stage_parts(refreshed_by_bank(*named, AS_OF), "input-reporting", "BANK_ID")
+
+        return self._kept("TRANSACTION_REPORTING", made)
 
 
 def check_sql(text: str) -> str:

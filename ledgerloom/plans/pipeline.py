@@ -23,11 +23,16 @@ def refreshed(
     transactions: DataFrame, categories: DataFrame, sub_categories: DataFrame, banks: DataFrame, as_of: datetime
 ) -> DataFrame:
     """Reporting rows of all banks in one plan."""
-    parts = [
-        enrich(bank, transactions, categories, sub_categories, bank_id_of(banks, rules), as_of)
-        for bank, rules in BANKS.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    parts = refreshed_by_bank(transactions, categories, sub_categories, banks, as_of)
+    return reduce(DataFrame.unionByName, [rows for _, rows in parts])
+
+
+def refreshed_by_bank(
+    transactions: DataFrame, categories: DataFrame, sub_categories: DataFrame, banks: DataFrame, as_of: datetime
+) -> list[tuple[int, DataFrame]]:
+    """Id and reporting rows of each bank."""
+    ids = [(bank, bank_id_of(banks, rules)) for bank, rules in BANKS.items()]
+    return [(n, enrich(bank, transactions, categories, sub_categories, n, as_of)) for bank, n in ids]
 
 
 def _alone(job: Callable) -> Callable:
