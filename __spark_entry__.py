@@ -162,12 +162,15 @@ def _stored_tables(spark, sf) -> dict[str, DataFrame]:
 
 
 def _warehouse(spark, sf, *names: str, **given: DataFrame) -> sinks.Warehouse:
-    """A database of its own in the shared folder that holds the tables named, or all; some with the rows given."""
+    """A database of its own in the shared folder that holds the tables named, or all; some with the rows given.
+
+    The rows come from tables that are stored by bank and date.
+    """
     store = sinks.Warehouse(spark, f"ledger_{uuid4().hex}")
     store.create(*names, location=f"{staging_root(spark)}/{store.database}")
     tables = _stored_tables(spark, sf) | given
     for name in names or TABLES:
-        store.append(name, tables[name])
+        store.append(name, tables[name], gather=False)
     return store
 
 

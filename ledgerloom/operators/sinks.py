@@ -166,8 +166,13 @@ class Warehouse:
         finally:
             delete(self.spark, file)
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        self._ready(name, rows).write.insertInto(self.name(name))
+    def append(self, name: str, rows: DataFrame, gather: bool = True) -> None:
+        """Add rows to a table.
+
+        They are gathered by partition first, so that few files are written.  Rows that lie by partition already, as those
+        of a table stored by bank and date do, need no ``gather``: each task writes what it reads and no row is shuffled.
+        """
+        self._ready(name, rows, gather).write.insertInto(self.name(name))
 
     def overwrite_partition(self, name: str, rows: DataFrame, months: list[int] | None = None, **partition: int) -> None:
         """Replace one partition (or the table, if none is named) by ``rows``, or only some of its months, those of the rows.
@@ -233,10 +238,10 @@ class Warehouse:
         made = rows.withColumn(MONTH, month_number(date)) if date else rows
         return made.select(*self.spark.table(self.name(name)).columns)
 
-    def _ready(self, name: str, rows: DataFrame) -> DataFrame:
+    def _ready(self, name: str, rows: DataFrame, gather: bool = True) -> DataFrame:
         """Columns in stored order, spread so that one hot partition is written by many tasks."""
         stored, parts = self._monthly(name, rows), table_of(name).stored_by
-        return self._dated(name, stored.hint("rebalance", *parts), *parts) if parts else stored
+        return self._dated(name, stored.hint("rebalance", *parts) if gather else stored, *parts) if parts else stored
 
     def _dated(self, name: str, rows: DataFrame, *parts: str) -> DataFrame:
         """Rows of each file by date, so that a filter on the date skips row groups."""

@@ -238,6 +238,19 @@ def test_equal_sort_values_spread_over_tasks(spark):
     assert len(sizes) == 4 and max(sizes) < 20_000
 
 
+def test_rows_that_lie_by_partition_are_appended_without_a_shuffle(spark):
+    store = sinks.Warehouse(spark, "append_test")
+    store.create("TRANSACTIONS")
+    row = dict.fromkeys(TABLES["TRANSACTIONS"].columns, "x") | {"TRANSACTION_AMOUNT": Decimal(1), "ADDED_DATETIME": NOW, "POSTED_DATE": None}
+    row |= dict.fromkeys(("CATG_ID", "SUB_CATG_ID", "CARD_ID", "MEMBER_ID"), 1)
+    given = [row | {"TRANSACTION_ID": i, "BANK_ID": i % 2, "TRANSACTION_DATE": datetime(2025, 1 + i % 3, 1)} for i in range(12)]
+    rows = spark.createDataFrame([tuple(r.values()) for r in given], TABLES["TRANSACTIONS"].schema)
+    assert "Exchange" not in store._ready("TRANSACTIONS", rows, gather=False)._jdf.queryExecution().executedPlan().toString()
+    store.append("TRANSACTIONS", rows, gather=False)
+    stored = spark.table("append_test.TRANSACTIONS").select("TRANSACTION_ID", "BANK_ID", "TXN_MONTH").collect()
+    assert sorted(tuple(r) for r in stored) == [(i, i % 2, 202501 + i % 3) for i in range(12)]
+
+
 def test_small_batch_does_not_move_the_stored_ids(spark, tmp_path):
     spark.range(300_000).selectExpr("id AS k", "uuid() AS text").write.parquet(str(tmp_path / "t"))
     target = spark.read.parquet(str(tmp_path / "t"))
