@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ledgerloom.schemas import Table
 
@@ -16,6 +16,7 @@ SAMPLED_NAMES = ["NAME", "TYPE", "CATEGORY", "CATG", "STATUS"]
 CALLING_FUNCTIONS = ["reflect", "java_method", "try_reflect"]
 SCRIPT_NODES = ["Call", "CompoundBody"]
 GROUPS = 128  # groups of values of a column of which only the lowest is sent on, well above the sample size
+PREFIX_BYTES = 15  # bytes of a text whose number fits a decimal of 38 digits
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
@@ -43,20 +44,29 @@ def describe(spark: SparkSession, schema: T.StructType, table: Table) -> DataFra
     return spark.createDataFrame(described(schema, table), LINE)
 
 
+def prefix_number(text: Column) -> Column:
+    """The first PREFIX_BYTES bytes of a text as a number that keeps their order."""
+    digits = F.rpad(F.hex(F.substring(text.cast("binary"), 1, PREFIX_BYTES)), 2 * PREFIX_BYTES, "0")
+    high, low = (F.conv(F.substring(digits, at, n), 16, 10) for at, n in ((1, 14), (15, 16)))
+    return (high.cast("decimal(17,0)") * F.lit(str(2**64)).cast("decimal(20,0)") + low.cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
 def first_values(long: DataFrame, limit: int = SAMPLE_SIZE) -> DataFrame:
     """``NO, SAMPLES``: the first distinct values of every column numbered ``NO``, compared without case, lowest spelling shown.
 
-    ``long`` has ``NO, VALUE`` and is read twice.  Values are first dealt to GROUPS by hash and only the lowest of each group
-    is sent on: as equal values share a group, the ``limit``-th of these is a value that at least ``limit`` distinct ones do
-    not exceed.  What exceeds it is dropped where it is read, and the few that are left are told apart.  So a task sends
-    GROUPS values for a column, and then little more than ``limit``, however many distinct values there are.
+    ``long`` has ``NO, VALUE`` and is read twice.  Values are first dealt to GROUPS by hash and only the lowest prefix of each
+    group is sent on, as a number, so that the tasks hash the rows and sort none: as equal values share a group, at least
+    ``limit`` distinct values do not exceed the ``limit``-th of these.  What exceeds it is dropped where it is read, and the
+    spellings that are left, each sent once by a task, are told apart as a whole.  These are few unless a great many values
+    agree in their first PREFIX_BYTES bytes; then those are sent and compared too.
     """
     keyed = long.where("VALUE IS NOT NULL").select("NO", F.upper("VALUE").alias("_K"), "VALUE")
-    lowest = keyed.groupBy("NO", F.pmod(F.xxhash64("_K"), F.lit(GROUPS)).cast("int").alias("_G")).agg(F.min("_K").alias("_K"))
+    keyed = keyed.withColumn("_P", prefix_number(F.col("_K")))
+    lowest = keyed.groupBy("NO", F.pmod(F.xxhash64("_K"), F.lit(GROUPS)).cast("int").alias("_G")).agg(F.min("_P").alias("_P"))
     # One row for each column of the tables, so it may go to all tasks.
-    ends = lowest.groupBy("NO").agg(F.get(F.sort_array(F.collect_list("_K")), F.lit(limit - 1)).alias("_END"))
-    near = keyed.join(F.broadcast(ends), "NO").where("_END IS NULL OR _K <= _END")
-    distinct = near.groupBy("NO", "_K").agg(F.min("VALUE").alias("VALUE"))
+    ends = lowest.groupBy("NO").agg(F.get(F.sort_array(F.collect_list("_P")), F.lit(limit - 1)).alias("_END"))
+    near = keyed.join(F.broadcast(ends), "NO").where("_END IS NULL OR _P <= _END")
+    distinct = near.select("NO", "_K", "VALUE").distinct().groupBy("NO", "_K").agg(F.min("VALUE").alias("VALUE"))
     place = F.row_number().over(Window.partitionBy("NO").orderBy("_K"))
     kept = distinct.withColumn("POS", place).where(F.col("POS") <= limit)
     pairs = F.array_sort(F.collect_list(F.struct("POS", "VALUE")))

@@ -238,6 +238,24 @@ def test_equal_sort_values_spread_over_tasks(spark):
     assert len(sizes) == 4 and max(sizes) < 20_000
 
 
+def test_first_values_of_texts_with_one_prefix_odd_bytes_and_cases(spark):
+    texts = ["", "\x00", "a", "A\x00", "é", "日本語の長い名前です", "\U0010ffff" * 5, "z" * 40] + [f"one long shared prefix {i:03d}" for i in range(300)]
+    given = spark.createDataFrame([(n, t) for n in (1, 2) for t in texts + [t.upper() for t in texts] if n == 1 or t < "b"], "NO int, VALUE string")
+    got = {r["NO"]: r["SAMPLES"] for r in profile.first_values(given.repartition(3), 40).collect()}
+    for n in (1, 2):
+        lowest = {}
+        for r in given.where(f"NO = {n}").select("VALUE", F.upper("VALUE").alias("k")).collect():
+            lowest[r["k"]] = min(r["VALUE"], lowest.get(r["k"], r["VALUE"]), key=str.encode)
+        assert got[n] == [lowest[k] for k in sorted(lowest, key=str.encode)[:40]]
+
+
+def test_profile_hashes_the_rows_it_reads_and_sorts_none(spark):
+    long = spark.range(1000, numPartitions=1).selectExpr("CAST(id % 2 AS int) AS NO", "CAST(uuid() AS string) AS VALUE")
+    plan = profile.first_values(long)._jdf.queryExecution().executedPlan().toString()
+    # The two that are left are for the lowest spelling of the few values that remain.
+    assert plan.count("SortAggregate") == 2 and "min(_P" in plan
+
+
 def test_rows_that_lie_by_partition_are_appended_without_a_shuffle(spark):
     store = sinks.Warehouse(spark, "append_test")
     store.create("TRANSACTIONS")
