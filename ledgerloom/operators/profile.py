@@ -44,13 +44,26 @@ def describe(spark: SparkSession, schema: T.StructType, table: Table) -> DataFra
     return spark.createDataFrame(described(schema, table), LINE)
 
 
+def prefix_bytes(text: Column) -> Column:
+    return F.substring(text.cast("binary"), 1, PREFIX_BYTES)
+
+
 def prefix_number(text: Column) -> Column:
     """The first PREFIX_BYTES bytes of a text as a number that keeps their order."""
-    digits = F.rpad(F.hex(F.substring(text.cast("binary"), 1, PREFIX_BYTES)), 2 * PREFIX_BYTES, "0")
+    digits = F.rpad(F.hex(prefix_bytes(text)), 2 * PREFIX_BYTES, "0")
     high, low = (F.conv(F.substring(digits, at, n), 16, 10) for at, n in ((1, 14), (15, 16)))
     return (high.cast("decimal(17,0)") * F.lit(str(2**64)).cast("decimal(20,0)") + low.cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
+def number_bytes(number: Column) -> Column:
+    """The bytes of a prefix number, zero bytes where the text was shorter."""
+    unit = F.lit(str(2**64)).cast("decimal(20,0)")
+    low = (number % unit).cast("decimal(20,0)")
+    high = ((number - low) / unit).cast("decimal(17,0)")
+    digits = [F.lpad(F.conv(part.cast("string"), 10, 16), n, "0") for part, n in ((high, 14), (low, 16))]
+    return F.unhex(F.concat(*digits))
+
+
 def first_values(long: DataFrame, limit: int = SAMPLE_SIZE) -> DataFrame:
     """``NO, SAMPLES``: the first distinct values of every column numbered ``NO``, compared without case, lowest spelling shown.
 
@@ -61,11 +74,12 @@ def first_values(long: DataFrame, limit: int = SAMPLE_SIZE) -> DataFrame:
     agree in their first PREFIX_BYTES bytes; then those are sent and compared too.
     """
     keyed = long.where("VALUE IS NOT NULL").select("NO", F.upper("VALUE").alias("_K"), "VALUE")
-    keyed = keyed.withColumn("_P", prefix_number(F.col("_K")))
-    lowest = keyed.groupBy("NO", F.pmod(F.xxhash64("_K"), F.lit(GROUPS)).cast("int").alias("_G")).agg(F.min("_P").alias("_P"))
+    group = F.pmod(F.xxhash64("_K"), F.lit(GROUPS)).cast("int").alias("_G")
+    lowest = keyed.groupBy("NO", group).agg(F.min(prefix_number(F.col("_K"))).alias("_P"))
     # One row for each column of the tables, so it may go to all tasks.
     ends = lowest.groupBy("NO").agg(F.get(F.sort_array(F.collect_list("_P")), F.lit(limit - 1)).alias("_END"))
-    near = keyed.join(F.broadcast(ends), "NO").where("_END IS NULL OR _P <= _END")
+    ends = ends.select("NO", number_bytes(F.col("_END")).alias("_END"))
+    near = keyed.join(F.broadcast(ends), "NO").where(F.col("_END").isNull() | (prefix_bytes(F.col("_K")) <= F.col("_END")))
     distinct = near.select("NO", "_K", "VALUE").distinct().groupBy("NO", "_K").agg(F.min("VALUE").alias("VALUE"))
     place = F.row_number().over(Window.partitionBy("NO").orderBy("_K"))
     kept = distinct.withColumn("POS", place).where(F.col("POS") <= limit)

@@ -249,11 +249,17 @@ def test_first_values_of_texts_with_one_prefix_odd_bytes_and_cases(spark):
         assert got[n] == [lowest[k] for k in sorted(lowest, key=str.encode)[:40]]
 
 
+def test_prefix_numbers_give_their_bytes_back(spark):
+    given = spark.createDataFrame([("",), ("a",), ("\U0010ffff" * 5,), ("aaaaaaa" + "é" * 4,), ("\x00b" * 9,)], "t string")
+    back = given.select("t", profile.number_bytes(profile.prefix_number(F.col("t"))).alias("b")).collect()
+    assert all(bytes(r["b"]) == r["t"].encode()[:15].ljust(15, b"\x00") for r in back)
+
+
 def test_profile_hashes_the_rows_it_reads_and_sorts_none(spark):
     long = spark.range(1000, numPartitions=1).selectExpr("CAST(id % 2 AS int) AS NO", "CAST(uuid() AS string) AS VALUE")
     plan = profile.first_values(long)._jdf.queryExecution().executedPlan().toString()
     # The two that are left are for the lowest spelling of the few values that remain.
-    assert plan.count("SortAggregate") == 2 and "min(_P" in plan
+    assert plan.count("SortAggregate") == 2 and "partial_min(" in plan
 
 
 def test_rows_that_lie_by_partition_are_appended_without_a_shuffle(spark):
