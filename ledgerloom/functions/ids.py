@@ -12,8 +12,8 @@ _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, posi
 
 
 def content_key(columns: list[str]) -> Column:
-    """Digest of whole rows, used to order rows that tie on the wanted keys."""
-    return F.md5(F.concat_ws("\x01", *[F.coalesce(F.col(c), F.lit("\x02")) for c in columns]))
+    """Digest of whole rows, used to order rows that tie on the wanted keys; its 16 bytes sort as its hex digits do."""
+    return F.unhex(F.md5(F.concat_ws("\x01", *[F.coalesce(F.col(c), F.lit("\x02")) for c in columns])))
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str, label: str, tie: Column | None = None) -> DataFrame:
@@ -69,17 +69,25 @@ def next_value(df: DataFrame, column: str, base: int = 0) -> int:
     return highest(df, column, base).first()[0]
 
 
-def occurrence(staged: DataFrame, group: Column, order: list[Column], name: str, label: str) -> DataFrame:
+def occurrence(
+    staged: DataFrame, group: Column, order: list[Column], name: str, label: str, keep: list[str] | None = None
+) -> DataFrame:
     """Number the rows of each group from 1, in order, without a task per group.
 
     The rows are ranked as a whole with the group first; a row's number is its
     rank less the lowest of its group, found by an aggregate that combines on
-    the map side, so one group with most of the rows stays split.
+    the map side, so one group with most of the rows stays split.  Only groups
+    of several rows are looked up; they are staged, so that their true size
+    decides the join and the rows stay where they are while such groups are few.
+    ``keep`` names the columns handed on, those of ``order`` among them, where ``group`` needs more.
     """
-    ranked = global_rank(staged.withColumn("_group", group), [F.col("_group"), *order], "_whole", label)
-    first = ranked.groupBy("_group").agg(F.min("_whole").alias("_first")).withColumnRenamed("_group", "_g")
-    joined = ranked.join(first, F.col("_group").eqNullSafe(F.col("_g")))
-    return joined.withColumn(name, F.col("_whole") - F.col("_first") + 1).drop("_group", "_g", "_whole", "_first")
+    grouped = staged.select(*(keep or staged.columns), group.alias("_group"))
+    ranked = global_rank(grouped, [F.col("_group"), *order], "_whole", label)
+    sizes = ranked.groupBy(F.col("_group").alias("_g")).agg(F.min("_whole").alias("_first"), F.count("*").alias("_rows"))
+    first = stage(sizes.where("_rows > 1").drop("_rows"), f"{label}-repeated")
+    joined = ranked.join(first, F.col("_group").eqNullSafe(F.col("_g")), "left")
+    number = F.coalesce(F.col("_whole") - F.col("_first") + 1, F.lit(1))
+    return joined.withColumn(name, number).drop("_group", "_g", "_whole", "_first")
 
 
 def assign_identity(new_rows: DataFrame, order: list[Column], starts: dict[str, int], label: str) -> DataFrame:

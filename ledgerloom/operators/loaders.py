@@ -409,24 +409,24 @@ def load_statement(
     spec = STATEMENTS[bank]()
     ids = owner or resolve(dims, user_name, bank_name, card_last4)
     rows = landing.select(*LANDING.columns)
+    parsed = _parsed(rows)
+    names = statement_names(parsed, spec)  # from the landing rows, whose ids they do not need
     row_id = spec.reference
     if row_id is None:
         tie, label = content_key(LANDING.columns), f"landing-{bank.lower()}"
         if id_mode == "rank":
-            rows = global_rank(rows, spec.rank_order, "_RANK", label, tie)
+            ranked = global_rank(rows, spec.rank_order, "_RANK", label, tie)
         else:
-            parsed = rows.withColumns({name: parse() for name, parse in PARSED.items()})
-            rows = occurrence(parsed, F.concat(*spec.id_parts), [tie], "_RANK", label).select(*LANDING.columns, "_RANK")
+            ranked = occurrence(parsed, F.concat(*spec.id_parts), [tie], "_RANK", label, list(LANDING.columns))
+        parsed = _parsed(ranked)
         row_id = hash_id(F.concat(*spec.id_parts, c("_RANK").cast("string")))
-    rows = rows.withColumns({name: parse() for name, parse in PARSED.items()})
 
-    names = statement_names(rows, spec)
     new_categories = onboard_categories(names.where("_CATG"), dims.categories, ids["last_category"], as_of)
     catg_index = category_index(dims.categories.unionByName(new_categories))
     new_subs = onboard_sub_categories(names.where("_SUB"), catg_index, dims.sub_categories, ids["last_sub_category"], as_of)
     sub_index = sub_category_index(dims.sub_categories.unionByName(new_subs))
 
-    typed = _typed(rows, row_id, spec, with_posted_date).join(catg_index, "CATG_KEY", "left").join(
+    typed = _typed(parsed, row_id, spec, with_posted_date).join(catg_index, "CATG_KEY", "left").join(
         sub_index, ["SUB_KEY", "CATG_ID"], "left"
     )
     judged = typed.withColumn("REASON", _reason(spec))
@@ -441,6 +441,10 @@ def load_statement(
     )
 
 
+def _parsed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({name: parse() for name, parse in PARSED.items()})
+
+
 def _typed(rows: DataFrame, row_id: Column, spec: Statement, with_posted_date: bool) -> DataFrame:
     """Fact columns under their own names, cut to length, next to the landing columns they come from."""
     posted = spec.posted

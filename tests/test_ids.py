@@ -75,3 +75,13 @@ def test_occurrence_numbers_each_group(spark):
     for g in ("a", "b", None):
         own = sorted((r["i"], r["n"]) for r in got if r["g"] == g)
         assert [n for _, n in own] == list(range(1, len(own) + 1))
+
+
+def test_occurrence_looks_up_repeated_groups_only_and_keeps_what_is_named(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(ids, "stage", lambda df, label: staged.append(stage(df, label)) or staged[-1])
+    df = spark.range(300).select("id", F.when(F.col("id") < 290, F.col("id").cast("string")).alias("g"), F.lit("wide").alias("unused"))
+    got = ids.occurrence(df, F.concat("g", "unused"), [F.col("id")], "n", "t", ["id"])
+    assert got.columns == ["id", "n"] and staged[0].columns == ["id", "_group", "_place"]
+    assert sorted(r["n"] for r in got.collect()) == [1] * 291 + list(range(2, 11))
+    assert [r["_g"] for r in staged[1].collect()] == [None]
