@@ -6,12 +6,16 @@ import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from ledgerloom.functions.text import fold
 from ledgerloom.schemas import MONTH, TABLES, Table, table_of
-from ledgerloom.session import claimed, delete, folders, stage
+from ledgerloom.session import claimed, counted, delete, folders, stage
+
+LARGE_BATCH = 100_000  # rows of a batch that no join should move for a few keys
 
 
 def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -29,12 +33,22 @@ def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFram
 def insert_ignore(rows: DataFrame, target: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """Rows whose key is new: first wins inside the batch, the target always wins.
 
-    Only the key of the target is read.  The batch is staged, so that its true
-    size decides the semi join: a statement is sent to the target's scan tasks,
-    and no stored id moves.  The ids found there are as few as the batch's.
+    Only the key of the target is read.  The batch is staged where it lies, and
+    its repeated keys are found from the keys alone: only rows of those are
+    gathered and sorted.  These are staged too, and of a large batch the keys
+    found in the target, so that true sizes decide the joins: a statement is
+    sent to the target's scan tasks, no stored id moves, and the batch stays
+    where it is while either kind of key is few.
     """
-    batch = stage(first_per_key(rows, key, order), "insert-batch")
-    held = target.select(*key).join(batch.select(*key), key, "left_semi")
+    given, seen = counted(rows, "insert-batch")
+    repeated = stage(given.groupBy(*key).agg(F.count("*").alias("_N")).where("_N > 1").select(*key), "insert-repeated")
+    again = repeated.select(*[F.col(c).alias(f"_K_{c}") for c in key])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_K_{c}")) for c in key])
+    first = first_per_key(given.join(again, same, "left_semi"), key, order)
+    batch = given.join(again, same, "left_anti").unionByName(first)
+    held = target.select(*key).join(given.select(*key), key, "left_semi")
+    if seen["rows"] > LARGE_BATCH:
+        held = stage(held, "insert-held")
     return batch.join(held, key, "left_anti").select(*rows.columns)
 
 

@@ -56,6 +56,24 @@ def test_replace_into_resets_columns_that_are_not_given(spark):
     assert rows(sinks.replace_into(partial, stored, ["CATG_ID"], table)) == [(1, "B", None, None)]
 
 
+@pytest.mark.parametrize("large", [10, 100_000])
+def test_insert_ignore_stages_the_batch_where_it_lies(spark, monkeypatch, large):
+    """The whole batch is neither sorted nor shuffled; of repeated keys, NULL among them, the first row stays."""
+    plans = []
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return counted(df, label)
+
+    monkeypatch.setattr(sinks, "counted", seen)
+    monkeypatch.setattr(sinks, "LARGE_BATCH", large)
+    batch = frame(spark, "id long, o int, t string", *[(i, 0, f"t{i}") for i in range(3, 200)], (1, 2, "b"), (1, 1, "a"), (None, 5, "d"), (None, 4, "c"))
+    target = frame(spark, "id long, o int, t string", *[(i, 0, "") for i in range(100, 300)])
+    wanted = [(i, 0, f"t{i}") for i in range(3, 100)] + [(1, 1, "a"), (None, 4, "c")]
+    assert sorted(map(str, rows(sinks.insert_ignore(batch, target, ["id"], ["o"])))) == sorted(map(str, wanted))
+    assert len(plans) == 1 and not any(word in plans[0] for word in ("Exchange", "Sort", "Window"))
+
+
 def test_insert_missing_ignores_case(spark):
     new = frame(spark, "n string, p int", ("A", 1), ("A", 1), ("b", 1), ("B", 1), ("A", 2))
     have = frame(spark, "n string, p int", ("a", 1))
