@@ -74,8 +74,25 @@ def reference_checks(tables: dict[str, DataFrame], table: Table) -> DataFrame:
 
     The child is counted per column and value before the join, so a hot value is
     one row there; the parents' keys are tagged with the column they belong to.
+    A reference that is the table's own key has a value of its own in every row,
+    which counting would only carry further: it goes to its parent as it is.
     """
     columns = {c: parent for c, (parent, _) in table.foreign.items() if parent in tables}
+    keys = [c for c in columns if table.key == (c,)]
+    parts = [_key_reference(tables, table, c) for c in keys]
+    if shared := {c: parent for c, parent in columns.items() if c not in keys}:
+        parts.append(_shared_references(tables, table, shared))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _key_reference(tables: dict[str, DataFrame], table: Table, column: str) -> DataFrame:
+    parent, parent_column = table.foreign[column]
+    child = tables[table.name].select(F.col(column).cast("long").alias("VALUE")).where("VALUE IS NOT NULL")
+    lost = child.join(tables[parent].select(F.col(parent_column).cast("long").alias("VALUE")), "VALUE", "left_anti")
+    return lost.agg(F.count("*").alias("n")).select(*_line(table, "reference", f"{column} -> {parent}", "n"))
+
+
+def _shared_references(tables: dict[str, DataFrame], table: Table, columns: dict[str, str]) -> DataFrame:
     child = tables[table.name].select(*[F.col(c).cast("long").alias(c) for c in columns])
     # Counted by the tuple first: the rows that are spread out are tuples, not facts.
     tuples = child.groupBy(*columns).agg(F.count("*").alias("N"))

@@ -215,6 +215,17 @@ def test_no_landing_rows(spark, tmp_path):
     assert source.read_csv(spark, str(tmp_path)).count() == 0
 
 
+def test_reference_by_the_own_key_is_not_counted_by_value_first(spark):
+    """Rows of the child count each, a doubled key too; a key goes to its parent without a grouping."""
+    facts = frame(spark, "TRANSACTION_ID long", *[(i,) for i in range(50)], (7,))
+    told = frame(spark, "TRANSACTION_ID long", *[(i,) for i in range(40, 60)], (59,), (59,), (None,))
+    tables = {"TRANSACTION_REPORTING": told, "TRANSACTIONS": facts}
+    found = quality.reference_checks(tables, TABLES["TRANSACTION_REPORTING"])
+    assert rows(found) == [("TRANSACTION_REPORTING", "reference", "TRANSACTION_ID -> TRANSACTIONS", 12)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Expand" not in plan
+
+
 def test_reference_to_a_parent_that_is_not_given_is_told(spark):
     subs = frame(spark, SUB_CATEGORY.schema, (1, "A", 1, "u", NOW))
     report = quality.quality_report({"MCC_SUB_CATEGORY": subs}, TABLES)
