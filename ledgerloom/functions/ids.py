@@ -24,10 +24,14 @@ def global_rank(df: DataFrame, order: list[Column], name: str, label: str, tie:
     The rows are range-partitioned and sorted, then written once with the
     position each row has inside its partition.  The partitions are counted from
     that one column, and a running sum over the counts (one row per partition)
-    gives each its offset.  A trailing salt in the range key lets a run of equal
-    rows spread over several partitions; as equal rows are interchangeable the
-    numbering stays well defined.  The input must give its rows in the same order
-    when a task runs again, as a file scan does; stage anything else first.
+    gives each its offset.  These rows are sent to the scan tasks whatever size
+    the planner expects, as they are no more than the shuffle has partitions; it
+    takes them for a share of the rows and would shuffle a large table by its
+    partition number to meet them.  A trailing salt in the range key lets a run
+    of equal rows spread over several partitions; as equal rows are
+    interchangeable the numbering stays well defined.  The input must give its
+    rows in the same order when a task runs again, as a file scan does; stage
+    anything else first.
     """
     made = {"_salt": F.monotonically_increasing_id(), **({} if tie is None else {"_tie": tie})}
     keys = [*order, *([] if tie is None else [F.col("_tie")]), F.col("_salt")]
@@ -43,7 +47,7 @@ def global_rank(df: DataFrame, order: list[Column], name: str, label: str, tie:
     counts = staged.groupBy("_part").count()
     starts = counts.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)) + 1
-    return staged.join(starts, "_part").withColumn(name, position + F.col("_start")).drop("_part", "_start", "_place")
+    return staged.join(F.broadcast(starts), "_part").withColumn(name, position + F.col("_start")).drop("_part", "_start", "_place")
 
 
 def hash_id(text: Column) -> Column:

@@ -41,6 +41,19 @@ def test_global_rank_spreads_equal_rows(spark, monkeypatch):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_global_rank_leaves_staged_rows_where_they_are(spark):
+    """At a size at which the planner takes the partitions' offsets for too large to send."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        ranked = ids.global_rank(skewed(spark, 5), [F.col("k"), F.col("v")], "rank", "t")
+        assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 3001))
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_global_rank_of_nothing(spark):
     assert ids.global_rank(spark.range(0).select(F.lit("x").alias("k")), [F.col("k")], "rank", "t").count() == 0
 
