@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.plans.pipeline import refreshed_by_bank
 from ledgerloom.schemas import LANDING, TABLES
-from ledgerloom.session import stage, stage_parts
+from ledgerloom.session import stage, stage_parts, weighed
 
 AS_OF = datetime(2025, 1, 1)
 SOURCES = ("orders", "customer", "nation", "region")
@@ -275,9 +275,12 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def _derive(self, text: str) -> DataFrame:
+    def _source(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def _derive(self, text: str, **given: DataFrame) -> DataFrame:
         text = text.replace(f"({BASE})", "{base}")
-        used = {n: self.spark.read.parquet(f"{self.sf_dir}/{n}.parquet") for n in SOURCES if "{" + n + "}" in text}
+        used = {n: given[n] if n in given else self._source(n) for n in SOURCES if "{" + n + "}" in text}
         if "{base}" in text:
             used["base"] = self._kept("base", self._base)
         return self.spark.sql(text.replace("{blob}", "BINARY").replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)"), **used)
@@ -290,8 +293,8 @@ class Fixtures:
 
     def _base(self) -> DataFrame:
         """The base view in as many files as there are cores, as a large table would have at least, and as its rows need."""
-        rows = self._derive(BASE.strip())
-        orders = self.spark.read.parquet(f"{self.sf_dir}/orders.parquet").count()
+        rows = self._derive(BASE.strip(), customer=weighed(self._source("customer")))
+        orders = self._source("orders").count()
         files = max(self.spark.sparkContext.defaultParallelism, -(-orders // ROWS_PER_FILE))
         return stage(rows.repartitionByRange(files, "dt", "k").sortWithinPartitions("dt", "k"), "input-base")
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, fu
 
 from ledgerloom.functions.text import fold
 from ledgerloom.schemas import MONTH, TABLES, Table, table_of
-from ledgerloom.session import claimed, counted, delete, folders, stage
+from ledgerloom.session import claimed, counted, delete, folders, stage, weighed
 
 LARGE_BATCH = 100_000  # rows of a batch that no join should move for a few keys
 
@@ -36,19 +36,21 @@ def insert_ignore(rows: DataFrame, target: DataFrame, key: list[str], order: lis
     Only the key of the target is read.  The batch is staged where it lies, and
     its repeated keys are found from the keys alone: only rows of those are
     gathered and sorted.  These are staged too, and of a large batch the keys
-    found in the target, so that true sizes decide the joins: a statement is
-    sent to the target's scan tasks, no stored id moves, and the batch stays
-    where it is while either kind of key is few.
+    found in the target, so that true sizes decide the joins: a statement whose
+    ids fit the planner's broadcast limit in memory is sent to the target's scan
+    tasks and no stored id moves, of a larger one the ids alone are shuffled.
+    The batch stays where it is while either kind of key is few.
     """
     given, seen = counted(rows, "insert-batch")
+    large = seen["rows"] > LARGE_BATCH
     repeated = stage(given.groupBy(*key).agg(F.count("*").alias("_N")).where("_N > 1").select(*key), "insert-repeated")
-    again = repeated.select(*[F.col(c).alias(f"_K_{c}") for c in key])
+    again = (weighed(repeated) if large else repeated).select(*[F.col(c).alias(f"_K_{c}") for c in key])
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_K_{c}")) for c in key])
     first = first_per_key(given.join(again, same, "left_semi"), key, order)
     batch = given.join(again, same, "left_anti").unionByName(first)
-    held = target.select(*key).join(given.select(*key), key, "left_semi")
-    if seen["rows"] > LARGE_BATCH:
-        held = stage(held, "insert-held")
+    held = target.select(*key).join(weighed(given.select(*key), seen["rows"]), key, "left_semi")
+    if large:
+        held = weighed(stage(held, "insert-held"))
     return batch.join(held, key, "left_anti").select(*rows.columns)
 
 

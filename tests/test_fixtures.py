@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import fixtures
-from ledgerloom.session import stage_parts
+from ledgerloom.session import stage, stage_parts
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
@@ -28,6 +28,24 @@ def test_files_of_the_base_view_grow_in_number_with_the_orders(spark, fresh):
     assert sum(sizes) == 1500 and len(sizes) > spark.sparkContext.defaultParallelism and max(sizes) < 300
 
 
+def test_base_view_broadcasts_no_table_that_only_looks_small(spark, fresh, monkeypatch):
+    """150 customers have 11 kB in memory and their file, by the columns read, under 6."""
+    plans = []
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, label)
+
+    monkeypatch.setattr(fixtures, "stage", seen)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        assert fresh._base().count() == 1500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plans[0].count("SortMergeJoin") == 1 and plans[0].count("BroadcastHashJoin") == 2
+
+
 def test_facts_and_reporting_rows_are_written_where_they_lie(spark, fresh, monkeypatch):
     """Neither the facts nor what follows from them goes through a shuffle or a sort, and no row is lost."""
     plans = []

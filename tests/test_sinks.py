@@ -16,7 +16,7 @@ from ledgerloom.functions import text
 from ledgerloom.operators import audit, legacy, profile, quality, sinks
 from ledgerloom.plans import reports
 from ledgerloom.schemas import CATEGORY, ETL_LOG, LANDING, SUB_CATEGORY, TABLES, TRANSACTIONS
-from ledgerloom.session import counted, stage
+from ledgerloom.session import counted, stage, weighed
 from ledgerloom.sources import landing as source
 
 NOW = datetime(2025, 1, 1)
@@ -74,6 +74,42 @@ def test_insert_ignore_stages_the_batch_where_it_lies(spark, monkeypatch, large)
     assert len(plans) == 1 and not any(word in plans[0] for word in ("Exchange", "Sort", "Window"))
 
 
+@pytest.mark.parametrize("size, sent", [(2000, True), (20_000, False)])
+def test_insert_ignore_broadcasts_no_ids_that_only_look_few(spark, monkeypatch, size, sent):
+    """Ids of a batch whose file is below the broadcast limit, and in memory above it in the second case."""
+    plans = {}
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, label)
+
+    monkeypatch.setattr(sinks, "stage", seen)
+    monkeypatch.setattr(sinks, "LARGE_BATCH", 10)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200k")
+    try:
+        wide = [F.lit("x").alias(f"t{i}") for i in range(10)]
+        batch = spark.range(size).select((F.col("id") % (size - 100)).alias("id"), F.col("id").alias("o"), *wide)
+        target = stage(spark.range(size // 2, 3 * size).select("id", F.lit(0).cast("long").alias("o"), *wide), "target")
+        got = sinks.insert_ignore(batch, target, ["id"], ["o"])
+        assert sorted((r["id"], r["o"]) for r in got.select("id", "o").collect()) == [(i, i) for i in range(size // 2)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert ("BroadcastHashJoin" in plans["insert-held"]) == sent and ("SortMergeJoin" in plans["insert-held"]) != sent
+
+
+@pytest.mark.parametrize("limit, hinted", [("15k", True), ("17k", False), ("-1", True)])
+def test_a_table_is_weighed_by_its_rows(spark, limit, hinted):
+    """A thousand ids, 16 bytes each with the header of their row."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        assert all(("ResolvedHint" in df._jdf.queryExecution().analyzed().toString()) == hinted
+                   for df in (weighed(spark.range(1000)), weighed(spark.range(1), 1000)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_insert_missing_ignores_case(spark):
     new = frame(spark, "n string, p int", ("A", 1), ("A", 1), ("b", 1), ("B", 1), ("A", 2))
     have = frame(spark, "n string, p int", ("a", 1))
