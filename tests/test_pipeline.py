@@ -6,8 +6,10 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import audit, profile
@@ -15,7 +17,7 @@ from ledgerloom.operators.sinks import Warehouse
 from ledgerloom.plans import reports
 from ledgerloom.plans.pipeline import Ledger
 from ledgerloom.schemas import BANKS, LANDING, TABLES
-from ledgerloom.session import staging_root
+from ledgerloom.session import claimed, staging_root
 from tests.test_onboarding import APPLICANTS, applicant
 
 END = datetime(9999, 12, 31, 23, 59, 59)
@@ -317,3 +319,33 @@ def test_jobs_take_turns(spark):
         with pytest.raises(TimeoutError):
             late.onboard(frames[0], "key")
     assert late.onboard(frames[0], "key") == 0 and store.read("MEMBERS").count() == 2
+
+
+def test_writer_file_removed_while_it_is_claimed(spark, tmp_path):
+    """The writer before ends between the refused claim and a look at its file: this one has to try again, not to fail."""
+    class Place:
+        """A path and its store, of which a refused claim finds nothing any more."""
+
+        def __init__(self, name):
+            self.file = spark._jvm.org.apache.hadoop.fs.Path(name)
+            self.store = self.file.getFileSystem(spark._jsc.hadoopConfiguration())
+
+        def getFileSystem(self, _):
+            return self
+
+        def create(self, _, overwrite):
+            try:
+                return self.store.create(self.file, overwrite)
+            except Py4JJavaError:
+                self.store.delete(self.file, False)
+                raise
+
+        def exists(self, _):
+            return self.store.exists(self.file)
+
+    hadoop = SimpleNamespace(fs=SimpleNamespace(Path=Place))
+    jvm = SimpleNamespace(org=SimpleNamespace(apache=SimpleNamespace(hadoop=hadoop)))
+    late = SimpleNamespace(_jvm=jvm, _jsc=spark._jsc)
+    path = f"{tmp_path}/_writer"
+    assert claimed(spark, path) and not claimed(late, path)
+    assert claimed(late, path) and not claimed(spark, path)
